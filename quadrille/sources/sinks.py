@@ -95,23 +95,24 @@ def mark_done(target: DataFrame, done: DataFrame, key: str, flag: str) -> DataFr
 # --- versioned folders -------------------------------------------------------------
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def complete_folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers n of the finished ``name=n`` folders under ``path``, ascending."""
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs
     folder = fs.Path(path)
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not system.exists(folder):
         return []
-    names = [s.getPath().getName() for s in system.listStatus(folder)]
+    found = [s.getPath().getName() for s in system.listStatus(folder)]
     return sorted(
-        int(n.split("=")[1])
-        for n in names
-        if n.startswith("version=") and system.exists(fs.Path(f"{path}/{n}/_SUCCESS"))
+        int(f.split("=")[1])
+        for f in found
+        if f.startswith(f"{name}=") and system.exists(fs.Path(f"{path}/{f}/_SUCCESS"))
     )
 
 
 def write_version(df: DataFrame, path: str) -> int:
     """Write ``df`` as the next version of the table; readers see it once complete."""
-    done = _versions(df.sparkSession, path)
+    done = complete_folders(df.sparkSession, path, "version")
     version = done[-1] + 1 if done else 1
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
     return version
@@ -119,7 +120,7 @@ def write_version(df: DataFrame, path: str) -> int:
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The newest complete version of a table (or a given one)."""
-    done = _versions(spark, path)
+    done = complete_folders(spark, path, "version")
     if not done:
         raise FileNotFoundError(path)
     return spark.read.parquet(f"{path}/version={done[-1] if version is None else version}")

@@ -10,15 +10,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quadrille.functions.text import event_text, is_relevant
-from quadrille.sources.sinks import insert_ignore, read_version, upsert, write_version
+from quadrille.sources.sinks import complete_folders, insert_ignore
 
 
 def arriving(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = None, names: str | None = None,
 ) -> DataFrame:
-    """A stream of the files that appear under ``path``."""
+    """A stream of the files that appear under ``path`` (those matching ``names``)."""
     reader = spark.readStream.format(fmt).schema(schema)
+    if names:
+        reader = reader.option("pathGlobFilter", names)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return reader.load(path)
@@ -53,6 +55,29 @@ def _start(
     )
 
 
+def merged_rows(
+    df: DataFrame, keys: Sequence[str], update: Sequence[str], order: Sequence[Column]
+) -> DataFrame:
+    """One row per key, as upserting the rows in ``order`` one by one would leave it.
+
+    Updated columns come from the last row, all others from the first. Both are
+    aggregates, so map tasks already reduce a hot key to one candidate.
+    """
+    keys = list(keys)
+    kept = [c for c in df.columns if c not in keys and c not in update]
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    folded = df.groupBy(*keys).agg(
+        F.max_by(F.struct(*update), rank).alias("_last"),
+        F.min_by(F.struct(F.lit(1).alias("_"), *kept), rank).alias("_first"),
+    )
+    return folded.select(
+        *[
+            F.col(c) if c in keys else F.col(f"{'_last' if c in update else '_first'}.{c}").alias(c)
+            for c in df.columns
+        ]
+    )
+
+
 def upsert_stream(
     stream: DataFrame,
     path: str,
@@ -61,35 +86,48 @@ def upsert_stream(
     update: Sequence[str],
     order: Sequence[Column],
 ) -> StreamingQuery:
-    """Merge every micro-batch into the versioned table at ``path``.
+    """Keep a keyed table of the stream under ``path``; read it with :func:`current`.
 
-    A batch that is replayed after a failure merges to the same rows, so the table is
-    right whether or not the first attempt got through.
+    A micro-batch writes only its own keys, into a folder named by its number: the cost
+    follows the batch, not the table, and a replayed batch replaces its folder.
     """
 
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            target = read_version(spark, path)
-        except FileNotFoundError:
-            target = batch.limit(0)
-        write_version(upsert(target, batch, keys, update, order), path)
+    def write(batch: DataFrame, number: int) -> None:
+        merged_rows(batch, keys, update, order).write.mode("overwrite").parquet(
+            f"{path}/batch={number}"
+        )
 
     return _start(stream, write, checkpoint)
 
 
+def stored_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """All complete batches under ``path`` (those older than ``before``), or None."""
+    numbers = [n for n in complete_folders(spark, path, "batch") if before is None or n < before]
+    if not numbers:
+        return None
+    return spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in numbers])
+
+
+def current(
+    spark: SparkSession, path: str, keys: Sequence[str], update: Sequence[str]
+) -> DataFrame:
+    """The table that :func:`upsert_stream` keeps, one row per key."""
+    stored = stored_batches(spark, path)
+    if stored is None:
+        raise FileNotFoundError(path)
+    return merged_rows(stored, keys, [*update, "batch"], [F.col("batch")]).drop("batch")
+
+
 def insert_stream(
     stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[Column]
 ) -> StreamingQuery:
-    """Append the first row of every key that is not stored yet."""
-
-    def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        try:
-            target = read_version(spark, path)
-        except FileNotFoundError:
-            target = batch.limit(0)
-        added = insert_ignore(target, batch, keys, order)
-        write_version(target.unionByName(added), path)
+    """Append the first row of every key that no earlier batch stored."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        stored = stored_batches(batch.sparkSession, path, before=number)
+        known = batch.limit(0) if stored is None else stored.drop("batch")
+        insert_ignore(known, batch, keys, order).write.mode("overwrite").parquet(
+            f"{path}/batch={number}"
+        )
 
     return _start(stream, write, checkpoint)
