@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
 
-# Whitespace as a Unicode-aware strip sees it.
-BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
+# Every whitespace character of Unicode, as a strip sees them.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with the value computed once however often it is used."""
+    return F.transform(F.array(value), body)[0]
 
 
 def strip(c: Column) -> Column:
     """Remove leading and trailing whitespace of any kind, not only spaces."""
-    return F.regexp_replace(c, rf"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def folded(c: Column) -> Column:
@@ -43,50 +51,75 @@ def exact_round(c: Column, digits: int) -> Column:
     into two short parts gives the error of the product, whose sign breaks the tie.
     """
     scale = float(10**digits)
-    product = c * scale
-    high = c * 134217729.0 - (c * 134217729.0 - c)
-    error = (high * scale - product) + (c - high) * scale
-    low = F.floor(product)
-    tie = (product - low) == 0.5
-    tied = F.when(error > 0, low + 1).when(error < 0, low).otherwise(low + low % 2)
-    return F.when(tie, tied).otherwise(F.floor(product + 0.5)) / scale
+
+    def rounded(v: Column) -> Column:
+        c, product = v["c"], v["product"]
+        high = c * 134217729.0 - (c * 134217729.0 - c)
+        error = (high * scale - product) + (c - high) * scale
+        low = F.floor(product)
+        tied = F.when(error > 0, low + 1).when(error < 0, low).otherwise(low + low % 2)
+        tie = (product - low) == 0.5
+        return F.when(tie, tied).otherwise(F.floor(product + 0.5)) / scale
+
+    return let(F.struct(c.alias("c"), (c * scale).alias("product")), rounded)
 
 
 def double_text(c: Column) -> Column:
     """Shortest text of a double: ``0.0002``, ``1e-05``, ``64.0``, ``1e+16``."""
-    text = F.abs(c).cast("string")
-    sign = F.when(c < 0, F.lit("-")).otherwise(F.lit(""))
-    pattern = r"^(\d)\.(\d+)E(-?\d+)$"
-    lead = F.regexp_extract(text, pattern, 1)
-    tail = F.regexp_replace(F.regexp_extract(text, pattern, 2), "^0$", "")
-    power = F.nullif(F.regexp_extract(text, pattern, 3), F.lit("")).cast("int")
-    digits = F.concat(lead, tail)
-    shift = F.concat(
-        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(power).cast("string"), 2, "0"),
+    size = F.abs(c)
+    text = size.cast("string")
+    # Numbers the JVM prints plainly and briefly are right as they are.
+    brief = ~text.contains("E") & (F.length(text) < 17)
+    body = F.when(brief, text).otherwise(
+        let(F.struct(size.alias("size"), text.alias("text")), _shortest)
     )
-    # Java prints an exponent from 1e7 on and below 1e-3; the short form only from
-    # 1e16 on and below 1e-4.
-    whole = F.rpad(digits, 17, "0")
-    plain_big = F.concat(
-        F.substring(whole, F.lit(1), power + 1),
-        F.lit("."),
-        F.when(F.length(digits) > power + 1, F.substring(digits, power + 2, F.lit(20))).otherwise(
-            F.lit("0")
-        ),
-    )
-    scientific = F.concat(
-        lead, F.when(tail != "", F.concat(F.lit("."), tail)).otherwise(F.lit("")), shift
-    )
-    body = (
-        F.when(F.isnan(c), F.lit("nan"))
+    return F.when(c < 0, F.concat(F.lit("-"), body)).otherwise(body)
+
+
+def _shortest(value: Column) -> Column:
+    """Text of a non-negative double, given it and the JVM's text for it."""
+    size, text = value["size"], value["text"]
+    # The JVM may print more digits than it takes to read the same value back.
+    fewer = lambda n: F.upper(F.format_string(f"%.{n - 1}e", size))
+    same = lambda n: fewer(n).try_cast("double") == size
+    long = F.length(text) >= 17
+    exact = F.when(long & same(16), fewer(16)).when(long & same(17), fewer(17)).otherwise(text)
+
+    def parts(exact: Column) -> Column:
+        mantissa = F.replace(F.substring_index(exact, "E", 1), F.lit("."), F.lit(""))
+        return F.struct(
+            F.substring_index(exact, "E", -1).try_cast("int").alias("power"),
+            F.rtrim(mantissa, F.lit("0")).alias("digits"),
+        )
+
+    def shown(p: Column) -> Column:
+        power, digits = p["power"], p["digits"]
+        rest = F.substring(digits, F.lit(2), F.length(digits))
+        # Plain from 1e-4 up to 1e16, with an exponent of at least two digits elsewhere.
+        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+        whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
+        below = F.substring(digits, power + 2, F.length(digits))
+        large = F.concat(whole, F.lit("."), F.when(below == "", F.lit("0")).otherwise(below))
+        scientific = F.concat(
+            F.substring(digits, 1, 1),
+            F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")),
+            F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+            F.lpad(F.abs(power).cast("string"), 2, "0"),
+        )
+        return (
+            F.when(power.between(-4, -1), small)
+            .when(power.between(0, 15), large)
+            .otherwise(scientific)
+        )
+
+    def rebuilt(exact: Column) -> Column:
+        return F.when(exact.contains("E"), let(parts(exact), shown)).otherwise(exact)
+
+    return (
+        F.when(F.isnan(size), F.lit("nan"))
         .when(text == "Infinity", F.lit("inf"))
-        .when(power.isNull(), text)
-        .when(power == -4, F.concat(F.lit("0.000"), digits))
-        .when((power > 0) & (power < 16), plain_big)
-        .otherwise(scientific)
+        .otherwise(let(exact, rebuilt))
     )
-    return F.when(c.isNotNull(), F.concat(sign, body))
 
 
 def render_param(name: str, c: Column) -> Column:

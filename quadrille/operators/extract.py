@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
 from quadrille.functions.parsers import parse_leaves
-from quadrille.functions.text import double_text, file_category, folded, strip
+from quadrille.functions.text import double_text, file_category, folded, let, strip
 from quadrille.operators.params import params_table
-from quadrille.operators.skew import pick_per_key
 
 _SPELLED = {word: name for name, words in vocab.SPELLINGS.items() for word in words}
+# One SQL literal and one pattern keep the plans small.
+_SPELLING_MAP = "map({})".format(", ".join(f"'{w}', '{n}'" for w, n in _SPELLED.items()))
+_FILLER_PATTERN = "^(?:{})$".format("|".join([*_SPELLED, *vocab.FILLER_WORDS]))
 
 
 # --- shared naming rules -----------------------------------------------------------
@@ -26,8 +28,7 @@ _SPELLED = {word: name for name, words in vocab.SPELLINGS.items() for word in wo
 
 def canonical(name: Column) -> Column:
     """Parameter a spelling stands for, NULL when it is none."""
-    pairs = [F.lit(x) for pair in _SPELLED.items() for x in pair]
-    return F.try_element_at(F.create_map(*pairs), folded(name))
+    return F.try_element_at(F.expr(_SPELLING_MAP), folded(name))
 
 
 def deepest_canonical(path: Column) -> Column:
@@ -38,7 +39,7 @@ def deepest_canonical(path: Column) -> Column:
 
 def is_filler(kind: Column, head: Column, items: Column) -> Column:
     """A text, or a list of one text, that only repeats a parameter name or says 'auto'."""
-    word = folded(head).isin(*_SPELLED, *vocab.FILLER_WORDS)
+    word = folded(head).rlike(_FILLER_PATTERN)
     textual = (kind == "text") | ((kind == "list") & (items == 1))
     return F.coalesce(textual & word, F.lit(False))
 
@@ -55,24 +56,37 @@ def leaf_value(param: Column, kind: Column, text: Column, head: Column) -> Colum
     return F.when(param.isin("optimizer", "scheduler"), named).otherwise(text)
 
 
-def leaf_rows(leaves: DataFrame, keys: Sequence[str], source: Column, param: Column) -> DataFrame:
-    """Leaves that name a parameter and carry a value."""
-    return (
-        leaves.select(*keys, "ord", "kind", "text", "head", "items",
-                      source.alias("source"), param.alias("param_name"))
-        .filter(
-            F.col("param_name").isNotNull()
-            & (F.col("kind") != "null")
-            & ~is_filler(F.col("kind"), F.col("head"), F.col("items"))
-        )
-        .select(
-            *keys, "source", "ord", "param_name",
-            leaf_value(F.col("param_name"), F.col("kind"), F.col("text"), F.col("head")).alias(
-                "param_value"
-            ),
+def leaf_params(leaves: Column) -> Column:
+    """Array of (ord, param_name, leaf) to the (ord, param_name, param_value) that count."""
+
+    def carries(e: Column) -> Column:
+        leaf = e["leaf"]
+        return (leaf["kind"] != "null") & ~is_filler(leaf["kind"], leaf["head"], leaf["items"])
+
+    def row(e: Column) -> Column:
+        leaf = e["leaf"]
+        value = leaf_value(e["param_name"], leaf["kind"], leaf["text"], leaf["head"])
+        return F.struct(
+            e["ord"].alias("ord"), e["param_name"].alias("param_name"), value.alias("param_value")
         )
-        .filter("param_value IS NOT NULL")
-    )
+
+    named = F.filter(leaves, lambda e: e["param_name"].isNotNull())
+    valued = F.transform(F.filter(named, carries), row)
+    return F.filter(valued, lambda e: e["param_value"].isNotNull())
+
+
+def once_per_param(rows: Column, last: bool = False) -> Column:
+    """The first (or last) row of every parameter in an array of rows."""
+
+    def kept(rows: Column) -> Column:
+        names = F.transform(rows, lambda r: r["param_name"])
+        if last:
+            at = lambda r: F.size(names) - F.array_position(F.reverse(names), r["param_name"])
+        else:
+            at = lambda r: F.array_position(names, r["param_name"]) - 1
+        return F.filter(rows, lambda r, i: i == at(r))
+
+    return let(rows, kept)
 
 
 def _confidence(source: Column) -> Column:
@@ -85,27 +99,24 @@ def _confidence(source: Column) -> Column:
 # --- JSON layer --------------------------------------------------------------------
 
 
-def _json_leaf(raw: Column, value: Column) -> Column:
-    """(kind, text, head, items) of one JSON value given as raw text and variant."""
-    shape = F.schema_of_variant(value)
+def _json_leaf(raw: Column, value: Column, shape: Column) -> Column:
+    """(kind, text, head, items) of one JSON value: raw text, variant and its type."""
     listed = F.try_variant_get(value, "$", "array<variant>")
     first = F.try_element_at(listed, F.lit(1))
-    first_text = F.when(F.schema_of_variant(first) == "STRING", first.try_cast("string"))
+    is_list, is_object = shape.startswith("ARRAY"), shape.startswith("OBJECT")
     # An absent, null or empty type falls back to the name.
     member = lambda key: F.try_variant_get(value, f"$.{key}", "variant")
-    has_type = ~F.coalesce(F.to_json(member("type")), F.lit("null")).isin(
+    empty = F.coalesce(F.to_json(member("type")), F.lit("null")).isin(
         "null", '""', "0", "false", "[]", "{}"
     )
-    named = F.when(has_type, member("type")).otherwise(member("name"))
-    named_text = F.when(F.schema_of_variant(named) == "STRING", named.try_cast("string"))
-    is_list, is_object = shape.startswith("ARRAY"), shape.startswith("OBJECT")
-    real = shape.startswith("DOUBLE") | shape.startswith("DECIMAL") | shape.startswith("FLOAT")
+    named = F.when(empty, member("name")).otherwise(member("type"))
+    if_text = lambda v: F.when(F.schema_of_variant(v) == "STRING", v.try_cast("string"))
+    real = shape.rlike("^(?:DOUBLE|DECIMAL|FLOAT)") & ~raw.rlike(r"^-?\d+$")
     items_text = F.concat(
         F.lit("["),
         F.array_join(F.transform(listed, lambda v: F.to_json(v)), ", "),
         F.lit("]"),
     )
-    integral = real & raw.rlike(r"^-?\d+$")
     return F.struct(
         F.when(shape == "VOID", "null")
         .when(shape == "STRING", "text")
@@ -116,52 +127,59 @@ def _json_leaf(raw: Column, value: Column) -> Column:
         F.when(shape == "VOID", F.lit(None).cast("string"))
         .when(shape == "STRING", value.try_cast("string"))
         .when(is_list, items_text)
-        .when(real & ~integral, double_text(value.try_cast("double")))
+        .when(real, let(value.try_cast("double"), double_text))
         .otherwise(F.to_json(value))
         .alias("text"),
         F.when(shape == "STRING", value.try_cast("string"))
-        .when(is_list, first_text)
-        .when(is_object, named_text)
+        .when(is_list, if_text(first))
+        .when(is_object, let(named, if_text))
         .alias("head"),
         F.when(is_list, F.size(listed)).alias("items"),
     )
 
 
+_JSON_ROWS = "array<struct<ord:int,param_name:string,param_value:string>>"
+
+
 def json_params(content: Column) -> Column:
     """Top-level entries of a JSON object as an array of (ord, param_name, param_value).
 
     Entries keep the order of the text. Anything but an object gives an empty array.
+    The text is parsed once, and each entry that names a parameter is read once.
     """
-    parsed = F.try_parse_json(content)
-    by_name = F.try_variant_get(parsed, "$", "map<string,variant>")
-    raw = F.from_json(F.when(by_name.isNotNull(), content), "map<string,string>")
-    entries = F.transform(
-        F.map_entries(raw),
-        lambda e, i: F.struct(
-            i.alias("ord"),
-            canonical(e["key"]).alias("param_name"),
-            _json_leaf(e["value"], F.try_element_at(by_name, e["key"])).alias("leaf"),
-        ),
-    )
-    named = F.filter(
-        entries,
-        lambda e: e["param_name"].isNotNull()
-        & (e["leaf"]["kind"] != "null")
-        & ~is_filler(e["leaf"]["kind"], e["leaf"]["head"], e["leaf"]["items"]),
-    )
-    valued = F.transform(
-        named,
-        lambda e: F.struct(
-            e["ord"].alias("ord"),
-            e["param_name"].alias("param_name"),
-            leaf_value(
-                e["param_name"], e["leaf"]["kind"], e["leaf"]["text"], e["leaf"]["head"]
-            ).alias("param_value"),
-        ),
-    )
-    kept = F.filter(valued, lambda e: e["param_value"].isNotNull())
-    empty = F.array().cast("array<struct<ord:int,param_name:string,param_value:string>>")
-    return F.coalesce(kept, empty)
+
+    def described(entry: Column) -> Column:
+        return let(
+            F.struct(
+                entry["value"].alias("value"), F.schema_of_variant(entry["value"]).alias("shape")
+            ),
+            lambda v: F.struct(
+                entry["ord"].alias("ord"),
+                entry["param_name"].alias("param_name"),
+                _json_leaf(entry["raw"], v["value"], v["shape"]).alias("leaf"),
+            ),
+        )
+
+    def rows(by_name: Column) -> Column:
+        entries = F.map_entries(
+            F.from_json(F.when(by_name.isNotNull(), content), "map<string,string>")
+        )
+        named = F.filter(
+            F.transform(
+                entries,
+                lambda e, i: F.struct(
+                    i.alias("ord"),
+                    canonical(e["key"]).alias("param_name"),
+                    e["value"].alias("raw"),
+                    F.try_element_at(by_name, e["key"]).alias("value"),
+                ),
+            ),
+            lambda e: e["param_name"].isNotNull(),
+        )
+        return leaf_params(F.transform(named, described))
+
+    parsed = F.try_variant_get(F.try_parse_json(content), "$", "map<string,variant>")
+    return F.coalesce(let(parsed, rows), F.array().cast(_JSON_ROWS))
 
 
 def json_layer(df: DataFrame, keys: Sequence[str], content: str = "content") -> DataFrame:
@@ -198,65 +216,102 @@ def prose_layer(df: DataFrame, keys: Sequence[str], content: str = "content") ->
 # --- parsed layers -----------------------------------------------------------------
 
 
-def parsed_layers(
+def parsed_params(
     df: DataFrame, keys: Sequence[str], calls: Sequence[str] = vocab.CONFIG_CALLS
 ) -> DataFrame:
-    """Rows of the YAML and Python layers; ``df`` has keys, layer and content.
+    """(keys, source, rows) of the YAML and Python layers; ``df`` has layer and content.
 
     A nested config contributes the first leaf per parameter, a source all of its calls.
     """
-    keys = list(keys)
     leaves = parse_leaves(df, keys, calls)
-    param = F.when(F.col("layer") == "yaml", deepest_canonical(F.col("name"))).otherwise(
-        canonical(F.col("name"))
+    nested = F.col("layer") == "yaml"
+    named = F.transform(
+        "leaves",
+        lambda e: F.struct(
+            e["ord"].alias("ord"),
+            F.when(nested, deepest_canonical(e["name"])).otherwise(canonical(e["name"])).alias(
+                "param_name"
+            ),
+            e.alias("leaf"),
+        ),
+    )
+    rows = let(
+        leaf_params(named), lambda r: F.when(nested, once_per_param(r)).otherwise(r)
+    )
+    return leaves.select(*keys, F.col("layer").alias("source"), rows.alias("rows"))
+
+
+def layered_params(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, source, rows) of texts routed by ``layer``: ast, yaml, json, adapter, prose.
+
+    Prose and JSON are read by expressions, the rest by the batch parsers, as is JSON
+    without top-level parameters (but not an adapter config). Everything is narrow: one
+    row per text, no shuffle.
+    """
+    keys, layer, content = list(keys), F.col("layer"), F.col("content")
+    read = texts.select(
+        *keys,
+        "layer",
+        "content",
+        F.when(layer == "prose", prose_params(content))
+        .when(layer.isin("json", "adapter"), json_params(content))
+        .alias("rows"),
+    )
+    native = read.select(
+        *keys, F.when(layer == "prose", "regex").otherwise("json").alias("source"), "rows"
+    )
+    unread = layer.isin("ast", "yaml") | ((layer == "json") & (F.size("rows") == 0))
+    rest = read.filter(unread).select(
+        *keys, F.when(layer == "ast", "ast").otherwise("yaml").alias("layer"), "content"
+    )
+    return native.unionByName(parsed_params(rest, keys))
+
+
+def exploded(found: DataFrame, keys: Sequence[str], rows: Column) -> DataFrame:
+    """One row per parameter row, with the confidence of its source."""
+    return found.select(*keys, "source", F.explode(rows).alias("e")).select(
+        *keys, "source", "e.ord", "e.param_name", "e.param_value",
+        _confidence(F.col("source")).alias("confidence"),
     )
-    rows = leaf_rows(leaves, keys, F.col("layer"), param)
-    nested = rows.filter("source = 'yaml'")
-    first = pick_per_key(nested, [*keys, "source", "param_name"], [F.col("ord")])
-    return rows.filter("source = 'ast'").unionByName(first)
 
 
 # --- files -------------------------------------------------------------------------
 
 
-def extract_files(files: DataFrame, keys: Sequence[str] = ("repo_full_name", "file_id")) -> DataFrame:
-    """Rows of all layers over a table of files (file_path, file_category, content)."""
-    keys = list(keys)
-    path = F.lower("file_path")
-    category = F.col("file_category")
+def routed_files(files: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Files with the layer that reads them; dependencies and empty files are left out."""
+    path, category = F.lower("file_path"), F.col("file_category")
     config = category == "config"
-    is_json = config & path.endswith(".json")
-    is_yaml = config & (path.endswith(".yaml") | path.endswith(".yml"))
-    is_code = (category == "training_script") & path.endswith(".py")
-    plain = ~(is_json | is_yaml | is_code | category.isin("adapter_config", "dependencies"))
+    layer = (
+        F.when(category == "adapter_config", "adapter")
+        .when((category == "training_script") & path.endswith(".py"), "ast")
+        .when(config & path.rlike(r"\.ya?ml$"), "yaml")
+        .when(config & path.endswith(".json"), "json")
+        .when(category == "dependencies", F.lit(None).cast("string"))
+        .otherwise("prose")
+    )
     present = files.filter("content IS NOT NULL AND content <> ''")
+    return present.select(*keys, layer.alias("layer"), "content").filter("layer IS NOT NULL")
+
+
+def found_in_files(files: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, source, rows) of every file that is read."""
+    return layered_params(routed_files(files, keys), keys)
 
-    # JSON and prose share one scan: a file is read by exactly one of the two.
-    native = present.filter((category == "adapter_config") | is_json | plain).select(
-        *keys,
-        F.when(plain, "regex").otherwise("json").alias("source"),
-        F.explode(
-            F.when(plain, prose_params(F.col("content"))).otherwise(json_params(F.col("content")))
-        ).alias("e"),
-    ).select(*keys, "source", "e.ord", "e.param_name", "e.param_value")
-    # A JSON config without top-level parameters is read as a nested config.
-    nested = is_yaml | (is_json & (F.size(json_params(F.col("content"))) == 0))
-    parsed = present.filter(is_code | nested).select(
-        *keys, F.when(is_code, "ast").otherwise("yaml").alias("layer"), "content"
-    )
-    return native.unionByName(parsed_layers(parsed, keys)).withColumn(
-        "confidence", _confidence(F.col("source"))
-    )
+
+def extract_files(files: DataFrame, keys: Sequence[str] = ("repo_full_name", "file_id")) -> DataFrame:
+    """Rows of all layers over a table of files (file_path, file_category, content)."""
+    return exploded(found_in_files(files, keys), keys, F.col("rows"))
 
 
 def raw_config_rows(files: DataFrame, repos: DataFrame) -> DataFrame:
-    """Rows of the files of usable repositories; the last one per key stays."""
+    """Rows of the files of usable repositories; per file and parameter the last stays."""
     usable = repos.filter("enrichment_status = 'ok'").select(
         F.col("repo_name").alias("repo_full_name")
     )
-    rows = extract_files(files.join(usable, "repo_full_name", "left_semi"))
-    keys = ["repo_full_name", "file_id", "source", "param_name"]
-    return pick_per_key(rows, keys, [F.col("ord")], last=True).drop("ord")
+    keys = ["repo_full_name", "file_id"]
+    found = found_in_files(files.join(usable, "repo_full_name", "left_semi"), keys)
+    return exploded(found, keys, once_per_param(F.col("rows"), last=True)).drop("ord")
 
 
 def repo_params(raw: DataFrame) -> DataFrame:
@@ -310,23 +365,8 @@ def card_parts(cards: DataFrame, key: str, content: str = "card_content") -> Dat
 def extract_cards(cards: DataFrame, key: str = "model_id", content: str = "card_content") -> DataFrame:
     """Rows of all layers over model cards, in card order (part, ord)."""
     keys = [key, "part"]
-    parts = card_parts(cards, key, content)
-    native = parts.filter("layer IN ('json', 'prose')").select(
-        *keys,
-        F.when(F.col("layer") == "prose", "regex").otherwise("json").alias("source"),
-        F.explode(
-            F.when(F.col("layer") == "prose", prose_params(F.col("content"))).otherwise(
-                json_params(F.col("content"))
-            )
-        ).alias("e"),
-    ).select(*keys, "source", "e.ord", "e.param_name", "e.param_value")
-    unread_json = (F.col("layer") == "json") & (F.size(json_params(F.col("content"))) == 0)
-    parsed = parts.filter(F.col("layer").isin("ast", "yaml") | unread_json).select(
-        *keys, F.when(F.col("layer") == "ast", "ast").otherwise("yaml").alias("layer"), "content"
-    )
-    return native.unionByName(parsed_layers(parsed, keys)).withColumn(
-        "confidence", _confidence(F.col("source"))
-    )
+    found = layered_params(card_parts(cards, key, content), keys)
+    return exploded(found, keys, F.col("rows"))
 
 
 def model_params(
@@ -356,18 +396,13 @@ def model_params(
 
 def answer_rows(answers: DataFrame, first_files: DataFrame) -> DataFrame:
     """Rows of recorded answers (repo_full_name, answer_json), keyed to the first file."""
-    rows = (
-        json_layer(answers, ["repo_full_name"], "answer_json")
-        .filter("param_value <> ''")
-        .withColumns({
-            "source": F.lit("llm"),
-            "confidence": F.lit(vocab.SOURCE_CONFIDENCE["llm"]),
-        })
-    )
-    first = pick_per_key(rows, ["repo_full_name", "param_name"], [F.col("ord")])
-    return first.join(first_files, "repo_full_name").select(
-        "repo_full_name", "file_id", "source", "param_name", "param_value", "confidence"
+    rows = F.filter(json_params(F.col("answer_json")), lambda r: r["param_value"] != "")
+    found = answers.select(
+        "repo_full_name", F.lit("llm").alias("source"), once_per_param(rows).alias("rows")
     )
+    return exploded(found, ["repo_full_name"], F.col("rows")).join(
+        first_files, "repo_full_name"
+    ).select("repo_full_name", "file_id", "source", "param_name", "param_value", "confidence")
 
 
 def _category_rank(category: Column) -> Column:

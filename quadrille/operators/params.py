@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
-from quadrille.functions.text import exact_round, folded, strip
+from quadrille.functions.text import exact_round, folded, let, strip
 
 
 def priority_of(source: Column) -> Column:
@@ -86,29 +86,39 @@ def as_number(text: Column) -> Column:
 
 def _whole(name: str, text: Column) -> Column:
     low, high = vocab.INT_BOUNDS[name]
-    number = as_number(text)
-    cut = F.when(F.abs(number) < 1e9, number).cast("int")
-    kept = F.when(cut.between(low, high), cut)
-    return F.when(kept != 0, kept) if name == "rank_value" else kept
+
+    def bounded(number: Column) -> Column:
+        # Far outside the bounds is out anyway; the cast must not overflow.
+        cut = F.when(F.abs(number) < 1e9, number).cast("int")
+        inside = cut.between(low, high)
+        return F.when(inside & (cut != 0) if name == "rank_value" else inside, cut)
+
+    return let(as_number(text), bounded)
 
 
 def _real(name: str, text: Column) -> Column:
     low, high = vocab.FLOAT_BOUNDS[name]
-    number = as_number(text)
-    return F.when(number.between(low, high), number)
+    return let(as_number(text), lambda number: F.when(number.between(low, high), number))
 
 
 def _truth(text: Column) -> Column:
     """Truth of a word, or of the ``enabled`` entry of an object ('auto' gives NULL)."""
-    bare = strip(text)
-    # Python-style literals become JSON first.
-    as_json = F.regexp_replace(bare, "'", '"')
-    for literal, word in (("True", "true"), ("False", "false"), ("None", "null")):
-        as_json = F.regexp_replace(as_json, rf"\b{literal}\b", word)
-    parsed = F.coalesce(F.try_parse_json(bare), F.try_parse_json(as_json))
-    enabled = folded(F.try_variant_get(parsed, "$.enabled", "string"))
-    inside = F.when(enabled.isNotNull() & (enabled != "auto"), enabled.isin(*vocab.TRUE_WORDS))
-    return F.when(bare.startswith("{"), inside).otherwise(F.lower(bare).isin(*vocab.TRUE_WORDS))
+
+    def enabled(bare: Column) -> Column:
+        # Python-style literals become JSON first.
+        as_json = F.regexp_replace(bare, "'", '"')
+        for literal, word in (("True", "true"), ("False", "false"), ("None", "null")):
+            as_json = F.regexp_replace(as_json, rf"\b{literal}\b", word)
+        parsed = F.coalesce(F.try_parse_json(bare), F.try_parse_json(as_json))
+        return folded(F.try_variant_get(parsed, "$.enabled", "string"))
+
+    switched = lambda word: F.when(word != "auto", word.isin(*vocab.TRUE_WORDS))
+    return let(
+        strip(text),
+        lambda bare: F.when(bare.startswith("{"), let(enabled(bare), switched)).otherwise(
+            F.lower(bare).isin(*vocab.TRUE_WORDS)
+        ),
+    )
 
 
 def json_string(text: Column) -> Column:
@@ -118,19 +128,18 @@ def json_string(text: Column) -> Column:
 
 def _modules(text: Column) -> Column:
     """A JSON list: parsed when it is JSON (a scalar is wrapped), else split at commas."""
-    parsed = F.try_parse_json(text)
-    kind = F.schema_of_variant(parsed)
-    listed = F.try_variant_get(parsed, "$", "array<variant>")
-    items = (
-        F.when(kind.startswith("ARRAY"), F.transform(listed, lambda v: F.to_json(v)))
-        .when(parsed.isNotNull(), F.array(F.to_json(parsed)))
-        .otherwise(
-            F.transform(
-                F.filter(F.transform(F.split(text, ","), strip), lambda s: s != ""), json_string
-            )
+
+    def items(parsed: Column) -> Column:
+        listed = F.try_variant_get(parsed, "$", "array<variant>")
+        pieces = F.filter(F.transform(F.split(text, ","), strip), lambda s: s != "")
+        return (
+            F.when(listed.isNotNull(), F.transform(listed, lambda v: F.to_json(v)))
+            .when(parsed.isNotNull(), F.array(F.to_json(parsed)))
+            .otherwise(F.transform(pieces, json_string))
         )
-    )
-    return F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]"))
+
+    joined = F.array_join(let(F.try_parse_json(text), items), ", ")
+    return F.concat(F.lit("["), joined, F.lit("]"))
 
 
 def typed_param(name: str, text: Column) -> Column:

@@ -243,6 +243,8 @@ TABLES = {
 
 def _rounded(expression: str, digits: int) -> str:
     scale = f"1e{digits}"
+    if digits == 6:
+        expression = f"round({expression}, 12)"
     return (
         f"sign({expression}) * floor(abs({expression}) * {scale} + 0.5) / {scale}"
         " + CAST(0 AS DOUBLE)"
@@ -470,8 +472,8 @@ ORACLE["priority_merge"] = """
            '{' || string_agg(CASE l_linestatus WHEN 'O' THEN '"open":"' ELSE '"filled":"' END
                || l_returnflag || '"', ',' ORDER BY l_linestatus DESC) || '}' AS param_sources,
            CAST(count(*) AS INTEGER) AS total_params_extracted,
-           CAST(round_even(CAST(sum(CAST(round((1 - l_discount) * 100) AS INTEGER)) AS DOUBLE)
-                / count(*) / 100, 2) AS DOUBLE) AS extraction_confidence
+           CAST(printf('%.2f', sum(1 - l_discount) / count(*)) AS DOUBLE)
+               AS extraction_confidence
     FROM best WHERE n = 1 GROUP BY l_orderkey"""
 ORACLE["bounds_coercion"] = """
     SELECT l_orderkey, l_partkey,

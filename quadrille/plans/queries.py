@@ -43,7 +43,8 @@ def query(fn: Query) -> Query:
 
 
 def six(c: str) -> F.Column:
-    return X.sql_round(F.col(c), 6).alias(c)
+    """Six digits; twelve first, so that summing in another order changes nothing."""
+    return X.sql_round(F.round(F.col(c), 12), 6).alias(c)
 
 
 # --- shared inputs -----------------------------------------------------------------
@@ -70,7 +71,9 @@ def _repos(spark, d):
 
 
 def _files(spark, d):
-    return analogs.files(spark, d).withColumn("file_category", X.file_category(F.col("file_path")))
+    """The files as a written table, as the jobs that read them expect."""
+    files = analogs.files(spark, d)
+    return cut_lineage(files.withColumn("file_category", X.file_category(F.col("file_path"))))
 
 
 def _repo_params(spark, d):
@@ -242,7 +245,8 @@ def files_needing_fallback(spark, d):
 @query
 def link_by_mention(spark, d):
     pages = table(spark, d, "pages").select(F.col("page_id"), "url")
-    found = links.mentions(pages, "page_id", "url", r"example\.[a-z]+/[a-z]+/", "[0-9]+")
+    found = links.mentions(pages, "page_id", "url", r"example\.[a-z]+/[a-z]+/", "[0-9]+",
+                           more="[0-9]")
     known = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc"))
     return links.link_by_mention(found, known, "doc", "page_url")
 
@@ -441,10 +445,12 @@ def _cards(spark, d):
         F.lit(")\n```\ntext\n~~~json\n{\"peft\": {\"dropout\": 0.1}}\n~~~\n"),
     )
     part = table(spark, d, "part")
-    return part.select(
-        model_id("p_partkey").alias("model_id"),
-        card.alias("card_content"),
-        (F.col("p_type") != "PROMO").alias("is_lora_relevant"),
+    return cut_lineage(
+        part.select(
+            model_id("p_partkey").alias("model_id"),
+            card.alias("card_content"),
+            (F.col("p_type") != "PROMO").alias("is_lora_relevant"),
+        )
     )
 
 
