@@ -30,9 +30,8 @@ def merge_params(
 
     The highest source priority wins, then the highest confidence, then the first in
     ``order``. Empty values never win, but an entity with only empty values keeps a row.
-    One aggregate per parameter over a single grouping: candidates shrink in the map
-    tasks, so an entity with a third of the rows is no heavier than any other, and
-    picking and widening share one shuffle.
+    Both groupings are combined in the map tasks: an entity with a third of the rows
+    leaves each of them as one candidate per parameter.
     """
     entity = list(entity)
     ranked = priority if priority is not None else priority_of(F.col("source"))
@@ -47,11 +46,15 @@ def merge_params(
         F.col("source"),
         F.col("confidence").cast("double").alias("confidence"),
     )
-    usable = F.col("param_value") != ""
-    wide = rows.groupBy(*entity).agg(*[
-        F.min_by(picked, F.when(usable & (F.col("param_name") == name), place)).alias(name)
-        for name in names
-    ])
+    usable = (F.col("param_value") != "") & F.col("param_name").isin(*names)
+    best = rows.groupBy(*entity, "param_name").agg(
+        F.min_by(picked, F.when(usable, place)).alias("_pick")
+    )
+    # At most one entry per known parameter is listed.
+    entry = F.when(F.col("_pick").isNotNull(), F.struct("param_name", "_pick"))
+    wide = best.groupBy(*entity).agg(
+        F.map_from_entries(F.collect_list(entry)).alias("_all")
+    ).select(*entity, *[F.try_element_at("_all", F.lit(n)).alias(n) for n in names])
     found = F.filter(
         F.array(*[
             F.struct(F.lit(n).alias("name"), F.col(f"{n}.source").alias("source"),
@@ -106,10 +109,10 @@ def _truth(text: Column) -> Column:
 
     def enabled(bare: Column) -> Column:
         # Python-style literals become JSON first.
-        as_json = F.regexp_replace(bare, "'", '"')
+        as_json = F.replace(bare, F.lit("'"), F.lit('"'))
         for literal, word in (("True", "true"), ("False", "false"), ("None", "null")):
             as_json = F.regexp_replace(as_json, rf"\b{literal}\b", word)
-        parsed = F.coalesce(F.try_parse_json(bare), F.try_parse_json(as_json))
+        parsed = F.try_parse_json(F.when(bare.contains("'"), as_json).otherwise(bare))
         return folded(F.try_variant_get(parsed, "$.enabled", "string"))
 
     switched = lambda word: F.when(word != "auto", word.isin(*vocab.TRUE_WORDS))
@@ -138,7 +141,9 @@ def _modules(text: Column) -> Column:
             .otherwise(F.transform(pieces, json_string))
         )
 
-    joined = F.array_join(let(F.try_parse_json(text), items), ", ")
+    # Most lists of names are no JSON at all: do not even try.
+    like_json = text.rlike(r'^\s*(?:[\[{"]|-?\d|true\b|false\b|null\b)')
+    joined = F.array_join(let(F.try_parse_json(F.when(like_json, text)), items), ", ")
     return F.concat(F.lit("["), joined, F.lit("]"))
 
 

@@ -84,6 +84,7 @@ def percent_ranks(
         running_counts(long, ["signal"], "value", one_task_rows).select(
             "signal",
             "value",
+            "rows",
             F.when(F.col("total") <= 1, F.lit(0.0))
             .otherwise(F.col("before") / (F.col("total") - 1))
             .alias("_pct"),
@@ -91,9 +92,9 @@ def percent_ranks(
     )
     for i, name in enumerate(names):
         one = ranked.filter(F.col("signal") == i).select(
-            F.col("value").alias(f"_v_{name}"), F.col("_pct").alias(name)
+            F.col("value").alias(f"_v_{name}"), "rows", F.col("_pct").alias(name)
         )
-        prepared = lookup_join(prepared, one, [f"_v_{name}"])
+        prepared = lookup_join(prepared, one, f"_v_{name}")
     return prepared.select(*df.columns, *names)
 
 

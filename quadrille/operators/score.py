@@ -88,12 +88,12 @@ def score_vs_base(models: DataFrame, reference: DataFrame | None = None) -> Data
         peers.groupBy("base_model").agg(
             F.avg(score).alias("_peer_mean"),
             F.sum(score).alias("_sum"),
-            F.count(score).alias("_rows"),
+            F.count(score).alias("rows"),
         )
     )
-    overall = sums.agg(F.sum("_sum") / F.sum("_rows")).scalar()
-    means = sums.filter(F.col("base_model").isNotNull()).select("base_model", "_peer_mean")
-    joined = lookup_join(models, means, ["base_model"])
+    overall = sums.agg(F.sum("_sum") / F.sum("rows")).scalar()
+    means = sums.filter(F.col("base_model").isNotNull()).select("base_model", "rows", "_peer_mean")
+    joined = lookup_join(models, means, "base_model")
     return joined.select(
         *models.columns,
         (score - F.coalesce(F.col("_peer_mean"), overall)).alias("score_vs_base"),

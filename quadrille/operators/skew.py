@@ -86,27 +86,34 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def lookup_join(
-    left: DataFrame,
-    groups: DataFrame,
-    keys: Sequence[str],
-    salts: int = SALTS,
-) -> DataFrame:
-    """Left join to a short table with one row per group, whatever the group sizes.
+def lookup_join(left: DataFrame, groups: DataFrame, key: str, rows: str = "rows") -> DataFrame:
+    """Left join to a table with one row per value of ``key`` and its group's size.
 
-    ``groups`` should be cheap to read (a written table or a lineage cut). It is
+    ``groups`` should be cheap to read (a written table or a lineage cut); its ``rows``
+    column says how many rows a group has and is not carried over. The table is
     broadcast only when counted and found small, which leaves ``left`` where it is.
-    Otherwise it is copied once per salt, so that each group's rows on the left
-    spread over ``salts`` tasks.
+    Otherwise only the hot groups (at most HOT_SHARE of them) are broadcast: their rows
+    find the answer on the spot and are spread by a salt, and no row is ever copied.
     """
-    keys = list(keys)
+    added = [c for c in groups.columns if c not in (key, rows)]
     if at_most(groups, BROADCAST_ROWS):
-        return left.join(F.broadcast(groups), keys, "left")
-    copied = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return (
-        left.withColumn("_salt", salt_of(*left.columns, salts=salts))
-        .join(copied, [*keys, "_salt"], "left")
-        .drop("_salt")
+        return left.join(F.broadcast(groups.drop(rows)), key, "left")
+    total = groups.agg(F.sum(rows)).scalar()
+    is_hot = F.coalesce(F.col(rows) * HOT_SHARE > total, F.lit(False))
+    hot = groups.filter(is_hot).select(
+        key, F.struct(*added).alias("_answer"), F.lit(True).alias("_hot")
+    )
+    cold = groups.filter(~is_hot & F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.lit(0).alias("_salt"), F.struct(*added).alias("_other")
+    )
+    settled = F.col("_hot").isNotNull() | F.col(key).isNull()
+    marked = left.join(F.broadcast(hot), key, "left").withColumns({
+        "_salt": F.when(settled, salt_of(*left.columns)).otherwise(F.lit(0)),
+        "_key": F.when(~settled, F.col(key)),
+    })
+    answer = F.coalesce("_answer", "_other")
+    return marked.join(cold, ["_key", "_salt"], "left").select(
+        *left.columns, *[answer[c].alias(c) for c in added]
     )
 
 

@@ -36,6 +36,9 @@ from quadrille.streaming import arrivals
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# The return flags stand for the link strategies.
+FLAGS = ("A", "N", "R")
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -72,7 +75,7 @@ def _repos(spark, d):
 
 def _files(spark, d):
     """The files as a written table, as the jobs that read them expect."""
-    files = analogs.files(spark, d)
+    files = analogs.files(spark, d).repartition("file_id")
     return cut_lineage(files.withColumn("file_category", X.file_category(F.col("file_path"))))
 
 
@@ -217,7 +220,7 @@ def model_tree(spark, d):
 
 @query
 def links_collapse(spark, d):
-    return warehouse.collapsed_links(_links(spark, d))
+    return warehouse.collapsed_links(_links(spark, d), FLAGS)
 
 
 @query
@@ -227,7 +230,7 @@ def links_enriched(spark, d):
         full_name("n_name", "s_name").alias("repo_name"),
         F.when(F.col("s_acctbal") > 0, F.col("n_name")).alias("primary_language"),
     )
-    return warehouse.silver_links(_links(spark, d), repos, _models(spark, d)).drop(
+    return warehouse.silver_links(_links(spark, d), repos, _models(spark, d), FLAGS).drop(
         "last_linked_at"
     )
 
@@ -446,7 +449,7 @@ def _cards(spark, d):
     )
     part = table(spark, d, "part")
     return cut_lineage(
-        part.select(
+        part.repartition("p_partkey").select(
             model_id("p_partkey").alias("model_id"),
             card.alias("card_content"),
             (F.col("p_type") != "PROMO").alias("is_lora_relevant"),
@@ -958,7 +961,7 @@ def random_sample(spark, d):
 @query
 def summary_kpis(spark, d):
     return explore.summary(
-        _repos(spark, d), _models(spark, d), warehouse.collapsed_links(_links(spark, d)),
+        _repos(spark, d), _models(spark, d), warehouse.collapsed_links(_links(spark, d), FLAGS),
         _repo_params(spark, d), _files(spark, d),
     )
 
@@ -1038,7 +1041,7 @@ def repos_page(spark, d):
 @query
 def repo_detail(spark, d):
     """The links of the first repository by name, best first."""
-    pairs = warehouse.collapsed_links(_links(spark, d))
+    pairs = warehouse.collapsed_links(_links(spark, d), FLAGS)
     repos = pairs.select(F.col("repo_full_name").alias("repo_name")).distinct()
     name = repos.agg(F.min("repo_name")).first()[0]
     _, linked = explore.repo_detail(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,16 +54,36 @@ def silver_models(staged: DataFrame) -> DataFrame:
     })
 
 
-def collapsed_links(links: DataFrame) -> DataFrame:
-    """One row per (repository, model): best confidence and all strategies."""
-    return links.groupBy("repo_full_name", "model_id").agg(
-        F.max("confidence").cast("double").alias("best_confidence"),
-        F.array_join(F.sort_array(F.collect_set("link_type")), ",").alias("link_types"),
-        F.max("created_at").alias("last_linked_at"),
+def collapsed_links(
+    links: DataFrame, types: Sequence[str] = vocab.LINK_TYPES
+) -> DataFrame:
+    """One row per (repository, model): best confidence and all strategies.
+
+    The strategies are a fixed set (the quality gate checks it), so the distinct ones of
+    a pair fit into the bits of a number: a hash aggregate without any list.
+    """
+    ordered = sorted(types)
+    bit = F.lit(0)
+    for i, name in enumerate(ordered):
+        bit = F.when(F.col("link_type") == name, 1 << i).otherwise(bit)
+    seen = F.col("_types")
+    named = [F.when(seen.bitwiseAND(1 << i) != 0, name) for i, name in enumerate(ordered)]
+    return (
+        links.groupBy("repo_full_name", "model_id")
+        .agg(
+            F.max("confidence").cast("double").alias("best_confidence"),
+            F.bit_or(bit).alias("_types"),
+            F.max("created_at").alias("last_linked_at"),
+        )
+        .withColumn("link_types", F.concat_ws(",", *named))
+        .select("repo_full_name", "model_id", "best_confidence", "link_types", "last_linked_at")
     )
 
 
-def silver_links(links: DataFrame, repos: DataFrame, models: DataFrame) -> DataFrame:
+def silver_links(
+    links: DataFrame, repos: DataFrame, models: DataFrame,
+    types: Sequence[str] = vocab.LINK_TYPES,
+) -> DataFrame:
     """Collapsed links with flags and the context of both ends.
 
     A repository or model may own a large share of all links, so both lookups split
@@ -71,7 +91,7 @@ def silver_links(links: DataFrame, repos: DataFrame, models: DataFrame) -> DataF
     """
     context = repos.select(F.col("repo_name").alias("repo_full_name"), "primary_language")
     facts = models.select("model_id", "base_model", "downloads", "likes")
-    flagged = collapsed_links(links).withColumns({
+    flagged = collapsed_links(links, types).withColumns({
         "is_high_confidence": F.col("best_confidence") >= 0.7,
         "is_signal_confidence": F.col("best_confidence") >= 0.5,
     })
