@@ -141,13 +141,19 @@ def _json_leaf(raw: Column, value: Column, shape: Column) -> Column:
 _JSON_ROWS = "array<struct<ord:int,param_name:string,param_value:string>>"
 
 
-def json_params(content: Column) -> Column:
+def json_params(content: Column, own_names: bool = False) -> Column:
     """Top-level entries of a JSON object as an array of (ord, param_name, param_value).
 
     Entries keep the order of the text. Anything but an object gives an empty array.
     The text is parsed once, and each entry that names a parameter is read once.
+    ``own_names`` also accepts the parameters' own names, as recorded answers use them.
     """
 
+    def param(key: Column) -> Column:
+        if not own_names:
+            return canonical(key)
+        return F.when(key.isin(*vocab.PARAMS), key).otherwise(canonical(key))
+
     def described(entry: Column) -> Column:
         return let(
             F.struct(
@@ -169,7 +175,7 @@ def json_params(content: Column) -> Column:
                 entries,
                 lambda e, i: F.struct(
                     i.alias("ord"),
-                    canonical(e["key"]).alias("param_name"),
+                    param(e["key"]).alias("param_name"),
                     e["value"].alias("raw"),
                     F.try_element_at(by_name, e["key"]).alias("value"),
                 ),
@@ -396,7 +402,9 @@ def model_params(
 
 def answer_rows(answers: DataFrame, first_files: DataFrame) -> DataFrame:
     """Rows of recorded answers (repo_full_name, answer_json), keyed to the first file."""
-    rows = F.filter(json_params(F.col("answer_json")), lambda r: r["param_value"] != "")
+    rows = F.filter(
+        json_params(F.col("answer_json"), own_names=True), lambda r: r["param_value"] != ""
+    )
     found = answers.select(
         "repo_full_name", F.lit("llm").alias("source"), once_per_param(rows).alias("rows")
     )

@@ -567,7 +567,7 @@ ORACLE["answer_rows"] = over(
     f"""SELECT repo_full_name, file_id, 'llm' AS source, u.param_name, u.param_value,
                CAST(0.7 AS DOUBLE) AS confidence
         FROM (SELECT f.repo_full_name, f.file_id, [
-            {{'param_name': 'rank_value', 'param_value': '5'}},
+            {{'param_name': 'rank_value', 'param_value': CAST(contributors_count AS VARCHAR)}},
             {{'param_name': 'optimizer', 'param_value': 'adamw'}},
             {{'param_name': 'num_train_epochs', 'param_value': '3.0'}}] AS r
             FROM (SELECT repo_full_name, file_id, row_number() OVER (

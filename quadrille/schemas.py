@@ -71,7 +71,11 @@ BRONZE_DDL = {
     """,
 }
 
-BRONZE = {name: T.StructType.fromDDL(ddl) for name, ddl in BRONZE_DDL.items()}
+
+def bronze_schema(name: str) -> T.StructType:
+    """Schema of a bronze table (parsing DDL needs a running session)."""
+    return T.StructType.fromDDL(BRONZE_DDL[name])
+
 
 # The tables a full warehouse load replaces.
 WAREHOUSE_TABLES = (
@@ -80,9 +84,9 @@ WAREHOUSE_TABLES = (
     "repo_lora_params", "hf_models_lora_params",
 )
 
-PATH_TREE = T.StructType.fromDDL("repo STRING, ord INT, path STRING, type STRING, sha STRING")
+PATH_TREE = "repo STRING, ord INT, path STRING, type STRING, sha STRING"
 
-ACTIVITY_EVENT = T.StructType.fromDDL(
+ACTIVITY_EVENT = (
     "type STRING, repo STRUCT<name: STRING, topics: ARRAY<STRING>>, "
     "payload STRUCT<commits: ARRAY<STRUCT<message: STRING>>>"
 )

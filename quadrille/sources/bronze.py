@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quadrille.schemas import BRONZE, WAREHOUSE_TABLES
+from quadrille.schemas import WAREHOUSE_TABLES, bronze_schema
 
 
 def bytes_to_text(df: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
     """One bronze table. Text formats are read with the schema, never inferred."""
-    schema = BRONZE[name]
+    schema = bronze_schema(name)
     if fmt == "parquet":
         return conform(spark.read.parquet(path), schema)
     options = {"header": "true"} if fmt == "csv" else {}
@@ -80,4 +80,4 @@ def read_database(
             .option("upperBound", bounds[1])
             .option("numPartitions", splits)
         )
-    return conform(reader.options(**options).load(), BRONZE[name])
+    return conform(reader.options(**options).load(), bronze_schema(name))

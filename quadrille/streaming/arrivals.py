@@ -14,7 +14,7 @@ from quadrille.sources.sinks import complete_folders, insert_ignore
 
 
 def arriving(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
     files_per_batch: int | None = None, names: str | None = None,
 ) -> DataFrame:
     """A stream of the files that appear under ``path`` (those matching ``names``)."""
