@@ -16,6 +16,7 @@ from quadrille.functions import vocab
 from quadrille.functions.parsers import parse_leaves
 from quadrille.functions.text import double_text, file_category, folded, let, strip
 from quadrille.operators.params import params_table
+from quadrille.operators.skew import skew_join
 
 _SPELLED = {word: name for name, words in vocab.SPELLINGS.items() for word in words}
 # One SQL literal and one pattern keep the plans small.
@@ -316,7 +317,8 @@ def raw_config_rows(files: DataFrame, repos: DataFrame) -> DataFrame:
         F.col("repo_name").alias("repo_full_name")
     )
     keys = ["repo_full_name", "file_id"]
-    found = found_in_files(files.join(usable, "repo_full_name", "left_semi"), keys)
+    kept = skew_join(files, usable, ["repo_full_name"], "left_semi", salt_by=["file_id"])
+    found = found_in_files(kept, keys)
     return exploded(found, keys, once_per_param(F.col("rows"), last=True)).drop("ord")
 
 

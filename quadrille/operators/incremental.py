@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
+from quadrille.operators.skew import skew_join
 
 
 def not_yet(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -45,10 +46,10 @@ def ingest_backlog(discovered: DataFrame, limit: int) -> DataFrame:
 def stale(
     rows: DataFrame, done: DataFrame, key: str, changed: str, done_at: str
 ) -> DataFrame:
-    """Rows never processed, or changed since they were."""
+    """Rows never processed, or changed since they were. A key may have many rows."""
     seen = done.select(key, F.col(done_at).alias("_done_at"))
     return (
-        rows.join(seen, key, "left")
+        skew_join(rows, seen, [key], "left", salt_by=[key, changed])
         .filter(F.col("_done_at").isNull() | (F.col(changed) > F.col("_done_at")))
         .drop("_done_at")
     )
@@ -100,9 +101,9 @@ def fallback_targets(
     return (
         files.filter("content IS NOT NULL")
         .select("repo_full_name")
-        .join(usable, "repo_full_name", "left_semi")
-        .join(raw.select("repo_full_name"), "repo_full_name", "left_anti")
         .distinct()
+        .join(usable, "repo_full_name", "left_semi")
+        .join(raw.select("repo_full_name").distinct(), "repo_full_name", "left_anti")
         .orderBy("repo_full_name")
         .limit(limit)
     )

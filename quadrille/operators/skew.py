@@ -33,6 +33,7 @@ def skew_join(
     keys: Sequence[str],
     how: str = "inner",
     condition: Column | None = None,
+    salt_by: Sequence[str] | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi join that spreads the hot keys of either side over several tasks.
@@ -43,6 +44,7 @@ def skew_join(
     left_anti joins may only copy the right side, so they salt the left one. Rows
     with a NULL key match nothing and are spread too. ``condition`` is an extra
     predicate evaluated inside the join, over names that differ between the sides.
+    ``salt_by`` names left columns to salt by where hashing all of them is dear.
     """
     keys = list(keys)
     every = F.sequence(F.lit(0), F.lit(salts - 1))
@@ -62,7 +64,7 @@ def skew_join(
         copies = F.when(F.col("_hot"), every).otherwise(once)
         return flagged(df, hot).withColumn(name, F.explode(copies)).drop("_hot")
 
-    left_columns, right_columns = left.columns, right.columns
+    left_columns, right_columns = list(salt_by or left.columns), right.columns
     left_hot = hot_keys(left, keys)
     on = [*keys, "_salt_l"]
     lhs = salted(left, left_hot, "_salt_l", left_columns)

@@ -91,7 +91,7 @@ def _links(spark, d):
     names = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
         "s_suppkey", full_name("n_name", "s_name").alias("repo_full_name")
     )
-    return item.join(F.broadcast(names), item.l_suppkey == names.s_suppkey).select(
+    return item.join(names, item.l_suppkey == names.s_suppkey).select(
         "repo_full_name",
         model_id("l_partkey").alias("model_id"),
         F.col("l_returnflag").alias("link_type"),

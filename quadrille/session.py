@@ -27,6 +27,7 @@ def local_session(cores: int | str = "*", app: str = "quadrille") -> SparkSessio
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", "8" if cores == "*" else str(cores))
     )
     for key, value in RUNTIME_CONF.items():
