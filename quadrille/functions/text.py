@@ -65,7 +65,11 @@ def exact_round(c: Column, digits: int) -> Column:
 
 
 def double_text(c: Column) -> Column:
-    """Shortest text of a double: ``0.0002``, ``1e-05``, ``64.0``, ``1e+16``."""
+    """Shortest text of a double: ``0.0002``, ``1e-05``, ``64.0``, ``1e+16``.
+
+    Values of up to 15 digits are shown exactly; a longer one always reads back as the
+    same value, but its last digit follows the JVM's.
+    """
     size = F.abs(c)
     text = size.cast("string")
     # Numbers the JVM prints plainly and briefly are right as they are.
@@ -83,7 +87,9 @@ def _shortest(value: Column) -> Column:
     fewer = lambda n: F.upper(F.format_string(f"%.{n - 1}e", size))
     same = lambda n: fewer(n).try_cast("double") == size
     long = F.length(text) >= 17
-    exact = F.when(long & same(16), fewer(16)).when(long & same(17), fewer(17)).otherwise(text)
+    exact = text
+    for n in (17, 16, 15):
+        exact = F.when(long & same(n), fewer(n)).otherwise(exact)
 
     def parts(exact: Column) -> Column:
         mantissa = F.replace(F.substring_index(exact, "E", 1), F.lit("."), F.lit(""))
@@ -104,7 +110,8 @@ def _shortest(value: Column) -> Column:
             F.substring(digits, 1, 1),
             F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")),
             F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-            F.lpad(F.abs(power).cast("string"), 2, "0"),
+            F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")),
+            F.abs(power).cast("string"),
         )
         return (
             F.when(power.between(-4, -1), small)
@@ -122,6 +129,16 @@ def _shortest(value: Column) -> Column:
     )
 
 
+def number_of(text: Column) -> Column:
+    """Double of a decimal number's text, blanks around it aside; NULL for anything else.
+
+    The shape is tested first: a failed cast costs far more, and the JVM would also read
+    suffixes such as ``10f``.
+    """
+    shape = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"
+    return let(strip(text), lambda bare: F.when(bare.rlike(shape), bare.try_cast("double")))
+
+
 def render_param(name: str, c: Column) -> Column:
     """Text of a parameter value as the statistics show it.
 
@@ -147,7 +164,7 @@ def asked_value(name: str, value: Column) -> Column:
             .otherwise(value)
         )
     if name in vocab.INT_PARAMS:
-        whole = strip(value).try_cast("double").cast("bigint").cast("string")
+        whole = number_of(value).try_cast("bigint").cast("string")
         return F.coalesce(whole, value)
     return value
 

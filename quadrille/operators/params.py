@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
-from quadrille.functions.text import exact_round, folded, let, strip
+from quadrille.functions.text import exact_round, folded, let, number_of, strip
 
 
 def priority_of(source: Column) -> Column:
@@ -82,24 +82,21 @@ def merge_params(
 # --- typed values ------------------------------------------------------------------
 
 
-def as_number(text: Column) -> Column:
-    """Double of a text, NULL when it is not one; accepts surrounding blanks."""
-    return strip(text).try_cast("double")
-
-
 def _whole(name: str, text: Column) -> Column:
     low, high = vocab.INT_BOUNDS[name]
-    number = as_number(text)
-    # Far outside the bounds is out anyway; the cast must not overflow.
-    cut = F.when(F.abs(number) < 1e9, number).cast("int")
-    inside = cut.between(low, high)
-    return F.when(inside & (cut != 0) if name == "rank_value" else inside, cut)
+
+    def bounded(number: Column) -> Column:
+        # Far outside the bounds is out anyway; the cast must not overflow.
+        cut = F.when(F.abs(number) < 1e9, number).cast("int")
+        inside = cut.between(low, high)
+        return F.when(inside & (cut != 0) if name == "rank_value" else inside, cut)
+
+    return let(number_of(text), bounded)
 
 
 def _real(name: str, text: Column) -> Column:
     low, high = vocab.FLOAT_BOUNDS[name]
-    number = as_number(text)
-    return F.when(number.between(low, high), number)
+    return let(number_of(text), lambda number: F.when(number.between(low, high), number))
 
 
 def _truth(text: Column) -> Column:
