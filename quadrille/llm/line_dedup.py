@@ -269,7 +269,7 @@ def repeated_lines(
     first = once.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("latest"))
     judged = first.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     # Lines without a copy or a neighbour need not be looked up.
-    told = judged.filter((F.col("first") < F.col("latest")) | F.col("near")).drop("latest")
+    told = staged(judged.filter((F.col("first") < F.col("latest")) | F.col("near")).drop("latest"))
     late = (place > F.col("first")) | F.coalesce("near", F.lit(False))
     gone = once.join(told, ["h1", "h2"]).filter(late).select("doc_id", "text_key", "line_no", "h1", "h2")
     more = lines.filter("again").select("doc_id", "text_key", "line_no")

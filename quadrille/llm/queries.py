@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.llm import bpe_numpy, decontaminate, language_id, line_dedup, simhash, token_counts
+from quadrille.llm import (
+    bpe_numpy,
+    decontaminate,
+    language_id,
+    line_dedup,
+    order_minhash,
+    quotations,
+    sharding,
+    simhash,
+    substring_dedup,
+    token_counts,
+)
 from quadrille.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +88,35 @@ def op9_language_id(spark, d):
     model = language_id.fit(docs.filter(fold != 0))
     marked = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "text")
     return language_id.identify(marked, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op4_jump_shards(spark, d):
+    placed = sharding.assign(sharding.sized(_docs(spark, d).select("doc_id", "text")))
+    rows = placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "grown_shard")
+    return sharding.numbered(rows, order=("doc_id", "text_crc32"))
+
+
+@query
+def op8_substring_dedup(spark, d):
+    kept = substring_dedup.dedup_substrings(_docs(spark, d).select("doc_id", "text"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return kept.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+
+
+@query
+def op10_order_minhash(spark, d):
+    found = order_minhash.compared(_docs(spark, d))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
+@query
+def op3_quotation_linking(spark, d):
+    linked = quotations.link_quotations(table(spark, d, "conversations"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256")
+    return quotations.in_reply_order(linked).select(
+        "conv_id", "turn", "role", digest, "n_quotes", "n_linked", "reply_to", "thread", "depth"
+    )
