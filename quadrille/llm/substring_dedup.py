@@ -7,8 +7,8 @@ windows merge into maximal removed runs by themselves.
 Tasks hash all windows of their texts and send each distinct hash once per chunk of texts, with the
 smallest doc_id that has it there, packed by ranges of the hash. A window that every document
 has thus arrives once per chunk, not once per document. Each range finds the smallest doc_id of
-a hash overall and answers with the (document, hash) pairs that come later. Documents then cut
-the words that their hashes cover.
+a hash overall and answers with the (document, hash) pairs that come later, packed by groups of
+documents. Documents then cut the words that their hashes cover.
 
 Hashes have 64 bits: at 10^13 windows a window meets a stranger's hash with a chance of 5e-7.
 
@@ -35,8 +35,8 @@ WINDOW = 13
 # Windows that a task packs together, and that a range of hashes should hold.
 CHUNK_WINDOWS = 1_500_000
 RANGE_WINDOWS = 2_000_000
-# Ranges are dealt out by a hash, so there are some more of them than tasks.
-RANGES_A_TASK = 4
+# Ranges, and groups of documents, are dealt out by a hash, so there are some more of them than tasks.
+PLACES_A_TASK = 4
 # Bytes of text hashed in one go.
 BLOCK_BYTES = 4 << 20
 BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -134,48 +134,54 @@ def later(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return hashes[heads], least, hashes[late], docs[late]
 
 
-def _answers(hashes: np.ndarray, docs: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Pairs as a row per document with its distinct hashes."""
-    order = np.lexsort((hashes, docs))
-    hashes, docs = hashes[order], docs[order]
-    if len(docs):
-        new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])])
-        hashes, docs = hashes[new], docs[new]
-    heads = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if len(docs) else order
-    ends = np.append(heads[1:], len(docs))
-    flat = hashes.tobytes()
-    return docs[heads].tolist(), [flat[a * 8 : b * 8] for a, b in zip(heads.tolist(), ends.tolist())]
+def grouped(hashes: np.ndarray, docs: np.ndarray, groups: int) -> list[tuple[int, bytes, bytes]]:
+    """Distinct pairs as a row per group of documents: (group, hashes, documents)."""
+    place = docs % groups
+    order = np.lexsort((hashes, docs, place))
+    hashes, docs, place = hashes[order], docs[order], place[order]
+    if not len(docs):
+        return []
+    new = np.concatenate([[True], (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])])
+    hashes, docs, place = hashes[new], docs[new], place[new]
+    heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]])).tolist()
+    return [
+        (int(place[a]), planes(hashes[a:b]), planes(docs[a:b])) for a, b in zip(heads, [*heads[1:], len(docs)])
+    ]
+
+
+def batch_of(rows: list[tuple], is_answer: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.int64()), pa.array([is_answer] * len(rows), pa.bool_()),
+         pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())],
+        ["place", "answer", "hashes", "docs"],
+    )
+
+
+def unpacked(batches: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    hashes = [from_planes(b, np.uint64) for x in batches for b in x.column("hashes").to_pylist()]
+    docs = [from_planes(b, np.int64) for x in batches for b in x.column("docs").to_pylist()]
+    return np.concatenate([np.zeros(0, np.uint64), *hashes]), np.concatenate([np.zeros(0, np.int64), *docs])
 
 
 def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WINDOW) -> DataFrame:
     """(doc, hashes): the window hashes of each document that a document before it has.
 
-    ``doc`` is the key, the largest integer for NULL; a document can have several rows.
+    ``doc`` is the key, the largest integer for NULL; there is one row for each.
     """
     rows = docs.select(
         F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)).alias("doc"), F.col(text).alias("text")
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     tasks = max(1, -(-size // (6 * RANGE_WINDOWS)))  # a word and its space have six bytes or so
-    ranges = np.uint64(tasks * RANGES_A_TASK)
+    places = tasks * PLACES_A_TASK
 
-    def packed(hashes: list[np.ndarray], owners: list[np.ndarray]) -> pa.RecordBatch:
+    def packed(hashes: list[np.ndarray], owners: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         distinct, least, late, late_docs = later(np.concatenate(hashes), np.concatenate(owners))
-        place = ((distinct >> np.uint64(32)) * ranges) >> np.uint64(32)
-        heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        ends = np.append(heads[1:], len(distinct))
-        spans = list(zip(heads.tolist(), ends.tolist()))
-        own, own_hashes = _answers(late, late_docs)
-        blocks, answers = len(spans), len(own)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([int(place[a]) for a, _ in spans] + [d % int(ranges) for d in own], pa.int64()),
-                pa.array([None] * blocks + own, pa.int64()),
-                pa.array([planes(distinct[a:b]) for a, b in spans] + own_hashes, pa.binary()),
-                pa.array([planes(least[a:b]) for a, b in spans] + [None] * answers, pa.binary()),
-            ],
-            ["range", "doc", "hashes", "docs"],
-        )
+        range_of = ((distinct >> np.uint64(32)) * np.uint64(places)) >> np.uint64(32)
+        heads = np.flatnonzero(np.concatenate([[True], range_of[1:] != range_of[:-1]])).tolist()
+        spans = zip(heads, [*heads[1:], len(distinct)])
+        yield batch_of([(int(range_of[a]), planes(distinct[a:b]), planes(least[a:b])) for a, b in spans], False)
+        yield batch_of(grouped(late, late_docs, places), True)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, owners, held = [], [], 0
@@ -186,28 +192,37 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", n
                 owners.append(np.array(batch.column("doc"))[owner])
                 held += len(windows)
             if held >= CHUNK_WINDOWS:
-                yield packed(hashes, owners)
+                yield from packed(hashes, owners)
                 hashes, owners, held = [], [], 0
         if held:
-            yield packed(hashes, owners)
+            yield from packed(hashes, owners)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, docs = [], []
+        asked = []
         for batch in batches:
-            is_answer = batch.column("doc").is_valid()
-            yield batch.select(["doc", "hashes"]).filter(is_answer)
-            blocks = batch.filter(pa.compute.invert(is_answer))
-            hashes += [from_planes(b, np.uint64) for b in blocks.column("hashes").to_pylist()]
-            docs += [from_planes(b, np.int64) for b in blocks.column("docs").to_pylist()]
-        if hashes:
-            _, _, late, late_docs = later(np.concatenate(hashes), np.concatenate(docs))
-            own, own_hashes = _answers(late, late_docs)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(own, pa.int64()), pa.array(own_hashes, pa.binary())], ["doc", "hashes"]
-            )
+            is_answer = batch.column("answer")
+            yield batch.filter(is_answer)
+            asked.append(batch.filter(pa.compute.invert(is_answer)))
+        _, _, late, late_docs = later(*unpacked(asked))
+        yield batch_of(grouped(late, late_docs, places), True)
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, owners = unpacked(list(batches))
+        order = np.argsort(owners, kind="stable")
+        hashes, owners = hashes[order], owners[order]
+        heads = np.flatnonzero(np.diff(owners, prepend=-1 if not len(owners) else owners[0] - 1)).tolist()
+        flat = hashes.tobytes()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(owners[heads], pa.int64()),
+             pa.array([flat[a * 8 : b * 8] for a, b in zip(heads, [*heads[1:], len(owners)])], pa.binary())],
+            ["doc", "hashes"],
+        )
 
-    sent = rows.mapInArrow(hashed, "range bigint, doc bigint, hashes binary, docs binary")
-    return sent.repartition(tasks, "range").mapInArrow(compared, "doc bigint, hashes binary")
+    packing = "place bigint, answer boolean, hashes binary, docs binary"
+    answers = rows.mapInArrow(hashed, packing).repartition(tasks, "place").mapInArrow(compared, packing)
+    return answers.select("place", "hashes", "docs").repartition(tasks, "place").mapInArrow(
+        merged, "doc bigint, hashes binary"
+    )
 
 
 def kept_words(words: list[bytes], windows: np.ndarray, gone: np.ndarray, n: int) -> list[bytes]:
@@ -226,9 +241,10 @@ def dedup_substrings(
     """``docs`` with the words that remain in ``text``, and how many it had and lost."""
     kept = docs.drop(*[c for c in (n_words, n_removed) if c not in (key, text)])
     doc, gone = free_name(docs, "__doc"), free_name(docs, "__gone")
-    per_doc = repeated_windows(docs, key, text, n).groupBy("doc").agg(F.collect_list("hashes").alias(gone))
+    per_doc = repeated_windows(docs, key, text, n)
     marked = kept.withColumn(doc, F.coalesce(F.col(key).cast("bigint"), F.lit(LAST)))
-    joined = marked.join(per_doc.withColumnRenamed("doc", doc), doc, "left").select(*kept.columns, gone)
+    per_doc = per_doc.withColumnsRenamed({"doc": doc, "hashes": gone})
+    joined = marked.join(per_doc, doc, "left").select(*kept.columns, gone)
     at = kept.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +256,7 @@ def dedup_substrings(
                 left = words
                 if found and len(words) >= n:
                     windows, _ = slice_windows([value], n)
-                    left = kept_words(words, windows, np.frombuffer(b"".join(found), np.uint64), n)
+                    left = kept_words(words, windows, np.frombuffer(found, np.uint64), n)
                 had.append(len(words))
                 lost.append(len(words) - len(left))
                 out.append(b" ".join(left).decode("utf-8", "surrogatepass") if is_text else None)
