@@ -20,6 +20,8 @@ that, which can only change the order of a tuple.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,9 +138,12 @@ def likeness(a: Column, b: Column, bins: int = BINS) -> Column:
 
 
 def with_next(
-    df: DataFrame, key: str = "doc_id", text: str = "text", others: tuple[str, ...] = (), task_bytes: int = TASK_BYTES
+    df: DataFrame, key: str = "doc_id", text: str = "text", task_bytes: int = TASK_BYTES,
+    made: Callable[[DataFrame], DataFrame] = lambda rows: rows, others: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``df`` with next_<column> for ``text`` and ``others``: those of the row after it in descending order.
+    """``made(df)`` with next_<column> for ``text`` and ``others``: those of the row after it in descending order.
+
+    ``made`` adds the columns ``others``, row by row.
 
     After the last row comes the first. NULL keys come last; rows that share a key go by their text's
     hash. Rows are dealt into ranges of the key by quantiles and sorted there; only a range's last
@@ -159,20 +164,23 @@ def with_next(
     placed = rows.withColumn("__range", F.when(F.col(key).isNull(), loose).otherwise(above).cast("bigint"))
     inside = Window.partitionBy("__range").orderBy(F.col(key).desc_nulls_last(), F.col("__tie"))
     mine = F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in taken])
-    led = placed.withColumn("__next", F.lead(mine).over(inside))
+    more = made(placed)
+    led = more.withColumn("__next", F.lead(mine).over(inside))
     # A row per range from here on: its highest key, its first row, the range after it.
     tops = placed.groupBy("__range").agg(F.max(key).alias("__top"))
-    firsts = (
+    first_text = (
         placed.join(F.broadcast(tops), "__range").filter(F.col(key).eqNullSafe(F.col("__top")))
-        .groupBy("__range").agg(F.min_by(mine, "__tie").alias("__head"))
+        .groupBy("__range").agg(F.min_by(F.coalesce(F.col(text), F.lit("")), "__tie").alias(text))
     )
+    firsts = made(first_text).select("__range", mine.alias("__head"))
     along = Window.orderBy("__range")
     whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = tops.select("__range", F.coalesce(
         F.lead("__range").over(along), F.min("__range").over(whole)).alias("__after"))
     heads = after.join(firsts.withColumnRenamed("__range", "__after"), "__after").select("__range", "__head")
     joined = led.join(heads, "__range").withColumn("__next", F.coalesce("__next", "__head"))
-    return joined.select(*df.columns, *[F.col(f"__next.{c}").alias(f"next_{c}") for c in taken])
+    columns = [c for c in more.columns if c not in ("__tie", "__range")]
+    return joined.select(*columns, *[F.col(f"__next.{c}").alias(f"next_{c}") for c in taken])
 
 
 def edited(text: Column, size: Column, next_text: Column, part: int = 3) -> Column:
@@ -184,8 +192,9 @@ def edited(text: Column, size: Column, next_text: Column, part: int = 3) -> Colu
 def compared(df: DataFrame, key: str = "doc_id", text: str = "text", task_bytes: int = TASK_BYTES) -> DataFrame:
     """(key, n_chars, edited_text, fingerprint, edited_fingerprint, near_edited, near_next) of every row."""
     rows = df.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    printed = with_fingerprint(rows, "text", "fingerprint").withColumn("n_chars", F.length("text"))
-    led = with_next(printed, "doc_id", "text", ("fingerprint",), task_bytes)
+    printed = lambda df: with_fingerprint(df, "text", "fingerprint")
+    sized = rows.withColumn("n_chars", F.length("text"))
+    led = with_next(sized, "doc_id", "text", task_bytes, printed, ("fingerprint",))
     changed = led.select(
         "doc_id", "n_chars", "fingerprint", "next_fingerprint",
         edited(F.col("text"), F.col("n_chars"), F.col("next_text")).alias("edited_text"),
