@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,16 +57,14 @@ def slices(
     A single longer text is a piece of its own.
     """
     for batch in batches:
-        texts = batch.column(text).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
         start = size = 0
-        for i, value in enumerate(texts):
-            n = len(value) if value else 0
-            if size and size + n > chars:
-                yield batch.slice(start, i - start), [t or "" for t in texts[start:i]]
+        for i, n in enumerate([*sizes, chars + 1]):
+            if i > start and (size + n > chars or i == len(sizes)):
+                part = batch.slice(start, i - start)
+                yield part, [t or "" for t in part.column(text).to_pylist()]
                 start, size = i, 0
             size += n
-        if len(texts) > start:
-            yield batch.slice(start), [t or "" for t in texts[start:]]
 
 
 def with_columns(batch: pa.RecordBatch, drop: Sequence[str], **columns) -> pa.RecordBatch:

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ from quadrille.llm.common import free_name, schema_of, slices, with_columns
 
 WINDOW = 13
 # Windows that a task packs together, and that a range of hashes should hold.
-CHUNK_WINDOWS = 1_500_000
+CHUNK_WINDOWS = 1_000_000
 RANGE_WINDOWS = 2_000_000
 # Ranges, and groups of documents, are dealt out by a hash, so there are some more of them than tasks.
 PLACES_A_TASK = 4
@@ -202,7 +203,7 @@ def repeated_windows(docs: DataFrame, key: str = "doc_id", text: str = "text", n
         for batch in batches:
             is_answer = batch.column("answer")
             yield batch.filter(is_answer)
-            asked.append(batch.filter(pa.compute.invert(is_answer)))
+            asked.append(batch.filter(pc.invert(is_answer)))
         _, _, late, late_docs = later(*unpacked(asked))
         yield batch_of(grouped(late, late_docs, places), True)
 
