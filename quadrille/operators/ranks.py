@@ -49,9 +49,14 @@ def running_counts(
         F.sum("_run").over(parts).alias("total"),
     )
     inside = Window.partitionBy(*group, "_part").orderBy(value).rowsBetween(*run)
+    renamed = offsets.withColumnsRenamed({g: f"_o_{g}" for g in [*group, "_part"]})
+    same = F.lit(True)
+    for name in (*group, "_part"):
+        # NULL is a group like any other.
+        same = same & F.col(name).eqNullSafe(F.col(f"_o_{name}"))
     return (
         laid_out.withColumn("_upto", F.sum("rows").over(inside))
-        .join(offsets, [*group, "_part"])
+        .join(renamed, same)
         .select(
             *group,
             value,
@@ -106,10 +111,12 @@ def percent_ranks_small(df: DataFrame, signals: Mapping[str, Column]) -> DataFra
     return df.select("*", *[c.alias(n) for n, c in ranked.items()])
 
 
-def group_medians(df: DataFrame, group: Sequence[str], value: str, name: str) -> DataFrame:
-    """Interpolated median of ``value`` per group, exact for groups of any size."""
+def group_medians(
+    df: DataFrame, group: Sequence[str], value: str, name: str, one_task_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Interpolated median of ``value`` per group (NULL is one), exact for groups of any size."""
     group = list(group)
-    runs = running_counts(df.filter(F.col(value).isNotNull()), group, value)
+    runs = running_counts(df.filter(F.col(value).isNotNull()), group, value, one_task_rows)
     low = F.floor((F.col("total") - 1) / 2)
     high = F.floor(F.col("total") / 2)
     covers = lambda at: (F.col("before") <= at) & (at < F.col("before") + F.col("rows"))

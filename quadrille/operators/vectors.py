@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
 from quadrille.functions.text import render_param, scrub, sql_round, stable_uuid
-from quadrille.operators.skew import at_most
 
 COLLECTIONS = ("repos", "models")
 TEXT_CAP = 2000
 CARD_CAP = 1500
 PRACTICE_LINES = 8
-# Question sets up to this many rows travel with the tasks; larger ones are joined.
+# Questions that travel with the tasks at a time.
 SHIPPED_QUESTIONS = 2_000
-# Rows of one block in the joined form: bounds what a task holds at a time.
-BLOCK_ROWS = 20_000
+# Bytes of the scores that a task computes at a time.
+MATRIX_BYTES = 64 << 20
+# Scores are compared with so many digits: sums in another order agree to that.
+SCORE_DIGITS = 12
 
 
 # --- collections -------------------------------------------------------------------
@@ -67,26 +68,32 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
     return np.flatnonzero(scores >= np.partition(scores, -k)[-k])
 
 
-def _top_of_block(
-    ids: np.ndarray, vectors: np.ndarray, asked: Sequence, questions: np.ndarray, k: int
-) -> pd.DataFrame:
-    scores = np.floor(_unit(questions) @ _unit(vectors).T * 1e4 + 0.5) / 1e4
-    out = []
-    for question, row in zip(asked, scores):
-        keep = _best(row, k)
-        # Within a block ids break ties, so no more than k rows leave it.
-        first = sorted(keep, key=lambda i: (-row[i], ids[i]))[:k]
-        out += [(question, ids[i], float(row[i])) for i in first]
-    return pd.DataFrame(out, columns=["question", "id", "score"])
-
-
 def _stack(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
+class _Nearest:
+    """The k best points so far of every question, read slice by slice."""
+
+    def __init__(self, questions: np.ndarray, k: int, matrix_bytes: int) -> None:
+        self.unit, self.k = _unit(questions), k
+        self.slice = max(1, matrix_bytes // (8 * len(questions)))
+        self.best: list[list[tuple]] = [[] for _ in questions]
+
+    def read(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        for start in range(0, len(ids), self.slice):
+            part = ids[start : start + self.slice]
+            scores = np.round(self.unit @ _unit(vectors[start : start + self.slice]).T, SCORE_DIGITS)
+            for row, held in zip(scores, self.best):
+                new = [(-row[i], part[i]) for i in _best(row, self.k)]
+                held[:] = sorted(held + new)[: self.k]
+
+
 def _cut(hits: DataFrame, k: int) -> DataFrame:
+    """The k best by the whole score; it is rounded for display only."""
     order = Window.partitionBy("question").orderBy(F.col("score").desc(), "id")
-    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.withColumn("score", sql_round(F.col("score"), 4))
 
 
 def search_many(
@@ -94,64 +101,47 @@ def search_many(
     questions: DataFrame,
     k: int,
     shipped: int = SHIPPED_QUESTIONS,
-    block_rows: int = BLOCK_ROWS,
+    matrix_bytes: int = MATRIX_BYTES,
 ) -> DataFrame:
     """The k most similar points of every question: (question, id, score, rank).
 
-    ``points`` is (id, vector), ``questions`` (question, vector). Similarity is the
-    cosine, rounded to four digits; ties go to the lower id. Scores are a matrix product
-    per Arrow batch, and only k rows per question leave a batch, so no pair is ever
-    emitted. Few questions travel to the tasks; for more than ``shipped`` both sides are
-    cut into blocks of bounded size that meet once each.
+    ``points`` is (id, vector), ``questions`` (question, vector). Similarity is the cosine; ties of
+    the whole score go to the lower id, and it is shown with four digits. Questions travel to the
+    tasks in blocks of at most ``shipped``, and the points are read once per block. A task holds a
+    matrix of at most ``matrix_bytes`` and the k best of every question, and gives out only those.
     """
     id_type = points.schema["id"].dataType.simpleString()
     question_type = questions.schema["question"].dataType.simpleString()
     schema = f"question {question_type}, id {id_type}, score DOUBLE"
     points = points.select("id", "vector")
-
-    if at_most(questions, shipped):
-        rows = questions.select("question", "vector").collect()
-        asked = [r["question"] for r in rows]
-        if not asked:
-            return points.sparkSession.createDataFrame([], f"{schema}, rank INT")
-        matrix = np.array([r["vector"] for r in rows], dtype=np.float64)
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                if len(batch):
-                    yield _top_of_block(
-                        batch["id"].to_numpy(), _stack(batch["vector"]), asked, matrix, k
-                    )
-
-        return _cut(points.mapInPandas(scan, schema), k)
-
-    def blocks(df: DataFrame, key: str) -> tuple[DataFrame, int]:
-        n = max(1, -(-df.count() // block_rows))
-        return df.withColumn("_own", F.pmod(F.xxhash64(key), F.lit(n)).cast("int")), n
-
-    left, left_blocks = blocks(points, "id")
-    right, right_blocks = blocks(questions.select("question", "vector"), "question")
-    left = left.withColumnRenamed("_own", "_p").withColumn(
-        "_q", F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1)))
-    )
-    right = right.withColumnRenamed("_own", "_q").withColumn(
-        "_p", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)))
-    )
-
-    def meet(block: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
-        if block.empty or wanted.empty:
-            return pd.DataFrame({"question": [], "id": [], "score": []})
-        return _top_of_block(
-            block["id"].to_numpy(), _stack(block["vector"]),
-            wanted["question"].tolist(), _stack(wanted["vector"]), k,
-        )
-
-    met = (
-        left.groupBy("_p", "_q")
-        .cogroup(right.groupBy("_p", "_q"))
-        .applyInPandas(meet, schema)
-    )
-    return _cut(met, k)
+    blocks = max(1, -(-questions.count() // shipped))
+    own = F.pmod(F.xxhash64("question"), F.lit(blocks))
+    hits = points.sparkSession.createDataFrame([], schema)
+    for block in range(blocks):
+        rows = questions.filter(own == block).select("question", "vector").collect()
+        for start in range(0, len(rows), shipped):
+            part = rows[start : start + shipped]
+            hits = hits.unionByName(points.mapInPandas(_scan(part, k, matrix_bytes), schema))
+    return _cut(hits, k)
+
+
+def _scan(rows: list, k: int, matrix_bytes: int):
+    asked = [r["question"] for r in rows]
+    matrix = np.array([r["vector"] for r in rows], dtype=np.float64)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        nearest = _Nearest(matrix, k, matrix_bytes)
+        for batch in batches:
+            if len(batch):
+                nearest.read(batch["id"].to_numpy(), _stack(batch["vector"]))
+        for question, held in zip(asked, nearest.best):
+            if held:
+                yield pd.DataFrame({
+                    "question": [question] * len(held), "id": [i for _, i in held],
+                    "score": [-float(s) for s, _ in held],
+                })
+
+    return scan
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -176,12 +166,13 @@ def search(
     return (
         points.select(
             F.lit("repo" if kind == "repos" else "model").alias("kind"),
-            sql_round(cosine(F.col("vector"), asked), 4).alias("score"),
+            F.round(cosine(F.col("vector"), asked), SCORE_DIGITS).alias("score"),
             "id",
             *[c for c in points.columns if c not in ("id", "vector")],
         )
         .orderBy(F.col("score").desc(), "id")
         .limit(k)
+        .withColumn("score", sql_round(F.col("score"), 4))
     )
 
 
