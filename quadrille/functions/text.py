@@ -307,6 +307,27 @@ def scrub(c: Column, cap: int = 200) -> Column:
     return F.regexp_replace(untagged, vocab.INSTRUCTION_SPAN, "[removed]")
 
 
+def spaced_json(c: Column) -> Column:
+    """Compact JSON text with a space after every comma and colon that is not in a string."""
+    before = r'\G((?:"(?:[^"\\]|\\.)*+"|[^",:])*+)([,:])'
+    return F.regexp_replace(c, before, "$1$2 ")
+
+
+def json_list(c: Column) -> Column:
+    """A column of JSON texts as lists of texts; text that is no JSON list stays as one item's text.
+
+    Returns (items, raw): ``items`` NULL where the text is not a JSON list, ``raw`` the text then.
+    """
+    items = F.from_json(c, "array<string>")
+    is_list = F.coalesce(F.schema_of_variant(F.try_parse_json(c)).startswith("ARRAY"), F.lit(False))
+    return F.struct(F.when(is_list, items).alias("items"), F.when(~is_list, c).alias("raw"))
+
+
+def text_length(c: Column) -> Column:
+    """Characters of a text; 0 where there is none."""
+    return F.coalesce(F.length(c), F.lit(0))
+
+
 def json_length(c: Column) -> Column:
     """Length of a JSON array; an object counts as 0, bad JSON gives NULL."""
     parsed = F.try_parse_json(c)
@@ -314,8 +335,12 @@ def json_length(c: Column) -> Column:
 
 
 def contains_text(needle: str, *columns: Column) -> Column:
-    """Case-insensitive match in any of the columns; % and _ keep their SQL meaning."""
+    """Case-insensitive match in any of the columns; % and _ keep their SQL meaning.
+
+    A backslash in the needle stands for itself.
+    """
     found = F.lit(False)
+    needle = needle.replace("\\", "\\\\")
     for c in columns:
         found = found | F.coalesce(c, F.lit("")).ilike(f"%{needle}%")
     return found

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
 from quadrille.functions.parsers import parse_leaves
-from quadrille.functions.text import double_text, file_category, folded, let, strip
+from quadrille.functions.text import double_text, file_category, folded, let, spaced_json, strip
 from quadrille.operators.params import params_table
 from quadrille.operators.skew import skew_join
 
@@ -115,7 +115,7 @@ def _json_leaf(raw: Column, value: Column, shape: Column) -> Column:
     real = shape.rlike("^(?:DOUBLE|DECIMAL|FLOAT)") & ~raw.rlike(r"^-?\d+$")
     items_text = F.concat(
         F.lit("["),
-        F.array_join(F.transform(listed, lambda v: F.to_json(v)), ", "),
+        F.array_join(F.transform(listed, lambda v: spaced_json(F.to_json(v))), ", "),
         F.lit("]"),
     )
     return F.struct(
@@ -129,7 +129,7 @@ def _json_leaf(raw: Column, value: Column, shape: Column) -> Column:
         .when(shape == "STRING", value.try_cast("string"))
         .when(is_list, items_text)
         .when(real, let(value.try_cast("double"), double_text))
-        .otherwise(F.to_json(value))
+        .otherwise(spaced_json(F.to_json(value)))
         .alias("text"),
         F.when(shape == "STRING", value.try_cast("string"))
         .when(is_list, if_text(first))

@@ -39,7 +39,7 @@ def test_json_layer(spark):
         ('{"optimizer": {"type": "AdamW"}, "lr": 2e-5}', {"optimizer": "adamw", "learning_rate": "2e-05"}),
         ('{"scheduler": {"type": "", "name": "Cosine x"}}', {"scheduler": "cosine"}),
         ('{"optimizer": {"type": 3, "name": "sgd"}}', {}),
-        ('{"fp16": {"enabled": true}}', {"fp16": '{"enabled":true}'}),
+        ('{"fp16": {"enabled": true}}', {"fp16": '{"enabled": true}'}),
     ],
 )
 def test_json_rules(spark, blob, want):
@@ -213,3 +213,18 @@ def test_tree_facts(spark):
     )
     got = {r["repo"]: tuple(r)[1:] for r in extract.tree_facts(tree).collect()}
     assert got == {"a": (True, False, "requirements.txt"), "b": (False, True, None)}
+
+
+def test_nested_values_read_alike_in_json_and_yaml(spark):
+    from quadrille.functions import parsers
+
+    value = [1, [2, 3], {"a": 1, "b": "x,y:z"}]
+    import json
+
+    text = json.dumps({"target_modules": value})
+    rows = found(spark, "adapter_config.json", "adapter_config", text)
+    again = found(spark, "c/lora.yml", "config", text)
+    assert [r[2] for r in rows] == [r[2] for r in again] == [json.dumps(value)]
+    assert [leaf for _, leaf in parsers.call_leaves("f(a=x.y, b=-1, c=[1], d=g(), e=None, h=z)", frozenset("f"))] == [
+        ("text", "y", "y", None), ("scalar", "-1", None, None), ("list", "[1]", None, 1), ("null", None, None, None),
+        ("null", None, None, None), ("text", "z", "z", None)]

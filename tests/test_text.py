@@ -148,3 +148,30 @@ def test_scrub(spark):
 def test_json_length(spark):
     values = ['["a", "b"]', '{"a": 1}', "nope", None]
     assert shown(spark, values, "STRING", X.json_length) == [2, 0, None, None]
+
+
+def test_needles_with_a_backslash(spark):
+    from pyspark.sql import functions as F
+
+    from quadrille.functions import text as X
+
+    df = spark.createDataFrame([("a\\b",), ("ab",), ("end\\",), (None,)], "t STRING")
+    for needle, want in (("a\\b", 1), ("\\", 2), ("A%b", 2), ("b", 2)):
+        assert df.filter(X.contains_text(needle, F.col("t"))).count() == want
+
+
+def test_json_spacing_and_lists(spark):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from quadrille.functions import text as X
+
+    values = [[1, [2, 3], {"a": 1}], {"k:,": 'q"uo,te:\\'}, [], {}, ["é,", "\\\\", ":"], "x,y:z", [["a"], "b"]]
+    rows = [(i, json.dumps(v, separators=(",", ":"), ensure_ascii=False)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "i INT, t STRING")
+    got = {r.i: r.s for r in df.select("i", X.spaced_json(F.col("t")).alias("s")).collect()}
+    assert got == {i: json.dumps(v, ensure_ascii=False) for i, v in enumerate(values)}
+    lists = spark.createDataFrame([('["a", "b"]',), ("[bad",), ('{"a": 1}',), (None,)], "t STRING")
+    found = [(r.j["items"], r.j["raw"]) for r in lists.select(X.json_list(F.col("t")).alias("j")).collect()]
+    assert found == [(["a", "b"], None), (None, "[bad"), (None, '{"a": 1}'), (None, None)]
