@@ -205,18 +205,24 @@ def models_page(
 
 
 def model_detail(
-    outcomes: DataFrame, models: DataFrame, params: DataFrame, tree: DataFrame, model: str
+    outcomes: DataFrame, models: DataFrame, params: DataFrame, edges: DataFrame, model: str,
+    children: int | None = None,
 ) -> DataFrame:
-    """One model with parameters and children ([] without any)."""
+    """One model with parameters and children ([] without any), in one row.
+
+    ``edges`` has a row per (base_model, model_id); ``children`` keeps the first so many by id.
+    """
     row = outcomes.filter(F.col("model_id") == model)
     if row.isEmpty():
         raise KeyError(model)
-    children = tree.filter(F.col("base_model") == model).select(
-        F.col("base_model").alias("model_id"), "fine_tune_models"
+    own = edges.filter(F.col("base_model") == model).select("model_id")
+    shown = own if children is None else own.orderBy("model_id").limit(children)
+    listed = shown.agg(F.sort_array(F.collect_list("model_id")).alias("fine_tune_models")).select(
+        F.lit(model).alias("model_id"), "fine_tune_models"
     )
     return (
         _with_model_context(row, models, params)
-        .join(children, "model_id", "left")
+        .join(listed, "model_id", "left")
         .withColumn(
             "fine_tune_models", F.coalesce("fine_tune_models", F.array().cast("array<string>"))
         )

@@ -78,6 +78,11 @@ def most_linked_repos(links: DataFrame, k: int = 20) -> DataFrame:
     )
 
 
+def ordered_stats(stats: DataFrame) -> DataFrame:
+    """The practice statistics by parameter, most frequent value first."""
+    return stats.orderBy("param_name", F.desc("prevalence"), "param_value")
+
+
 def sample_rows(df: DataFrame, n: int = 30, seed: int = 7) -> DataFrame:
     """n random rows."""
     return df.orderBy(F.rand(seed)).limit(n)

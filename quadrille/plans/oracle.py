@@ -225,11 +225,11 @@ TABLES = {
     "questions": """
         SELECT label AS question, arg_min(embedding, vec_id) AS q FROM embeddings GROUP BY label""",
     "alike": """
-        SELECT question, vec_id AS id, floor(list_cosine_similarity(
-                   CAST(embedding AS DOUBLE[]), CAST(q AS DOUBLE[])) * 1e4 + 0.5) / 1e4 AS score
+        SELECT question, vec_id AS id, round(list_cosine_similarity(
+                   CAST(embedding AS DOUBLE[]), CAST(q AS DOUBLE[])), 12) AS score
         FROM embeddings, questions""",
     "hits": """
-        SELECT * FROM (
+        SELECT question, id, floor(score * 1e4 + 0.5) / 1e4 AS score, rank FROM (
             SELECT *, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, id)
                            AS INTEGER) AS rank FROM alike) WHERE rank <= 5""",
     "recipes": """
@@ -277,6 +277,11 @@ ORACLE: dict[str, str] = {}
 # --- scores and practice -----------------------------------------------------------
 
 ORACLE["practice_quadrants"] = over(STATS, "SELECT * FROM stats")
+ORACLE["medians_null_group"] = """
+    SELECT flag, form, median(l_extendedprice) AS median_price
+    FROM (SELECT nullif(l_returnflag, 'N') AS flag, l_extendedprice FROM lineitem),
+         (SELECT 'few' AS form UNION ALL SELECT 'many')
+    GROUP BY flag, form"""
 ORACLE["outcome_score"] = over(
     SCORED,
     """SELECT model_id, base_model, downloads, likes, fine_tune_fan_out, is_fine_tune,
@@ -342,7 +347,11 @@ ORACLE["repo_params_context"] = over(
               r.star_count, r.contributors_count, r.has_tests, r.has_ci
        FROM repo_params p LEFT JOIN repos r ON r.repo_name = p.repo_full_name""",
 )
-ORACLE["model_tree"] = over("models tree", "SELECT *, 0 AS part FROM tree")
+ORACLE["model_tree"] = over("models tree", "SELECT * EXCLUDE (fine_tune_models) FROM tree")
+ORACLE["model_tree_edges"] = over(
+    "models",
+    "SELECT base_model, model_id FROM models WHERE base_model IS NOT NULL AND model_id <> base_model",
+)
 ORACLE["links_collapse"] = over("links collapsed", "SELECT * FROM collapsed")
 ORACLE["links_enriched"] = over(
     "models links collapsed",
@@ -804,6 +813,7 @@ ORACLE["quality_of_models"] = over(
             ("repos", "repos", "not_null", "repo_id"),
             ("hf_models", "models", "unique", "model_id"),
             ("hf_models", "models", "not_null", "model_id"),
+            ("hf_model_tree", "tree", "unique", "base_model"),
             ("hf_model_tree", "tree", "not_null", "base_model"),
             ("repo_lora_outcomes", "outcomes", "unique", "model_id"),
             ("repo_lora_outcomes", "outcomes", "not_null", "model_id"),
@@ -878,7 +888,15 @@ ORACLE["data_freshness"] = "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS lat
 ORACLE["extraction_report"] = over(
     "files file_rows", "SELECT source, count(*) AS rows FROM file_rows GROUP BY source"
 )
-ORACLE["random_sample"] = "SELECT least(30, count(*)) AS sampled FROM lineitem"
+ORACLE["random_sample"] = """
+    SELECT least(30, count(*)) AS sampled, least(30, count(*)) AS different,
+           least(30, count(*)) AS members FROM lineitem"""
+ORACLE["stats_ordered"] = ORACLE["practice_quadrants"]
+ORACLE["readme_lengths"] = """
+    SELECT page_id, CAST(coalesce(length(html), 0) AS INTEGER) AS readme_length FROM pages"""
+ORACLE["explorer_json_fields"] = """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority || '|x' END AS items,
+           CASE WHEN o_orderkey % 7 = 0 THEN '[' || o_orderpriority END AS raw FROM orders"""
 
 # --- explorer ----------------------------------------------------------------------
 
@@ -955,22 +973,35 @@ ORACLE["facets"] = over(
 
 ORACLE["vector_topk"] = over("questions alike hits", "SELECT * FROM hits")
 ORACLE["vector_topk_blocks"] = """
-    SELECT * FROM (
+    SELECT question, id, floor(score * 1e4 + 0.5) / 1e4 AS score, rank FROM (
         SELECT a.vec_id AS question, b.vec_id AS id, score,
                CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY score DESC, b.vec_id)
                     AS INTEGER) AS rank
-        FROM embeddings a, embeddings b, LATERAL (SELECT floor(list_cosine_similarity(
-                 CAST(b.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])) * 1e4 + 0.5) / 1e4
+        FROM embeddings a, embeddings b, LATERAL (SELECT round(list_cosine_similarity(
+                 CAST(b.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])), 12)
                  AS score)) WHERE rank <= 3"""
+ORACLE["vector_topk_raw"] = """
+    WITH points AS (
+        SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        UNION ALL
+        SELECT -1 - vec_id, list_concat([CAST(embedding AS DOUBLE[])[1] + CAST(0.0001 AS DOUBLE)],
+                                        list_slice(CAST(embedding AS DOUBLE[]), 2, len(embedding)))
+        FROM embeddings),
+    asked AS (SELECT label AS question, CAST(arg_min(embedding, vec_id) AS DOUBLE[]) AS q
+              FROM embeddings GROUP BY label),
+    alike AS (SELECT question, id, round(list_cosine_similarity(v, q), 12) AS score FROM points, asked)
+    SELECT question, id, floor(score * 1e4 + 0.5) / 1e4 AS score, rank FROM (
+        SELECT *, CAST(row_number() OVER (PARTITION BY question ORDER BY score DESC, id) AS INTEGER) AS rank
+        FROM alike) WHERE rank <= 1"""
 ORACLE["vector_multi_collection"] = """
     WITH s AS (
         SELECT CASE WHEN label < 5 THEN 'repo' ELSE 'model' END AS kind, vec_id AS id, label,
-               floor(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT
-                   CAST(arg_min(embedding, vec_id) AS DOUBLE[]) FROM embeddings)) * 1e4 + 0.5)
-                   / 1e4 AS score FROM embeddings),
+               round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), (SELECT
+                   CAST(arg_min(embedding, vec_id) AS DOUBLE[]) FROM embeddings)), 12)
+                   AS score FROM embeddings),
     r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY score DESC, id) AS n FROM s)
-    SELECT kind, score, id, label FROM r WHERE n <= 20
-    ORDER BY score DESC, kind, id LIMIT 25"""
+    SELECT kind, floor(score * 1e4 + 0.5) / 1e4 AS score, id, label FROM r WHERE n <= 20
+    ORDER BY 2 DESC, kind, id LIMIT 25"""
 ORACLE["collection_points"] = over(
     "models",
     """SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'

@@ -6,7 +6,7 @@ Each entry takes (spark, sf_dir) and returns a DataFrame. The same keys in
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -108,6 +108,17 @@ def practice_quadrants(spark, d):
     return _stats(spark, d)
 
 
+@query
+def medians_null_group(spark, d):
+    """Medians with a NULL group, in the form for few distinct values and in the one for many."""
+    item = table(spark, d, "lineitem").withColumn("flag", F.nullif("l_returnflag", F.lit("N")))
+    forms = [
+        ranks.group_medians(item, ["flag"], "l_extendedprice", "median_price", rows).withColumn("form", F.lit(form))
+        for form, rows in (("few", 10**9), ("many", 0))
+    ]
+    return forms[0].unionByName(forms[1])
+
+
 @query
 def outcome_score(spark, d):
     return _outcomes(spark, d).drop("author", "pipeline_tag", "library_name")
@@ -214,13 +225,17 @@ def repo_params_context(spark, d):
 
 @query
 def model_tree(spark, d):
-    tree = warehouse.model_tree(_models(spark, d))
-    return tree.withColumn("fine_tune_models", F.array_join("fine_tune_models", ","))
+    return warehouse.tree_counts(_models(spark, d))
+
+
+@query
+def model_tree_edges(spark, d):
+    return warehouse.tree_edges(_models(spark, d))
 
 
 @query
 def links_collapse(spark, d):
-    return warehouse.collapsed_links(_links(spark, d), FLAGS)
+    return warehouse.collapsed_links(_links(spark, d))
 
 
 @query
@@ -230,7 +245,7 @@ def links_enriched(spark, d):
         full_name("n_name", "s_name").alias("repo_name"),
         F.when(F.col("s_acctbal") > 0, F.col("n_name")).alias("primary_language"),
     )
-    return warehouse.silver_links(_links(spark, d), repos, _models(spark, d), FLAGS).drop(
+    return warehouse.silver_links(_links(spark, d), repos, _models(spark, d)).drop(
         "last_linked_at"
     )
 
@@ -817,11 +832,7 @@ def mark_done(spark, d):
 def stream_upsert(spark, d):
     """The newest event of every user, kept by a file stream run to its end."""
     use_checkpoint_dir(spark)
-    shared = spark.sparkContext.getCheckpointDir()
-    local = shared.startswith("file:") or shared.startswith("/")
-    folder = tempfile.mkdtemp(prefix="stream-", dir=shared.removeprefix("file:")) if local else (
-        f"{shared}/stream-{spark.sparkContext.applicationId}"
-    )
+    folder = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
     events = table(spark, d, "events")
     stream = arrivals.arriving(spark, d, events.schema, names="events.parquet")
     run = arrivals.upsert_stream(
@@ -949,10 +960,34 @@ def extraction_report(spark, d):
 
 @query
 def random_sample(spark, d):
-    """How many of 30 sampled links are links (all of them)."""
-    pairs = _links(spark, d)
-    drawn = reports.sample_rows(pairs.withColumn("n", F.lit(1)), 30)
-    return drawn.agg(F.sum("n").alias("sampled"))
+    """Of 30 sampled line items: how many there are, how many are distinct, how many in the table."""
+    keys = ["l_orderkey", "l_linenumber"]
+    item = table(spark, d, "lineitem")
+    drawn = cut_lineage(reports.sample_rows(item, 30).select(*keys))
+    found = item.join(F.broadcast(drawn.distinct()), keys, "left_semi").select(*keys).distinct()
+    return drawn.agg(F.count(F.lit(1)).alias("sampled"), F.count_distinct(*keys).alias("different")).join(
+        found.agg(F.count(F.lit(1)).alias("members"))
+    )
+
+
+@query
+def stats_ordered(spark, d):
+    return reports.ordered_stats(_stats(spark, d))
+
+
+@query
+def readme_lengths(spark, d):
+    return table(spark, d, "pages").select("page_id", X.text_length(F.col("html")).alias("readme_length"))
+
+
+@query
+def explorer_json_fields(spark, d):
+    """Order keys as JSON lists, every seventh one broken."""
+    told = F.when(F.col("o_orderkey") % 7 != 0, F.concat(F.lit('["'), "o_orderpriority", F.lit('", "x"]'))).otherwise(
+        F.concat(F.lit("["), "o_orderpriority")
+    )
+    read = table(spark, d, "orders").select("o_orderkey", X.json_list(told).alias("j"))
+    return read.select("o_orderkey", F.array_join("j.items", "|").alias("items"), F.col("j.raw").alias("raw"))
 
 
 # --- explorer ----------------------------------------------------------------------
@@ -961,7 +996,7 @@ def random_sample(spark, d):
 @query
 def summary_kpis(spark, d):
     return explore.summary(
-        _repos(spark, d), _models(spark, d), warehouse.collapsed_links(_links(spark, d), FLAGS),
+        _repos(spark, d), _models(spark, d), warehouse.collapsed_links(_links(spark, d)),
         _repo_params(spark, d), _files(spark, d),
     )
 
@@ -1005,7 +1040,7 @@ def model_detail(spark, d):
     models = _models(spark, d)
     detail = explore.model_detail(
         _outcomes(spark, d), models, analogs.model_params(spark, d),
-        warehouse.model_tree(models), "part/5",
+        warehouse.tree_edges(models), "part/5",
     )
     return detail.select(
         "model_id", "fine_tune_fan_out", "composite_success_score",
@@ -1041,7 +1076,7 @@ def repos_page(spark, d):
 @query
 def repo_detail(spark, d):
     """The links of the first repository by name, best first."""
-    pairs = warehouse.collapsed_links(_links(spark, d), FLAGS)
+    pairs = warehouse.collapsed_links(_links(spark, d))
     repos = pairs.select(F.col("repo_full_name").alias("repo_name")).distinct()
     name = repos.agg(F.min("repo_name")).first()[0]
     _, linked = explore.repo_detail(
@@ -1087,10 +1122,19 @@ def vector_topk(spark, d):
 
 @query
 def vector_topk_blocks(spark, d):
-    """Nearest neighbours of every vector, both sides in blocks."""
+    """Nearest neighbours of every vector, in small blocks of questions and slices of points."""
     points = _points(spark, d)
     questions = points.select(F.col("id").alias("question"), "vector")
-    return vectors.search_many(points, questions, 3, shipped=0, block_rows=300)
+    return vectors.search_many(points, questions, 3, shipped=300, matrix_bytes=1 << 20)
+
+
+@query
+def vector_topk_raw(spark, d):
+    """Every vector has a nearly equal twin with a lower id: four digits cannot tell them apart."""
+    points = _points(spark, d).select("id", F.col("vector").cast("array<double>").alias("vector"))
+    moved = F.concat(F.array(F.get("vector", F.lit(0)) + 1e-4), F.slice("vector", 2, 1_000_000))
+    twins = points.select((-1 - F.col("id")).alias("id"), moved.alias("vector"))
+    return vectors.search_many(points.unionByName(twins), _questions(spark, d), 1)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +11,8 @@ from quadrille.functions import vocab
 from quadrille.functions.text import json_length
 from quadrille.operators.practice import practice_stats
 from quadrille.operators.score import outcome_scores
-from quadrille.operators.skew import skew_join
 from quadrille.session import cut_lineage
 
-# Ids kept in one row of the model tree; longer lists go on in further rows.
-TREE_ROW_IDS = 100_000
-
 
 def _timestamps(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.col(n).cast("timestamp_ntz") for n in names if n in df.columns})
@@ -54,49 +50,35 @@ def silver_models(staged: DataFrame) -> DataFrame:
     })
 
 
-def collapsed_links(
-    links: DataFrame, types: Sequence[str] = vocab.LINK_TYPES
-) -> DataFrame:
-    """One row per (repository, model): best confidence and all strategies.
+def collapsed_links(links: DataFrame) -> DataFrame:
+    """One row per (repository, model): best confidence and all strategies, in order.
 
-    The strategies are a fixed set (the quality gate checks it), so the distinct ones of
-    a pair fit into the bits of a number: a hash aggregate without any list.
+    Links are first reduced to one row per pair and strategy, whatever strategies there are.
     """
-    ordered = sorted(types)
-    bit = F.lit(0)
-    for i, name in enumerate(ordered):
-        bit = F.when(F.col("link_type") == name, 1 << i).otherwise(bit)
-    seen = F.col("_types")
-    named = [F.when(seen.bitwiseAND(1 << i) != 0, name) for i, name in enumerate(ordered)]
-    return (
-        links.groupBy("repo_full_name", "model_id")
-        .agg(
-            F.max("confidence").cast("double").alias("best_confidence"),
-            F.bit_or(bit).alias("_types"),
-            F.max("created_at").alias("last_linked_at"),
-        )
-        .withColumn("link_types", F.concat_ws(",", *named))
-        .select("repo_full_name", "model_id", "best_confidence", "link_types", "last_linked_at")
+    per_type = links.groupBy("repo_full_name", "model_id", "link_type").agg(
+        F.max("confidence").cast("double").alias("best"), F.max("created_at").alias("last")
+    )
+    return per_type.groupBy("repo_full_name", "model_id").agg(
+        F.max("best").alias("best_confidence"),
+        F.array_join(F.sort_array(F.collect_list("link_type")), ",").alias("link_types"),
+        F.max("last").alias("last_linked_at"),
     )
 
 
-def silver_links(
-    links: DataFrame, repos: DataFrame, models: DataFrame,
-    types: Sequence[str] = vocab.LINK_TYPES,
-) -> DataFrame:
+def silver_links(links: DataFrame, repos: DataFrame, models: DataFrame) -> DataFrame:
     """Collapsed links with flags and the context of both ends.
 
-    A repository or model may own a large share of all links, so both lookups split
-    such keys.
+    Repositories and models are unique, so a plain join copies nothing; a key with a large
+    share of all links is split at run time (adaptive skew join).
     """
     context = repos.select(F.col("repo_name").alias("repo_full_name"), "primary_language")
     facts = models.select("model_id", "base_model", "downloads", "likes")
-    flagged = collapsed_links(links, types).withColumns({
+    flagged = collapsed_links(links).withColumns({
         "is_high_confidence": F.col("best_confidence") >= 0.7,
         "is_signal_confidence": F.col("best_confidence") >= 0.5,
     })
-    with_repo = skew_join(flagged, context, ["repo_full_name"], "left")
-    return skew_join(with_repo, facts, ["model_id"], "left").select(
+    with_repo = flagged.join(context, "repo_full_name", "left")
+    return with_repo.join(facts, "model_id", "left").select(
         "repo_full_name", "model_id", "best_confidence", "link_types", "last_linked_at",
         "is_high_confidence", "is_signal_confidence", "primary_language", "base_model",
         "downloads", "likes",
@@ -160,23 +142,14 @@ def tree_counts(models: DataFrame) -> DataFrame:
     )
 
 
-def model_tree(models: DataFrame, row_ids: int = TREE_ROW_IDS) -> DataFrame:
-    """Parents with their counts, totals and list of children.
+def tree_edges(models: DataFrame) -> DataFrame:
+    """A row per (parent, child): a list of children of any length, without collecting it."""
+    return children_of(models).select("base_model", "model_id")
 
-    A parent with up to ``row_ids`` children has one row (part 0). A longer list goes
-    on in further parts, spread by a hash of the child, so no task ever collects an
-    unbounded list; the counts are those of the whole parent on every part.
-    """
-    counts = tree_counts(models).withColumn(
-        "_parts", F.ceil(F.col("fine_tune_count") / row_ids).cast("int")
-    )
-    edges = skew_join(children_of(models).select("base_model", "model_id"), counts, ["base_model"])
-    part = F.pmod(F.xxhash64("model_id"), F.col("_parts")).cast("int")
-    return (
-        edges.withColumn("part", part)
-        .groupBy("base_model", "fine_tune_count", "total_downloads", "total_likes", "part")
-        .agg(F.sort_array(F.collect_list("model_id")).alias("fine_tune_models"))
-    )
+
+def ordered_fallback(targets: DataFrame) -> DataFrame:
+    """The repositories that need the fallback, most training scripts and files first."""
+    return targets.orderBy(F.desc("training_scripts"), F.desc("file_count"), "repo_full_name")
 
 
 def gold_repo_params(params: DataFrame, repos: DataFrame) -> DataFrame:
@@ -195,6 +168,7 @@ MARTS = {
     "practice_stats": "lora_practice_stats",
     "repo_lora_params": "gold_repo_lora_params",
     "hf_model_tree": "hf_model_tree",
+    "hf_model_tree_edges": "hf_model_tree_edges",
     "hf_models_lora_params": "silver_hf_models_lora_params",
     "repos": "repos",
     "hf_models": "hf_models",
@@ -222,7 +196,8 @@ def build_all(bronze: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         bronze["github_files"], bronze["repo_lora_params"], repos
     )
     built["gold_repo_lora_params"] = gold_repo_params(bronze["repo_lora_params"], repos)
-    built["hf_model_tree"] = model_tree(models)
+    built["hf_model_tree"] = tree_counts(models)
+    built["hf_model_tree_edges"] = tree_edges(models)
     # The statistics read the scores several times: go on from the written table.
     outcomes = built["repo_lora_outcomes"] = cut_lineage(
         outcome_scores(models, tree_counts(models))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +58,13 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the files."""
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` to the shared checkpoint folder and go on from the files.
+
+    Parquet rather than checkpoint(): later steps read only the columns and rows they need, and
+    plans know the size. The folder is the application's own and goes with its checkpoints.
+    """
+    spark = df.sparkSession
+    use_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

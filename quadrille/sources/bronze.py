@@ -21,9 +21,15 @@ def bytes_to_text(df: DataFrame) -> DataFrame:
     ])
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Bring a loaded frame to ``schema``: decode bytes, cast, add missing columns."""
+def conform(df: DataFrame, schema: T.StructType, optional: Sequence[str] = ()) -> DataFrame:
+    """Bring a loaded frame to ``schema``: decode bytes, cast, put in order.
+
+    A column that is not there is an error, unless ``optional`` names it; then it is NULL.
+    """
     present = {c.lower(): c for c in df.columns}
+    missing = [f.name for f in schema.fields if f.name.lower() not in present and f.name not in optional]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
     decoded = bytes_to_text(df)
     return decoded.select(*[
         (F.col(present[f.name.lower()]) if f.name.lower() in present else F.lit(None))
@@ -33,11 +39,13 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
-def read_table(spark: SparkSession, path: str, name: str, fmt: str = "parquet") -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, name: str, fmt: str = "parquet", optional: Sequence[str] = ()
+) -> DataFrame:
     """One bronze table. Text formats are read with the schema, never inferred."""
     schema = bronze_schema(name)
     if fmt == "parquet":
-        return conform(spark.read.parquet(path), schema)
+        return conform(spark.read.parquet(path), schema, optional)
     options = {"header": "true"} if fmt == "csv" else {}
     return spark.read.format(fmt).options(**options).schema(schema).load(path)
 

@@ -43,7 +43,8 @@ def corpus(spark):
             [("r/a", "o/a", 0.7), ("r/a", "o/b", 0.9)],
             "repo_full_name STRING, model_id STRING, best_confidence DOUBLE",
         ),
-        "tree": spark.createDataFrame([("o/a", ["o/b"])], "base_model STRING, fine_tune_models ARRAY<STRING>"),
+        "tree": spark.createDataFrame(
+            [("o/a", "o/b"), ("o/a", "o/d"), ("o/a", "o/c")], "base_model STRING, model_id STRING"),
         "stats": spark.createDataFrame(
             [("optimizer", "adamw", 4, 0.9, 0.2, True, "rare+works"),
              ("optimizer", "sgd", 90, 0.4, None, True, "common+fails"),
@@ -105,6 +106,10 @@ def test_models(corpus):
         corpus["outcomes"], corpus["models"], corpus["params"], corpus["tree"], "o/c"
     ).first()
     assert detail["fine_tune_models"] == [] and detail["lora_params"] is None
+    for children, want in ((None, ["o/b", "o/c", "o/d"]), (2, ["o/b", "o/c"])):
+        found = explore.model_detail(
+            corpus["outcomes"], corpus["models"], corpus["params"], corpus["tree"], "o/a", children).collect()
+        assert [r["fine_tune_models"] for r in found] == [want]
     with pytest.raises(KeyError):
         explore.model_detail(corpus["outcomes"], corpus["models"], corpus["params"], corpus["tree"], "no")
 
@@ -139,13 +144,13 @@ def test_search_many_equals_brute_force(spark, cloud):
     data, points = cloud
     matrix = np.array([v for _, v in data])
     unit = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
-    scores = np.floor(unit @ unit.T * 1e4 + 0.5) / 1e4
+    scores = np.round(unit @ unit.T, 12)
     want = set()
     for q in range(0, 151):
         best = sorted(range(151), key=lambda i: (-scores[q, i], i))[:4]
         want |= {(q, i, rank) for rank, i in enumerate(best, start=1)}
     questions = points.withColumnRenamed("id", "question")
-    for how in (dict(), dict(shipped=0, block_rows=40)):
+    for how in (dict(), dict(shipped=40, matrix_bytes=1000)):
         got = vectors.search_many(points, questions, 4, **how).collect()
         assert {(r["question"], r["id"], r["rank"]) for r in got} == want
     assert vectors.search_many(points, questions.limit(0), 4).count() == 0

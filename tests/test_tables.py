@@ -260,7 +260,7 @@ def test_every_mart_builds_and_exports(built, tmp_path):
     marts = warehouse.Marts(built)
     written = {n: c for n, c, _ in sinks.export_tables(marts.all(), str(tmp_path), {"github_files": ["content"]})}
     assert written == {
-        "outcomes": 4, "practice_stats": 3, "repo_lora_params": 1, "hf_model_tree": 1,
+        "outcomes": 4, "practice_stats": 3, "repo_lora_params": 1, "hf_model_tree": 1, "hf_model_tree_edges": 4,
         "hf_models_lora_params": 5, "repos": 2, "hf_models": 5, "github_hf_links": 1,
         "repos_needing_llm": 1, "github_files": 2,
     }
@@ -278,16 +278,35 @@ def test_marts_hold_what_they_should(built):
         0.9, "fuzzy_name,same_username", True, "Python")
     tree = built["hf_model_tree"].first()
     assert (tree["fine_tune_count"], tree["total_downloads"]) == (4, 100)
-    assert tree["fine_tune_models"] == ["o/m1", "o/m2", "o/m3", "o/m4"]
+    assert sorted(r["model_id"] for r in built["hf_model_tree_edges"].collect()) == ["o/m1", "o/m2", "o/m3", "o/m4"]
     assert built["repos_needing_llm_extraction"].first()["repo_full_name"] == "a/y"
     results = quality.run_suites(built, quality.MODEL_SUITES)
     assert results.filter("NOT success").count() == 0
 
 
-def test_long_child_lists_go_on_in_further_rows(built):
-    parts = warehouse.model_tree(built["hf_models"], row_ids=2).collect()
-    assert sorted(m for p in parts for m in p["fine_tune_models"]) == ["o/m1", "o/m2", "o/m3", "o/m4"]
-    assert {p["fine_tune_count"] for p in parts} == {4}
+def test_link_types_need_no_list(spark):
+    rows = [("r", "m", t, 0.5, None) for t in ("new", "same_username", "new")]
+    df = spark.createDataFrame(rows, "repo_full_name string, model_id string, link_type string, confidence double, created_at timestamp")
+    assert warehouse.collapsed_links(df).first()["link_types"] == "new,same_username"
+
+
+def test_a_missing_column_is_an_error(spark):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([(1,)], "a INT")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    with pytest.raises(ValueError, match="b"):
+        bronze.conform(df, schema)
+    assert bronze.conform(df, schema, ["b"]).first() == (1, None)
+
+
+def test_medians_of_a_null_group(spark):
+    from quadrille.operators import ranks
+
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g STRING, v DOUBLE")
+    for rows in (0, 1000):
+        got = {r["g"]: r["m"] for r in ranks.group_medians(df, ["g"], "v", "m", rows).collect()}
+        assert got == {None: 2.0, "a": 5.0}
 
 
 def test_bytes_become_text(spark):
