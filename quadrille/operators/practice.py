@@ -84,7 +84,7 @@ def practice_stats(
     scores = score_vs_base(
         outcomes.select("model_id", "base_model", "composite_success_score"), reference
     )
-    joined = long_form(params, names).join(
-        scores.drop("base_model"), "model_id"
-    )
+    # Joined while there is one row per model, and unfolded after it: buckets then combine map-side.
+    scored = params.join(scores.drop("base_model"), "model_id")
+    joined = long_form(scored, names, ("model_id", "composite_success_score", "score_vs_base"))
     return quadrants(bucket_stats(joined), min_sample)

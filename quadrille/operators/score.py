@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quadrille.functions import vocab
 from quadrille.functions.text import sql_round
 from quadrille.operators.ranks import percent_ranks
-from quadrille.operators.skew import lookup_join
+from quadrille.operators.skew import lookup_join, skew_join
 from quadrille.session import cut_lineage
 
 # Signal column -> name of its percentile column.
@@ -93,7 +93,11 @@ def score_vs_base(models: DataFrame, reference: DataFrame | None = None) -> Data
     )
     overall = sums.agg(F.sum("_sum") / F.sum("rows")).scalar()
     means = sums.filter(F.col("base_model").isNotNull()).select("base_model", "rows", "_peer_mean")
-    joined = lookup_join(models, means, "base_model")
+    if reference is None:
+        joined = lookup_join(models, means, "base_model")
+    else:
+        # The counts are of other rows: the hot bases are those of the models themselves.
+        joined = skew_join(models, means.drop("rows"), ["base_model"], "left")
     return joined.select(
         *models.columns,
         (score - F.coalesce(F.col("_peer_mean"), overall)).alias("score_vs_base"),

@@ -7,24 +7,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of the rows, so a table of hot
-# keys can never have more than HOT_SHARE rows and is always safe to broadcast.
+# Rows of one key that a task should take; a key with more is hot and split by its own count.
+TASK_ROWS = 2_000_000
+# A table of hot keys never has more rows than this, so it is always safe to broadcast: in a table
+# so large that more keys could be hot, a key needs this part of all rows.
+HOT_KEYS = 100_000
+# Lookups settle groups with more than 1/HOT_SHARE of the rows by broadcast.
 HOT_SHARE = 64
-SALTS = 32
+# Tasks that rows without a key are spread over.
+SALTS = 1024
 # Tables of a few short columns are broadcast up to this many rows (about 30 MB).
 BROADCAST_ROWS = 100_000
 
 
-def salt_of(*columns: str, salts: int = SALTS) -> Column:
-    """A salt that is a pure function of the row, so a rerun task repeats it."""
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")
+def salt_of(*columns: str, salts: int | Column = SALTS) -> Column:
+    """A salt that depends on the row and the partition it is in: a rerun task repeats it, and equal
+    rows of different partitions differ."""
+    salts = salts if isinstance(salts, Column) else F.lit(salts)
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), salts).cast("int")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """The at most ``share`` keys that each hold more than 1/share of the rows."""
+def hot_keys(df: DataFrame, keys: Sequence[str], task_rows: int = TASK_ROWS) -> DataFrame:
+    """(keys, _salts): the keys with more than ``task_rows`` rows, at most ``HOT_KEYS`` of them, and
+    into how many parts of that size each one falls."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    return counts.filter(F.col("_rows") * share > total).select(*keys)
+    hot = (F.col("_rows") > task_rows) & (F.col("_rows") * HOT_KEYS > total)
+    return counts.filter(hot).select(*keys, F.ceil(F.col("_rows") / task_rows).cast("int").alias("_salts"))
 
 
 def skew_join(
@@ -34,43 +43,47 @@ def skew_join(
     how: str = "inner",
     condition: Column | None = None,
     salt_by: Sequence[str] | None = None,
-    salts: int = SALTS,
+    task_rows: int = TASK_ROWS,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Equi join that spreads the hot keys of either side over several tasks.
 
-    A row of a hot key gets a salt and the other side's rows of that key are copied
-    once per salt; all other rows keep salt 0. An inner join salts the hot keys of
-    both sides (a key hot on both forms a salts x salts grid); left, left_semi and
-    left_anti joins may only copy the right side, so they salt the left one. Rows
-    with a NULL key match nothing and are spread too. ``condition`` is an extra
+    A row of a hot key gets one of as many salts as the key has parts of ``task_rows``, and the
+    other side's rows of that key are copied once per salt; all other rows keep salt 0. Say
+    ``unique_right`` where the right side has one row per key: it is not counted then.
+    An inner join salts the hot keys of both sides (a key hot on both forms a grid); left,
+    left_semi and left_anti joins may only copy the right side, so they salt the left one.
+    Rows with a NULL key match nothing and are spread too. ``condition`` is an extra
     predicate evaluated inside the join, over names that differ between the sides.
     ``salt_by`` names left columns to salt by where hashing all of them is dear.
     """
     keys = list(keys)
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
+    every = F.sequence(F.lit(0), F.col("_salts") - 1)
     once = F.array(F.lit(0))
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
 
     def flagged(df: DataFrame, hot: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+        return df.join(F.broadcast(hot), keys, "left")
 
     def salted(df: DataFrame, hot: DataFrame, name: str, columns: list[str]) -> DataFrame:
-        spread = F.when(F.col("_hot") | no_key, salt_of(*columns, salts=salts))
-        return flagged(df, hot).withColumn(name, spread.otherwise(F.lit(0))).drop("_hot")
+        spread = F.when(no_key, salt_of(*columns)).when(
+            F.col("_salts").isNotNull(), salt_of(*columns, salts=F.col("_salts"))
+        )
+        return flagged(df, hot).withColumn(name, spread.otherwise(F.lit(0))).drop("_salts")
 
     def copied(df: DataFrame, hot: DataFrame, name: str) -> DataFrame:
-        copies = F.when(F.col("_hot"), every).otherwise(once)
-        return flagged(df, hot).withColumn(name, F.explode(copies)).drop("_hot")
+        copies = F.when(F.col("_salts").isNotNull(), every).otherwise(once)
+        return flagged(df, hot).withColumn(name, F.explode(copies)).drop("_salts")
 
     left_columns, right_columns = list(salt_by or left.columns), right.columns
-    left_hot = hot_keys(left, keys)
+    left_hot = hot_keys(left, keys, task_rows)
     on = [*keys, "_salt_l"]
     lhs = salted(left, left_hot, "_salt_l", left_columns)
     rhs = copied(right, left_hot, "_salt_l")
-    if how == "inner":
-        right_hot = hot_keys(right, keys)
+    if how == "inner" and not unique_right:
+        right_hot = hot_keys(right, keys, task_rows)
         lhs = copied(lhs, right_hot, "_salt_r")
         rhs = salted(rhs, right_hot, "_salt_r", right_columns)
         on.append("_salt_r")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
 from quadrille.functions.text import render_param, scrub, sql_round, stable_uuid
+from quadrille.session import cut_lineage
 
 COLLECTIONS = ("repos", "models")
 TEXT_CAP = 2000
@@ -300,3 +301,54 @@ def user_message(context: Column, practices: Column, question: Column) -> Column
         F.lit("\n</retrieved_context>\n\nQuestion: "),
         question,
     )
+
+
+def shown_list(c: Column) -> Column:
+    """A list of texts as the context shows it: ['lora', 'peft']."""
+    quoted = F.transform(c, lambda x: F.when(
+        F.contains(x, F.lit("'")) & ~F.contains(x, F.lit('"')), F.concat(F.lit('"'), x, F.lit('"'))
+    ).otherwise(F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("\\'")), F.lit("'"))))
+    return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
+
+
+def context(
+    collections: Mapping[str, DataFrame],
+    questions: DataFrame,
+    params: Mapping[str, DataFrame],
+    stats: DataFrame | None,
+    k: int,
+    practice_limit: int = PRACTICE_LINES,
+) -> DataFrame:
+    """(question, message): every question with its hits in all collections, recipes and practices.
+
+    ``collections`` holds points by kind (``repo_points``, ``model_points``), ``questions``
+    (question, vector, text), ``params`` the parameter tables by kind, keyed by ``repo_full_name``
+    or ``model_id``. There are at most k hits per question and collection, and ``practice_limit``
+    practices in all; what is joined to them is picked by their keys first.
+    """
+    lines = None
+    for kind, points in collections.items():
+        single = "repo" if kind == "repos" else "model"
+        name, key = ("repo_name", "repo_full_name") if single == "repo" else ("model_id", "model_id")
+        hits = search_many(points, questions, k)
+        known = points.select("id", "payload").join(hits.select("id").distinct(), "id", "left_semi")
+        found = hits.join(known, "id").withColumn("source_id", F.col(f"payload.{name}"))
+        if kind in params:
+            table = params[kind]
+            found = with_recipes(found, table.select(F.col(key).alias("source_id"), recipe_text(table).alias("recipe")))
+        else:
+            found = found.withColumn("recipe", F.lit(None).cast("string"))
+        payload = {f: F.col(f"payload.{f}") for f in points.schema["payload"].dataType.names}
+        if "topics" in payload:
+            payload["topics"] = shown_list(payload["topics"])
+        # Best first over all collections, then by kind and id.
+        place = F.struct((-F.col("score")).alias("s"), F.lit(single).alias("kind"), F.col("id").cast("string").alias("i"))
+        part = found.select("question", place.alias("rank"), hit_lines(F.lit(single), payload, F.col("recipe")).alias("line"))
+        lines = part if lines is None else lines.unionByName(part)
+    practices = None
+    if stats is not None:
+        best = cut_lineage(best_practices(stats, practice_limit))
+        practices = None if best.isEmpty() else practice_lines(best).first()[0]
+    blocks = context_blocks(lines, questions).join(questions.select("question", "text"), "question")
+    message = user_message(F.col("context"), F.lit(practices).cast("string"), F.col("text"))
+    return blocks.select("question", message.alias("message"))

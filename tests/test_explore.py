@@ -203,3 +203,26 @@ def test_collections(spark):
     got = vectors.repo_points(repos, vector).collect()
     assert [r["id"] for r in got] == ["1"]
     assert got[0]["payload"]["topics"] == ["x"] and len(got[0]["payload"]["readme_content"]) == 2000
+
+
+def test_context_of_both_collections(spark, corpus):
+    repos = spark.createDataFrame(
+        [("1", [1.0, 0.0], ("1", "r/a", "Python", ["lora", "it's"], "readme", None)),
+         ("2", [0.0, 1.0], ("2", "r/b", None, None, "", None))],
+        "id STRING, vector ARRAY<DOUBLE>, payload STRUCT<repo_id: STRING, repo_name: STRING, "
+        "primary_language: STRING, topics: ARRAY<STRING>, readme_content: STRING, enriched_at: STRING>")
+    models = spark.createDataFrame(
+        [("m", [0.9, 0.1], ("o/a", "B", "text", "peft", 5, 1, "card"))],
+        "id STRING, vector ARRAY<DOUBLE>, payload STRUCT<model_id: STRING, base_model: STRING, "
+        "pipeline_tag: STRING, library_name: STRING, downloads: INT, likes: INT, card_content: STRING>")
+    questions = spark.createDataFrame(
+        [(1, [1.0, 0.0], "which rank?")], "question INT, vector ARRAY<DOUBLE>, text STRING")
+    got = vectors.context({"repos": repos, "models": models}, questions, {"models": corpus["params"]}, corpus["stats"], 1)
+    assert got.first()["message"] == (
+        "Context — top matching LoRA repositories and models from the corpus:\n<retrieved_context>\n"
+        "validated practice statistics (rare-but-works, sample_ok):\n- optimizer=adamw — avg success 0.9 across 4 models\n\n"
+        "- [repo] r/a (language=Python, topics=['lora', \"it's\"])\n  readme: readme\n"
+        "- [model] o/a (base_model=B, task=text, downloads=5, likes=1)\n  card: card\n"
+        "  extracted recipe: optimizer=adamw_8bit, rank=64, lr=0.0002, bf16=true\n</retrieved_context>\n\nQuestion: which rank?")
+    none = vectors.context({"models": models.limit(0)}, questions, {}, None, 3).first()["message"]
+    assert "(no matching repositories or models were found)" in none

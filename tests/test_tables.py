@@ -33,7 +33,24 @@ def sides(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_skew_join_is_a_plain_join(sides, rows, how):
     left, right = sides
-    assert rows(skew.skew_join(left, right, ["k"], how)) == rows(left.join(right, ["k"], how))
+    want = rows(left.join(right, ["k"], how))
+    for task_rows in (skew.TASK_ROWS, 40, 1):
+        assert rows(skew.skew_join(left, right, ["k"], how, task_rows=task_rows)) == want
+
+
+def test_a_key_is_split_by_its_own_count(spark):
+    """One key with a third and one with a hundredth of the rows: no join task gets many of either."""
+    keys = [("third" if i % 3 == 0 else "hundredth" if i % 100 == 1 else f"k{i}") for i in range(30_000)]
+    left = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "l INT, k STRING").repartition(8)
+    hot = {r["k"]: r["_salts"] for r in skew.hot_keys(left, ["k"], 100).collect()}
+    assert hot == {"third": 100, "hundredth": 2}
+    right = spark.createDataFrame([(k, 1) for k in sorted(set(keys))], "k STRING, r INT")
+    joined = skew.skew_join(left, right, ["k"], "left", task_rows=100, unique_right=True)
+    assert joined.count() == 30_000 and joined.filter("r IS NULL").count() == 0
+    salted = left.filter("k = 'third'").withColumn("s", skew.salt_of("l", "k", salts=F.lit(100)))
+    assert salted.groupBy("s").count().agg(F.max("count")).first()[0] < 200
+    copies = left.select(F.lit("same").alias("k")).withColumn("s", skew.salt_of("k", salts=100))
+    assert copies.select("s").distinct().count() > 4
 
 
 def test_skew_join_with_condition(sides, rows):
