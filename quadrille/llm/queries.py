@@ -120,3 +120,57 @@ def op3_quotation_linking(spark, d):
     return quotations.in_reply_order(linked).select(
         "conv_id", "turn", "role", digest, "n_quotes", "n_linked", "reply_to", "thread", "depth"
     )
+
+
+# --- SQL, where SQL can express an operator ----------------------------------------
+
+_LOWERED = f"translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}')"
+_RUNS = f"regexp_extract_all({_LOWERED}, '[^{decontaminate.BETWEEN[1:]}')"
+_PLAIN = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE["op6_decontamination"] = f"""
+    WITH docs AS (SELECT doc_id, {_RUNS} AS words FROM documents),
+    items AS (SELECT item_id, {_RUNS} AS words FROM benchmark),
+    cut AS (SELECT item_id, words, least(len(words), 13) AS n FROM items WHERE len(words) > 0),
+    grams AS (
+        SELECT DISTINCT item_id, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS gram
+        FROM (SELECT item_id, words, n, unnest(generate_series(1, len(words) - n + 1)) AS i FROM cut)),
+    lengths AS (SELECT DISTINCT n FROM grams),
+    windows AS (
+        SELECT doc_id, n, i, array_to_string(list_slice(words, i, i + n - 1), ' ') AS gram
+        FROM (SELECT doc_id, words, n, unnest(generate_series(1, len(words) - n + 1)) AS i
+              FROM docs, lengths WHERE len(words) >= n)),
+    hits AS (SELECT w.doc_id, w.n, w.i, g.item_id
+             FROM windows w JOIN grams g ON w.n = g.n AND w.gram = g.gram),
+    covered AS (
+        SELECT doc_id, count(*) AS n_hit FROM (
+            SELECT DISTINCT doc_id, unnest(generate_series(i, i + n - 1)) AS place FROM hits)
+        GROUP BY doc_id),
+    found AS (
+        SELECT doc_id, count(*) AS n_items,
+               sha256(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR))) AS digest
+        FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+           CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+           coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+    FROM docs d LEFT JOIN covered c ON c.doc_id = d.doc_id LEFT JOIN found f ON f.doc_id = d.doc_id"""
+
+ORACLE["op8_substring_dedup"] = f"""
+    WITH docs AS (SELECT doc_id, {_PLAIN} AS words FROM documents),
+    windows AS (
+        SELECT doc_id, i, array_to_string(list_slice(words, i, i + 12), ' ') AS gram
+        FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS i
+              FROM docs WHERE len(words) >= 13)),
+    firsts AS (SELECT gram, min(doc_id) AS least FROM windows GROUP BY gram),
+    gone AS (
+        SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS place
+        FROM windows w JOIN firsts f ON f.gram = w.gram WHERE f.least < w.doc_id),
+    placed AS (SELECT doc_id, unnest(words) AS word, unnest(generate_series(1, len(words))) AS place FROM docs),
+    kept AS (
+        SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.place) AS left_over, count(*) AS n
+        FROM placed p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.place = p.place
+        WHERE g.place IS NULL GROUP BY p.doc_id)
+    SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+           CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+           sha256(coalesce(left_over, '')) AS kept_sha256
+    FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
