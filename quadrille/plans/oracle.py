@@ -381,6 +381,40 @@ ORACLE["files_needing_fallback"] = over(
 
 # --- links -------------------------------------------------------------------------
 
+ORACLE["fallback_ordered"] = ORACLE["files_needing_fallback"]
+_BUILT = f"{STATS} {REPO_PARAMS} legacy repos links collapsed"
+_NEEDING = """(SELECT DISTINCT repo_full_name FROM files
+               WHERE repo_full_name NOT IN (SELECT repo_full_name FROM repo_params))"""
+ORACLE["warehouse_build"] = over(
+    _BUILT,
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n FROM {source}"
+        for name, source in (
+            ("outcomes", "outcomes"), ("practice_stats", "stats"), ("repo_lora_params", "repo_params"),
+            ("hf_model_tree", "tree"),
+            ("hf_model_tree_edges", "models WHERE base_model IS NOT NULL AND model_id <> base_model"),
+            ("hf_models_lora_params", "params"), ("repos", "repos"), ("hf_models", "models"),
+            ("github_hf_links", "collapsed"), ("repos_needing_llm", _NEEDING), ("github_files", "files"),
+        )
+    ),
+)
+_OLD_ROWS = """
+    SELECT DISTINCT repo_full_name, file_id, source, 'old' AS param_value, confidence,
+           CASE WHEN file_id % 6 = 0 THEN 'left_over' ELSE param_name END AS param_name
+    FROM raw_rows WHERE file_id % 2 = 0"""
+ORACLE["extract_and_upsert"] = over(
+    "repos_enriched files file_rows raw_rows",
+    f"""SELECT repo_full_name, file_id, source, param_name, param_value, confidence FROM raw_rows
+        UNION ALL SELECT repo_full_name, file_id, source, param_name, param_value, confidence
+        FROM ({_OLD_ROWS}) WHERE param_name = 'left_over'""",
+)
+ORACLE["refresh_repo_params"] = over(
+    REPO_PARAMS,
+    """SELECT e.repo_name AS repo_full_name,
+              CASE WHEN p.repo_full_name IS NULL THEN -1 ELSE p.rank_value END AS rank_value,
+              CASE WHEN p.repo_full_name IS NULL THEN 'old' ELSE p.optimizer END AS optimizer
+       FROM repos_enriched e LEFT JOIN repo_params p ON p.repo_full_name = e.repo_name""",
+)
 ORACLE["link_by_mention"] = """
     WITH m AS (
         SELECT page_id, url, regexp_extract(url, '(?i:example\\.[a-z]+/[a-z]+/)([0-9]+)', 1) AS id,
@@ -774,6 +808,12 @@ ORACLE["stream_upsert"] = """
            arg_min(event_id, (ts, event_id)) AS first_event
     FROM events GROUP BY user_id"""
 
+ORACLE["stream_insert_ignore"] = """
+    SELECT user_id, arg_min(event_id, (ts, event_id)) AS event_id, arg_min(value, (ts, event_id)) AS value
+    FROM events GROUP BY user_id"""
+ORACLE["stream_dedup"] = "SELECT DISTINCT user_id, event_type FROM events"
+ORACLE["stream_relevance"] = ORACLE["relevance_filter"]
+
 # --- data quality ------------------------------------------------------------------
 
 
@@ -798,9 +838,11 @@ ORACLE["quality_suite"] = " UNION ALL ".join([
     _check("customer", "between(c_acctbal)", "count_if(c_acctbal NOT BETWEEN 0 AND 9000)"),
     _check("customer", "unique(c_name)", "count(c_name) - count(DISTINCT c_name)"),
 ])
-ORACLE["quality_of_models"] = over(
-    f"{SCORED} repos_enriched legacy repos",
-    " UNION ALL ".join(
+
+
+def _model_checks(checks) -> str:
+    """SQL of (checked table, its SQL, kind, column) for checks without values."""
+    return " UNION ALL ".join(
         "SELECT '{0}' AS table_name, '{1}({2})' AS expectation, observed, observed = 0 AS success"
         " FROM (SELECT CAST({3} AS BIGINT) AS observed FROM {4})".format(
             table, kind, column,
@@ -808,18 +850,51 @@ ORACLE["quality_of_models"] = over(
             else f"count_if({column} IS NULL)",
             source,
         )
-        for table, source, kind, column in (
-            ("repos", "repos", "unique", "repo_id"),
-            ("repos", "repos", "not_null", "repo_id"),
-            ("hf_models", "models", "unique", "model_id"),
-            ("hf_models", "models", "not_null", "model_id"),
-            ("hf_model_tree", "tree", "unique", "base_model"),
-            ("hf_model_tree", "tree", "not_null", "base_model"),
-            ("repo_lora_outcomes", "outcomes", "unique", "model_id"),
-            ("repo_lora_outcomes", "outcomes", "not_null", "model_id"),
-            ("repo_lora_outcomes", "outcomes", "not_null", "composite_success_score"),
-        )
-    ),
+        for table, source, kind, column in checks
+    )
+
+
+_MODEL_CHECKS = (
+    ("repos", "repos", "unique", "repo_id"),
+    ("repos", "repos", "not_null", "repo_id"),
+    ("hf_models", "models", "unique", "model_id"),
+    ("hf_models", "models", "not_null", "model_id"),
+    ("hf_model_tree", "tree", "unique", "base_model"),
+    ("hf_model_tree", "tree", "not_null", "base_model"),
+    ("repo_lora_outcomes", "outcomes", "unique", "model_id"),
+    ("repo_lora_outcomes", "outcomes", "not_null", "model_id"),
+    ("repo_lora_outcomes", "outcomes", "not_null", "composite_success_score"),
+)
+_NUMBERED = "(SELECT row_number() OVER () AS config_id, * FROM raw_rows)"
+ORACLE["quality_of_models"] = over(f"{SCORED} repos_enriched legacy repos", _model_checks(_MODEL_CHECKS))
+ORACLE["warehouse_quality"] = over(
+    _BUILT,
+    _model_checks((
+        *_MODEL_CHECKS,
+        ("stg_github_repos", "repos", "unique", "repo_id"),
+        ("stg_github_repos", "repos", "not_null", "repo_id"),
+        ("stg_github_repos", "repos", "not_null", "repo_name"),
+        ("stg_hf_models", "models", "unique", "model_id"),
+        ("stg_hf_models", "models", "not_null", "model_id"),
+        ("silver_github_hf_links", "collapsed", "not_null", "repo_full_name"),
+        ("silver_github_hf_links", "collapsed", "not_null", "model_id"),
+        ("silver_lora_configs_raw", _NUMBERED, "unique", "config_id"),
+        ("silver_lora_configs_raw", _NUMBERED, "not_null", "config_id"),
+        ("silver_lora_configs_raw", _NUMBERED, "not_null", "repo_full_name"),
+        ("silver_lora_configs_raw", _NUMBERED, "not_null", "source"),
+        ("silver_hf_models_lora_params", "params", "unique", "model_id"),
+        ("silver_hf_models_lora_params", "params", "not_null", "model_id"),
+        ("repos_needing_llm_extraction", _NEEDING, "unique", "repo_full_name"),
+        ("repos_needing_llm_extraction", _NEEDING, "not_null", "repo_full_name"),
+        ("gold_repo_lora_params", "repo_params", "unique", "repo_full_name"),
+        ("gold_repo_lora_params", "repo_params", "not_null", "repo_full_name"),
+        ("lora_practice_stats", "stats", "not_null", "param_name"),
+        ("lora_practice_stats", "stats", "not_null", "avg_score_vs_base"),
+        ("lora_practice_stats", "stats", "not_null", "quadrant"),
+    )) + """ UNION ALL SELECT 'lora_practice_stats', 'in_set(quadrant)',
+        CAST(count_if(quadrant NOT IN ('common+works', 'common+fails', 'rare+works', 'rare+fails')) AS BIGINT),
+        count_if(quadrant NOT IN ('common+works', 'common+fails', 'rare+works', 'rare+fails')) = 0
+        FROM stats""",
 )
 
 # --- reports -----------------------------------------------------------------------

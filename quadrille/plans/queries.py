@@ -27,7 +27,7 @@ from quadrille.operators import (
     score,
     vectors,
 )
-from quadrille.plans import analogs, warehouse
+from quadrille.plans import analogs, jobs, warehouse
 from quadrille.plans.analogs import full_name, model_id, table
 from quadrille.session import cut_lineage, use_checkpoint_dir
 from quadrille.sources import sinks
@@ -257,6 +257,71 @@ def files_needing_fallback(spark, d):
     )
 
 
+@query
+def fallback_ordered(spark, d):
+    return warehouse.ordered_fallback(files_needing_fallback(spark, d))
+
+
+def _warehouse(spark, d):
+    """All tables of the warehouse, built from the corpus tables."""
+    files = _files(spark, d)
+    raw = cut_lineage(extract.raw_config_rows(files, analogs.repos_enriched(spark, d)))
+    return warehouse.build_all({
+        "github_repos_bronze": analogs.repos_legacy(spark, d),
+        "github_repos_enriched": analogs.repos_enriched(spark, d),
+        "huggingface_models_bronze": analogs.models_bronze(spark, d),
+        "github_hf_links": _links(spark, d),
+        "lora_configs_raw": raw.withColumns({
+            "config_id": F.monotonically_increasing_id(), "extracted_at": F.current_timestamp(),
+        }),
+        "hf_models_lora_params": analogs.model_params(spark, d),
+        "repo_lora_params": cut_lineage(extract.repo_params(raw)),
+        "github_files": files,
+    })
+
+
+@query
+def warehouse_build(spark, d):
+    """The whole warehouse, exported; how many rows each table got."""
+    use_checkpoint_dir(spark)
+    out = f"{spark.sparkContext.getCheckpointDir()}/export-{uuid.uuid4().hex}"
+    marts = warehouse.Marts(_warehouse(spark, d)).all()
+    written = sinks.export_tables(marts, out, {"github_files": ["content"]})
+    return spark.createDataFrame([row[:2] for row in written], "table_name STRING, n BIGINT")
+
+
+@query
+def warehouse_quality(spark, d):
+    """All checks of the built tables."""
+    return quality.run_suites(_warehouse(spark, d), quality.MODEL_SUITES)
+
+
+@query
+def extract_and_upsert(spark, d):
+    """Raw rows of the files, written over those stored for files with an even number and some older ones."""
+    files, repos = _files(spark, d), analogs.repos_enriched(spark, d)
+    known = extract.raw_config_rows(files, repos).filter("file_id % 2 = 0")
+    stored = cut_lineage(known.withColumns({
+        "param_name": F.when(F.col("file_id") % 6 == 0, F.lit("left_over")).otherwise(F.col("param_name")),
+        "param_value": F.lit("old"),
+        "extracted_at": F.lit("2024-01-01").cast("timestamp"),
+    }).distinct())
+    merged = jobs.refresh_raw_configs(stored, files, repos)
+    return merged.select(*jobs.RAW_KEYS, "param_value", "confidence")
+
+
+@query
+def refresh_repo_params(spark, d):
+    """The parameter table, renewed: repositories without new rows keep what they had."""
+    table_now = _repo_params(spark, d)
+    owners = analogs.repos_enriched(spark, d).select(F.col("repo_name").alias("repo_full_name"))
+    stored = owners.withColumns({
+        "rank_value": F.lit(-1), "optimizer": F.lit("old"), "extracted_at": F.lit("2024-01-01").cast("timestamp"),
+    })
+    merged = jobs.refresh_params(stored, table_now, "repo_full_name")
+    return merged.select("repo_full_name", "rank_value", "optimizer")
+
+
 # --- links -------------------------------------------------------------------------
 
 
@@ -831,8 +896,7 @@ def mark_done(spark, d):
 @query
 def stream_upsert(spark, d):
     """The newest event of every user, kept by a file stream run to its end."""
-    use_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    folder = _stream_folder(spark)
     events = table(spark, d, "events")
     stream = arrivals.arriving(spark, d, events.schema, names="events.parquet")
     run = arrivals.upsert_stream(
@@ -845,6 +909,51 @@ def stream_upsert(spark, d):
     ).select("user_id", "event_type", "value", F.col("event_id").alias("first_event"))
 
 
+def _stream_folder(spark):
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+
+
+@query
+def stream_insert_ignore(spark, d):
+    """The first event of every user, kept by a file stream; read from the folded table."""
+    folder = _stream_folder(spark)
+    stream = arrivals.arriving(spark, d, table(spark, d, "events").schema, names="events.parquet")
+    arrivals.insert_stream(
+        stream, f"{folder}/table", f"{folder}/progress", ["user_id"], [F.col("ts"), F.col("event_id")]
+    ).awaitTermination()
+    arrivals.fold_batches(spark, f"{folder}/table", ["user_id"])
+    return arrivals.stored_batches(spark, f"{folder}/table").select("user_id", "event_id", "value")
+
+
+@query
+def stream_dedup(spark, d):
+    """Kinds of events of every user, each passed on once."""
+    folder = _stream_folder(spark)
+    stream = arrivals.arriving(spark, d, table(spark, d, "events").schema, names="events.parquet")
+    once = arrivals.deduplicated(stream, ["user_id", "event_type"], "ts", "3650 days")
+    arrivals.append_stream(once, f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return arrivals.stored_batches(spark, f"{folder}/table").select("user_id", "event_type")
+
+
+@query
+def stream_relevance(spark, d):
+    """Documents about a topic, as events that a stream filters."""
+    folder = _stream_folder(spark)
+    stream = arrivals.arriving(spark, d, table(spark, d, "documents").schema, names="documents.parquet")
+    events = stream.select(
+        "doc_id", "lang",
+        F.when(F.col("lang") == "en", "PushEvent").otherwise("WatchEvent").alias("type"),
+        F.struct(F.col("source").alias("name"), F.array("lang").alias("topics")).alias("repo"),
+        F.struct(F.array(F.struct(F.col("text").alias("message"))).alias("commits")).alias("payload"),
+    )
+    kept = arrivals.relevant_events(events, ("the", "de", "src1"), ("ingeser", "that"))
+    arrivals.append_stream(
+        kept.select("doc_id", "lang"), f"{folder}/table", f"{folder}/progress"
+    ).awaitTermination()
+    return arrivals.stored_batches(spark, f"{folder}/table").select("doc_id", "lang")
+
+
 # --- data quality ------------------------------------------------------------------
 
 

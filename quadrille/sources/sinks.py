@@ -73,6 +73,19 @@ def upsert_discovered_models(target: DataFrame, batch: DataFrame) -> DataFrame:
     return upsert(target, batch, ["model_id"], refreshed, [F.col("ingested_at")], rules)
 
 
+def upsert_enriched_repos(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Upsert of an enrichment: everything is renewed but the id and the name first stored."""
+    renewed = [c for c in target.columns if c not in ("repo_id", "repo_name")]
+    return upsert(target, batch, ["repo_id"], renewed, [F.col("enriched_at")])
+
+
+def upsert_files(target: DataFrame, batch: DataFrame) -> DataFrame:
+    """Upsert of fetched files by place; a file keeps the ``file_id`` it has."""
+    keys = ["repo_full_name", "file_path"]
+    renewed = [c for c in target.columns if c not in (*keys, "file_id")]
+    return upsert(target, batch, keys, renewed, [F.col("fetched_at")])
+
+
 def insert_ignore(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]
 ) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from quadrille.functions import vocab
 from quadrille.functions.text import event_text, is_relevant
 from quadrille.sources.sinks import complete_folders, insert_ignore
 
@@ -37,11 +38,15 @@ def deduplicated(
     )
 
 
-def relevant_events(stream: DataFrame) -> DataFrame:
+def relevant_events(
+    stream: DataFrame,
+    wanted: Sequence[str] = vocab.TOPIC_WORDS,
+    rejected: Sequence[str] = vocab.REJECT_WORDS,
+) -> DataFrame:
     """Activity events about the topic; stateless, so the batch filter applies as is."""
     messages = F.transform("payload.commits", lambda c: c["message"])
     text = event_text(F.col("type"), F.col("repo.name"), messages, F.col("repo.topics"))
-    return stream.filter(is_relevant(text))
+    return stream.filter(is_relevant(text, wanted, rejected))
 
 
 def _start(
@@ -101,11 +106,38 @@ def upsert_stream(
 
 
 def stored_batches(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
-    """All complete batches under ``path`` (those older than ``before``), or None."""
-    numbers = [n for n in complete_folders(spark, path, "batch") if before is None or n < before]
+    """All complete batches under ``path`` (those older than ``before``), or None.
+
+    Batches that :func:`fold_batches` has put into a version are read from the newest one.
+    """
+    older = lambda n: before is None or n < before
+    versions = [v for v in complete_folders(spark, path, "version") if older(v)]
+    folded = versions[-1] if versions else -1
+    numbers = [n for n in complete_folders(spark, path, "batch") if older(n) and n > folded]
+    found = None
+    if versions:
+        found = spark.read.parquet(f"{path}/version={folded}").withColumn("batch", F.lit(folded))
+    if numbers:
+        newer = spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in numbers])
+        found = newer if found is None else found.unionByName(newer)
+    return found
+
+
+def fold_batches(
+    spark: SparkSession, path: str, keys: Sequence[str], update: Sequence[str] = ()
+) -> int | None:
+    """Put the table of all complete batches into one version and return the last batch in it.
+
+    Later reads and inserts open the version and the newer batches only. Batches stay where
+    they are: a replay of one finds what it found before.
+    """
+    numbers = complete_folders(spark, path, "batch")
     if not numbers:
         return None
-    return spark.read.option("basePath", path).parquet(*[f"{path}/batch={n}" for n in numbers])
+    if numbers[-1] not in complete_folders(spark, path, "version"):
+        table = current(spark, path, keys, update)
+        table.write.mode("overwrite").parquet(f"{path}/version={numbers[-1]}")
+    return numbers[-1]
 
 
 def current(
@@ -131,3 +163,12 @@ def insert_stream(
         )
 
     return _start(stream, write, checkpoint)
+
+
+def append_stream(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Add the rows of every micro-batch; read them with :func:`stored_batches`."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return _start(stream, write, checkpoint)

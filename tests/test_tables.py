@@ -151,6 +151,39 @@ def test_insert_stream_keeps_first_rows(spark, rows, tmp_path):
     assert rows(stored) == [(1, 1), (2, 1)]
 
 
+def test_folded_batches_are_read_once_and_joined_by_newer_ones(spark, rows, tmp_path):
+    path, schema = str(tmp_path / "t"), "id INT, v INT, o INT"
+    write = lambda n, *r: spark.createDataFrame(list(r), schema).write.parquet(f"{path}/batch={n}")
+    read = lambda: rows(arrivals.current(spark, path, ["id"], ["v"]))
+    assert arrivals.fold_batches(spark, path, ["id"], ["v"]) is None
+    write(0, (1, 10, 1), (2, 20, 1))
+    write(1, (1, 11, 2))
+    before = read()
+    assert arrivals.fold_batches(spark, path, ["id"], ["v"]) == 1
+    assert arrivals.fold_batches(spark, path, ["id"], ["v"]) == 1
+    assert read() == before == [(1, 11, 1), (2, 20, 1)]
+    assert all("batch=" not in f for f in arrivals.stored_batches(spark, path).inputFiles())
+    write(2, (2, 21, 3), (3, 30, 3))
+    assert read() == [(1, 11, 1), (2, 21, 1), (3, 30, 3)]
+    # a replay of batch 1 sees what came before it
+    assert rows(arrivals.stored_batches(spark, path, before=1).select("id", "v")) == [(1, 10), (2, 20)]
+
+
+def test_named_upserts_leave_names_and_ids(spark, rows):
+    repos = "repo_id INT, repo_name STRING, homepage STRING, enriched_at INT"
+    merged = sinks.upsert_enriched_repos(
+        spark.createDataFrame([(1, "a/old", "x", 1)], repos),
+        spark.createDataFrame([(1, "a/new", None, 2), (2, "b/b", "y", 2)], repos),
+    )
+    assert rows(merged) == rows(spark.createDataFrame([(1, "a/old", None, 2), (2, "b/b", "y", 2)], repos))
+    files = "file_id INT, repo_full_name STRING, file_path STRING, content STRING, fetched_at INT"
+    merged = sinks.upsert_files(
+        spark.createDataFrame([(7, "a/b", "p", "old", 1)], files),
+        spark.createDataFrame([(9, "a/b", "p", "new", 2)], files),
+    )
+    assert rows(merged) == [(7, "a/b", "p", "new", 2)]
+
+
 def test_relevant_events_on_a_stream(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
