@@ -426,6 +426,21 @@ ORACLE["link_by_mention"] = """
                        - greatest(strpos(url, hit) - 50, 1))) AS matched_text,
            'page_url' AS link_type, CAST(1 AS DOUBLE) AS confidence
     FROM m WHERE id <> '' AND id IN (SELECT CAST(doc_id AS VARCHAR) FROM documents)"""
+_BLANK = r"(^\s+)|(\s+$)"
+ORACLE["link_by_href"] = f"""
+    WITH found AS (
+        SELECT page_id, html, unnest(list_distinct(
+            regexp_extract_all(html, '(?i:href="/)([^"/]+)', 1))) AS id
+        FROM pages),
+    placed AS (
+        SELECT page_id, html, id, length(id) + 7 AS n,
+               length(regexp_extract(html, '(?s)^(.*?)(?i:href="/)' || regexp_escape(id) || '(["/]|$)', 1)) + 1 AS place
+        FROM found WHERE id IN (SELECT unnest(string_split(text, ' ')) FROM documents))
+    SELECT page_id, id AS mentioned, CAST(place AS INTEGER) AS position,
+           regexp_replace(replace(substr(html, greatest(place - 50, 1), place + n + 50 - greatest(place - 50, 1)),
+                                  chr(10), ' '), '{_BLANK}', '', 'g') AS matched_text,
+           'page_target' AS link_type, CAST(1 AS DOUBLE) AS confidence
+    FROM placed"""
 ORACLE["link_by_owner"] = """
     SELECT n.n_name || '/' || s_name AS repo_full_name,
            lower(m.n_name) || '/' || c_name AS model_id, 'same_username' AS link_type,

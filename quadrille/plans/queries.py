@@ -328,12 +328,19 @@ def refresh_repo_params(spark, d):
 @query
 def link_by_mention(spark, d):
     pages = table(spark, d, "pages").select(F.col("page_id"), "url")
-    found = links.mentions(pages, "page_id", "url", r"example\.[a-z]+/[a-z]+/", "[0-9]+",
-                           more="[0-9]")
+    found = links.mentions(pages, "page_id", "url", r"example\.[a-z]+/[a-z]+/", "[0-9]+")
     known = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("doc"))
     return links.link_by_mention(found, known, "doc", "page_url")
 
 
+@query
+def link_by_href(spark, d):
+    """Targets in the markup of pages, many in one page, that are words of documents."""
+    found = links.mentions(table(spark, d, "pages"), "page_id", "html", 'href="/', '[^"/]+')
+    words = table(spark, d, "documents").select(F.explode(F.split("text", " ")).alias("word"))
+    return links.link_by_mention(found, words, "word", "page_target")
+
+
 def _owned(spark, d):
     nation = table(spark, d, "nation")
     supplier, customer = table(spark, d, "supplier"), table(spark, d, "customer")
