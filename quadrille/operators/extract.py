@@ -253,7 +253,7 @@ def layered_params(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     Prose and JSON are read by expressions, the rest by the batch parsers, as is JSON
     without top-level parameters (but not an adapter config). Everything is narrow: one
-    row per text, no shuffle.
+    scan, one row per text, no shuffle; texts that are read already do not enter the parsers.
     """
     keys, layer, content = list(keys), F.col("layer"), F.col("content")
     read = texts.select(
@@ -262,16 +262,21 @@ def layered_params(texts: DataFrame, keys: Sequence[str]) -> DataFrame:
         "content",
         F.when(layer == "prose", prose_params(content))
         .when(layer.isin("json", "adapter"), json_params(content))
-        .alias("rows"),
+        .alias("found"),
     )
-    native = read.select(
-        *keys, F.when(layer == "prose", "regex").otherwise("json").alias("source"), "rows"
+    unread = layer.isin("ast", "yaml") | ((layer == "json") & (F.size("found") == 0))
+    parser = F.when(layer == "ast", "ast").when(unread, "yaml")
+    routed = read.select(
+        *keys,
+        F.when(layer == "prose", "regex").otherwise("json").alias("reader"),
+        F.when(~unread, F.col("found")).alias("found"),
+        parser.alias("layer"),
+        F.when(unread, content).alias("content"),
     )
-    unread = layer.isin("ast", "yaml") | ((layer == "json") & (F.size("rows") == 0))
-    rest = read.filter(unread).select(
-        *keys, F.when(layer == "ast", "ast").otherwise("yaml").alias("layer"), "content"
+    told = parsed_params(routed, [*keys, "reader", "found"])
+    return told.select(
+        *keys, F.coalesce("source", "reader").alias("source"), F.coalesce("found", "rows").alias("rows")
     )
-    return native.unionByName(parsed_params(rest, keys))
 
 
 def exploded(found: DataFrame, keys: Sequence[str], rows: Column) -> DataFrame:
