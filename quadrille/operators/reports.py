@@ -140,10 +140,20 @@ def freshness(df: DataFrame, column: str) -> DataFrame:
 
 
 def extraction_counts(rows: DataFrame) -> DataFrame:
-    """Rows and distinct files or entities per extraction source."""
+    """Rows per extraction source."""
     return rows.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def extraction_yield(found: DataFrame) -> DataFrame:
+    """Per source of (source, rows), one row per text read: texts seen, those with parameters, rows."""
+    size = F.coalesce(F.greatest(F.size("rows"), F.lit(0)), F.lit(0))
+    return found.groupBy("source").agg(
+        F.count(F.lit(1)).alias("texts"),
+        F.count_if(size > 0).alias("hits"),
+        F.sum(size).alias("rows"),
+    )
+
+
 def facet_values(df: DataFrame, column: str) -> DataFrame:
     """Distinct non-NULL values, sorted."""
     return df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)

@@ -978,6 +978,15 @@ ORACLE["data_freshness"] = "SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS lat
 ORACLE["extraction_report"] = over(
     "files file_rows", "SELECT source, count(*) AS rows FROM file_rows GROUP BY source"
 )
+ORACLE["extraction_yield"] = over(
+    "files file_rows",
+    """SELECT source, texts, coalesce(hits, 0) AS hits, CAST(coalesce(n, 0) AS BIGINT) AS rows
+       FROM (SELECT CASE file_category WHEN 'training_script' THEN 'ast' WHEN 'config' THEN 'yaml'
+                    ELSE 'json' END AS source, count(*) AS texts
+             FROM files WHERE file_category <> 'dependencies' GROUP BY 1)
+       LEFT JOIN (SELECT source, count(DISTINCT file_id) AS hits, count(*) AS n
+                  FROM file_rows GROUP BY source) USING (source)""",
+)
 ORACLE["random_sample"] = """
     SELECT least(30, count(*)) AS sampled, least(30, count(*)) AS different,
            least(30, count(*)) AS members FROM lineitem"""

@@ -1074,6 +1074,12 @@ def extraction_report(spark, d):
     return reports.extraction_counts(extract.extract_files(_files(spark, d)))
 
 
+@query
+def extraction_yield(spark, d):
+    """Files seen, files with parameters (adapter configs are the json ones) and rows of each source."""
+    return reports.extraction_yield(extract.found_in_files(_files(spark, d), ["file_id"]))
+
+
 @query
 def random_sample(spark, d):
     """Of 30 sampled line items: how many there are, how many are distinct, how many in the table."""
