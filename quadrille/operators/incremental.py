@@ -11,36 +11,34 @@ from quadrille.functions import vocab
 from quadrille.operators.skew import skew_join
 
 
+def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows, for a job that takes a batch at a time; without a limit all."""
+    return ordered if limit is None else ordered.limit(limit)
+
+
 def not_yet(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not among the done ones (keys are never NULL)."""
     return todo.join(done.select(key), key, "left_anti")
 
 
-def enrichment_backlog(discovered: DataFrame, enriched: DataFrame, limit: int = 50) -> DataFrame:
+def enrichment_backlog(discovered: DataFrame, enriched: DataFrame, limit: int | None = None) -> DataFrame:
     """Discovered repositories not enriched yet, newest first."""
-    return (
-        not_yet(discovered, enriched, "repo_id")
-        .orderBy(F.col("discovered_at").desc(), "repo_id")
-        .limit(limit)
-        .select("repo_id", "repo_name")
-    )
+    newest = not_yet(discovered, enriched, "repo_id").orderBy(F.col("discovered_at").desc(), "repo_id")
+    return _first(newest, limit).select("repo_id", "repo_name")
 
 
-def discovery_backlog(discovered: DataFrame, enriched: DataFrame, limit: int) -> DataFrame:
+def discovery_backlog(discovered: DataFrame, enriched: DataFrame, limit: int | None = None) -> DataFrame:
     """Neither marked nor enriched: search hits first, then the oldest."""
     from_search = F.coalesce(F.col("search_source") == "repo_search", F.lit(False))
-    return (
-        not_yet(discovered.filter(~F.col("enriched")), enriched, "repo_id")
-        .orderBy(from_search.desc(), "discovered_at", "repo_id")
-        .limit(limit)
-        .select("repo_id", "repo_name")
-    )
+    todo = not_yet(discovered.filter(~F.col("enriched")), enriched, "repo_id")
+    ordered = todo.orderBy(from_search.desc(), "discovered_at", "repo_id")
+    return _first(ordered, limit).select("repo_id", "repo_name")
 
 
-def ingest_backlog(discovered: DataFrame, limit: int) -> DataFrame:
+def ingest_backlog(discovered: DataFrame, limit: int | None = None) -> DataFrame:
     """Models not ingested yet, oldest first."""
     pending = discovered.filter(~F.col("ingested"))
-    return pending.orderBy("discovered_at", "model_id").limit(limit).select("model_id")
+    return _first(pending.orderBy("discovered_at", "model_id"), limit).select("model_id")
 
 
 def stale(
@@ -55,22 +53,16 @@ def stale(
     )
 
 
-def repos_to_embed(enriched: DataFrame, embedded: DataFrame, limit: int) -> DataFrame:
+def repos_to_embed(enriched: DataFrame, embedded: DataFrame, limit: int | None = None) -> DataFrame:
     usable = enriched.filter("readme_content IS NOT NULL AND enrichment_status = 'ok'")
-    return (
-        stale(usable, embedded, "repo_id", "enriched_at", "embedded_at")
-        .orderBy(F.col("enriched_at").desc_nulls_last(), "repo_id")
-        .limit(limit)
-    )
+    changed = stale(usable, embedded, "repo_id", "enriched_at", "embedded_at")
+    return _first(changed.orderBy(F.col("enriched_at").desc_nulls_last(), "repo_id"), limit)
 
 
-def models_to_embed(models: DataFrame, embedded: DataFrame, limit: int) -> DataFrame:
+def models_to_embed(models: DataFrame, embedded: DataFrame, limit: int | None = None) -> DataFrame:
     usable = models.filter("card_content IS NOT NULL AND is_lora_relevant")
-    return (
-        stale(usable, embedded, "model_id", "last_modified", "embedded_at")
-        .orderBy(F.col("created_at").desc_nulls_last(), "model_id")
-        .limit(limit)
-    )
+    changed = stale(usable, embedded, "model_id", "last_modified", "embedded_at")
+    return _first(changed.orderBy(F.col("created_at").desc_nulls_last(), "model_id"), limit)
 
 
 def changed_files(tree: DataFrame, stored: DataFrame) -> DataFrame:
@@ -84,29 +76,25 @@ def changed_files(tree: DataFrame, stored: DataFrame) -> DataFrame:
     return tree.join(known, ["repo", "path"], "left").filter(~same).drop("_stored")
 
 
-def cards_to_extract(models: DataFrame, done: DataFrame, limit: int) -> DataFrame:
+def cards_to_extract(models: DataFrame, done: DataFrame, limit: int | None = None) -> DataFrame:
     """Models with a real card, or relevant ones, that have no parameters yet."""
     relevant = F.coalesce(F.col("is_lora_relevant"), F.lit(False))
     todo = models.filter((F.length("card_content") > 200) | relevant)
-    return not_yet(todo, done, "model_id").orderBy("model_id").limit(limit)
+    return _first(not_yet(todo, done, "model_id").orderBy("model_id"), limit)
 
 
 def fallback_targets(
-    files: DataFrame, repos: DataFrame, raw: DataFrame, limit: int
+    files: DataFrame, repos: DataFrame, raw: DataFrame, limit: int | None = None
 ) -> DataFrame:
     """Usable repositories that have file contents but no raw rows."""
     usable = repos.filter("enrichment_status = 'ok'").select(
         F.col("repo_name").alias("repo_full_name")
     )
-    return (
-        files.filter("content IS NOT NULL")
-        .select("repo_full_name")
-        .distinct()
-        .join(usable, "repo_full_name", "left_semi")
-        .join(raw.select("repo_full_name").distinct(), "repo_full_name", "left_anti")
-        .orderBy("repo_full_name")
-        .limit(limit)
+    with_files = files.filter("content IS NOT NULL").select("repo_full_name").distinct()
+    unread = with_files.join(usable, "repo_full_name", "left_semi").join(
+        raw.select("repo_full_name").distinct(), "repo_full_name", "left_anti"
     )
+    return _first(unread.orderBy("repo_full_name"), limit)
 
 
 def above_floor(rows: DataFrame, column: str, floor: int, null_as_zero: bool = True) -> DataFrame:

@@ -752,7 +752,7 @@ ORACLE["backlog_discovery"] = over(
     "discovered legacy",
     """SELECT repo_id, repo_name FROM discovered
        WHERE NOT enriched AND repo_id NOT IN (SELECT repo_id FROM legacy)
-       ORDER BY (search_source = 'repo_search') DESC, discovered_at, repo_id LIMIT 700""",
+       ORDER BY (search_source = 'repo_search') DESC, discovered_at, repo_id""",
 )
 ORACLE["stale_set"] = """
     SELECT e.event_id, e.user_id FROM events e LEFT JOIN (
@@ -767,12 +767,12 @@ ORACLE["fallback_targets"] = over(
     """SELECT DISTINCT f.repo_full_name FROM files f
        JOIN repos_enriched e ON e.repo_name = f.repo_full_name AND e.enrichment_status = 'ok'
        WHERE f.repo_full_name NOT IN (SELECT repo_full_name FROM raw_rows)
-       ORDER BY 1 LIMIT 200""",
+       ORDER BY 1""",
 )
 ORACLE["cards_backlog"] = over(
     "cards params",
     """SELECT model_id FROM cards WHERE is_lora_relevant
-       AND model_id NOT IN (SELECT model_id FROM params) ORDER BY model_id LIMIT 10000""",
+       AND model_id NOT IN (SELECT model_id FROM params) ORDER BY model_id""",
 )
 ORACLE["date_windows"] = """
     SELECT CASE WHEN o_orderdate < DATE '1996-01-01' THEN 'before 1996'

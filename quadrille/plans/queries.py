@@ -775,7 +775,7 @@ def backlog_newest(spark, d):
 @query
 def backlog_discovery(spark, d):
     return incremental.discovery_backlog(
-        _discovered(spark, d), analogs.repos_legacy(spark, d), 700
+        _discovered(spark, d), analogs.repos_legacy(spark, d)
     )
 
 
@@ -813,14 +813,14 @@ def changed_by_hash(spark, d):
 def fallback_targets(spark, d):
     raw = extract.raw_config_rows(_files(spark, d), analogs.repos_enriched(spark, d))
     return incremental.fallback_targets(
-        _files(spark, d), analogs.repos_enriched(spark, d), raw, 200
+        _files(spark, d), analogs.repos_enriched(spark, d), raw
     )
 
 
 @query
 def cards_backlog(spark, d):
     done = analogs.model_params(spark, d).select("model_id")
-    return incremental.cards_to_extract(_cards(spark, d), done, 10_000).select("model_id")
+    return incremental.cards_to_extract(_cards(spark, d), done).select("model_id")
 
 
 @query
