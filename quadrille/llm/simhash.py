@@ -45,20 +45,29 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return total
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
-    """The 64-bit majority of a text's shingle hashes; bytes.lower() touches A-Z only and
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of a text's word shingles, repeated ones included; bytes.lower() touches A-Z only and
     bytes.split() cuts at the six ASCII white-space characters."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     if len(words) < shingle:
         runs = [b" ".join(words)]
     else:
         runs = map(b" ".join, zip(*[words[k:] for k in range(shingle)]))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(run, SEED) for run in runs], dtype="<u8")
-    majority = bit_counts(hashes) * 2 > len(hashes)
-    return int(np.packbits(majority, bitorder="little").view("<u8")[0])
+    return np.array([digest(run, SEED) for run in runs], dtype="<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of ``hashes`` have."""
+    most = bit_counts(hashes) * 2 > len(hashes)
+    return int(np.packbits(most, bitorder="little").view("<u8")[0])
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
+    """The 64-bit majority of a text's shingle hashes."""
+    return majority(shingle_hashes(text, shingle))
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
