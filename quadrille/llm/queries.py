@@ -113,15 +113,25 @@ def op10_order_minhash(spark, d):
     )
 
 
-@query
-def op3_quotation_linking(spark, d):
-    linked = quotations.link_quotations(table(spark, d, "conversations"))
+def _linked(messages):
+    linked = quotations.link_quotations(messages)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256")
     return quotations.in_reply_order(linked).select(
         "conv_id", "turn", "role", digest, "n_quotes", "n_linked", "reply_to", "thread", "depth"
     )
 
 
+@query
+def op3_quotation_linking(spark, d):
+    return _linked(table(spark, d, "conversations"))
+
+
+@query
+def op3_quotation_replies(spark, d):
+    """The same over replies that quote lines of the turns before them, at two levels."""
+    return _linked(quotations.quoting_replies(table(spark, d, "conversations")))
+
+
 # --- SQL, where SQL can express an operator ----------------------------------------
 
 _LOWERED = f"translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}')"

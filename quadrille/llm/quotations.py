@@ -2,12 +2,16 @@
 
 Lines that begin with ``>`` marks are quotes, one level per mark; consecutive lines of one level
 form a passage, cut at blank lines. A passage's normalised words are hashed and joined, within
-a conversation, to the own passages of the messages before it; the message that said the words first
-is the original. A message replies to the latest original among its quotes of the lowest linked
-level. Quotes and the lines that announce them go; replies stand after what they reply to.
+a conversation, to the messages before it that have these words on one line or on consecutive lines
+of their own, not cut by a blank line or a quote; the first message of which they are a whole
+passage is the original, or else the first that has them at all. So a quote of a part of a paragraph links, and so do interleaved replies. A message
+replies to the latest original among its quotes of the lowest linked level. Quotes and the lines
+that announce them go; replies stand after what they reply to.
 
-Equal own passages are one row before the join, by an aggregate, so a passage that a third of all
-messages have is looked up, never paired. Roots are found by doubling: a message asks the message it
+Runs of own lines are hashed only where a quote has as many words, and leave their task only if
+their hash has its bit in a filter of all quotes (fixed 8 MB, sent to every task; it may let more
+through, never fewer). Without any quote they are not read at all. Equal runs are one row before the
+join, by an aggregate, so a line that a third of all messages have is looked up, never paired. Roots are found by doubling: a message asks the message it
 points to where that one points, so a chain of any length takes the logarithm of it in turns.
 
 Defined results: a NULL text stays NULL and quotes nothing; NULL conversations or turns link to
@@ -19,9 +23,12 @@ are replaced.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -29,15 +36,24 @@ from pyspark.sql import functions as F
 
 from quadrille.llm.common import free_name, schema_of, slices, staged, with_columns
 
+# Bits of the filter of quoted passages: 8 MB, whatever the size of the table.
+FILTER_BITS = 1 << 26
+# Bits of one row of bitmap_construct_agg.
+BUCKET_BITS = 32_768
+
 QUOTE = re.compile(r"^[ \t]*((?:>[ \t]?)+)")
 # A line that announces a quote, in the languages of the corpus.
 ANNOUNCES = re.compile(r"\b(wrote|said|schrieb|écrit|escribió)\b.*:\s*$", re.IGNORECASE)
 
 
-def parse(text: str) -> tuple[str, list[str], list[tuple[int, str]]]:
-    """A message without its quotes, its own passages, and its quoted ones with their levels."""
+Block = list[list[str]]
+
+
+def blocks_of(text: str) -> tuple[str, list[Block], list[tuple[int, str]]]:
+    """A message without its quotes, its own passages as the words of their lines, and its quoted
+    ones with their levels."""
     kept: list[str] = []
-    own: list[list[str]] = [[]]
+    own: list[Block] = [[]]
     quoted: list[tuple[int, list[str]]] = []
     level = 0
     for line in text.split("\n"):
@@ -51,8 +67,8 @@ def parse(text: str) -> tuple[str, list[str], list[tuple[int, str]]]:
                     kept.pop()
                 if kept and ANNOUNCES.search(kept[-1]):
                     announced = kept.pop().lower().split()
-                    if own[-1][-len(announced) :] == announced:
-                        del own[-1][-len(announced) :]
+                    if own[-1] and own[-1][-1] == announced:
+                        own[-1].pop()
                     while kept and not kept[-1].strip():
                         kept.pop()
                 own.append([])
@@ -61,38 +77,110 @@ def parse(text: str) -> tuple[str, list[str], list[tuple[int, str]]]:
             quoted[-1][1].extend(words)
         else:
             kept.append(line)
-            if not words:
+            if words:
+                own[-1].append(words)
+            else:
                 own.append([])
-            own[-1].extend(words)
         level = depth
     clean = "\n".join(kept).strip("\n")
     return (
         clean if quoted else text,
-        [" ".join(p) for p in own if p],
+        [b for b in own if b],
         [(d, " ".join(p)) for d, p in quoted if p],
     )
 
 
+def parse(text: str) -> tuple[str, list[str], list[tuple[int, str]]]:
+    """A message without its quotes, its own passages, and its quoted ones with their levels."""
+    clean, own, quoted = blocks_of(text)
+    return clean, [" ".join(w for line in b for w in line) for b in own], quoted
+
+
+def runs(block: Block, sizes: list[int]) -> Iterator[str]:
+    """The runs of whole lines of ``block`` with a number of words among ``sizes`` (ascending)."""
+    starts = list(itertools.accumulate(map(len, block), initial=0))
+    line_at = {n: i for i, n in enumerate(starts)}
+    wanted = set(sizes)
+    words: list[str] = [w for line in block for w in line]
+    for first in starts[:-1]:
+        if len(block) <= len(sizes):
+            ends = [n for n in starts[line_at[first] + 1 :] if n - first in wanted]
+        else:
+            longest = bisect.bisect_right(sizes, len(words) - first)
+            ends = [first + n for n in sizes[:longest] if first + n in line_at]
+        for end in ends:
+            yield " ".join(words[first:end])
+
+
 def passage_hash(words: str) -> str:
     return xxhash.xxh3_128_hexdigest(words.encode("utf-8", "surrogatepass"))
 
 
-def parsed(messages: DataFrame, text: str, own: str, quotes: str) -> DataFrame:
-    """``messages`` with quotes taken out of ``text``, and the hashes of own and quoted passages."""
+def parsed(messages: DataFrame, text: str, quotes: str) -> DataFrame:
+    """``messages`` with quotes taken out of ``text``, and the sizes and hashes of quoted passages."""
     at = messages.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, text):
-            found = [parse(t) for t in texts]
+            found = [blocks_of(t) for t in texts]
             valid = batch.column(text).is_valid().to_pylist()
             clean = pa.array([f[0] if v else None for f, v in zip(found, valid)], pa.string())
-            hashes = pa.array([sorted({passage_hash(p) for p in f[1]}) for f in found], pa.list_(pa.string()))
-            kind = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.string())]))
-            marks = pa.array([[{"level": d, "hash": passage_hash(p)} for d, p in f[2]] for f in found], kind)
-            yield with_columns(batch.set_column(at, text, clean), (), **{own: hashes, quotes: marks})
+            kind = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.string()), ("n", pa.int32())]))
+            marks = [[{"level": d, "hash": passage_hash(p), "n": p.count(" ") + 1} for d, p in f[2]] for f in found]
+            yield with_columns(batch.set_column(at, text, clean), (), **{quotes: pa.array(marks, kind)})
+
+    return messages.mapInArrow(run, schema_of(messages, (), f"`{quotes}` array<struct<level:int,hash:string,n:int>>"))
 
-    added = f"`{own}` array<string>, `{quotes}` array<struct<level:int,hash:string>>"
-    return messages.mapInArrow(run, schema_of(messages, (), added))
+
+def bit_of(passage: str, bits: int) -> int:
+    return int(passage[:8], 16) % bits
+
+
+def quoted_bits(quoted: DataFrame, bits: int) -> np.ndarray:
+    """A bitmap with one bit for every quoted hash; ``bit_of`` says which."""
+    place = F.conv(F.substring("hash", 1, 8), 16, 10).cast("bigint") % F.lit(bits)
+    # Buckets count from 1; bits of a bucket from 0.
+    rows = quoted.select(place.alias("place")).groupBy(
+        F.bitmap_bucket_number(F.col("place") + 1).alias("bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("place") + 1)).alias("bits")).collect()
+    out = np.zeros((bits // BUCKET_BITS, BUCKET_BITS // 8), dtype=np.uint8)
+    for bucket, found in rows:  # at most bits / BUCKET_BITS rows of 4 KB
+        out[bucket - 1] = np.frombuffer(found, dtype=np.uint8)
+    return out.reshape(-1)
+
+
+def said_runs(messages: DataFrame, conv: str, turn: str, text: str, sizes: list[int], bitmap: np.ndarray) -> DataFrame:
+    """(conv, turn, hash, whole) of the runs of own lines that a quote may repeat, ``whole`` for passages."""
+    rows = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(text).alias("text"))
+    rows = rows.filter("conv IS NOT NULL AND turn IS NOT NULL")
+    shared = rows.sparkSession.sparkContext.broadcast((sizes, bitmap))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths, filled = shared.value
+        bits = len(filled) * 8
+        for batch, texts in slices(batches):
+            owner, hashes, whole = [], [], []
+            for i, value in enumerate(texts):
+                distinct: dict[str, bool] = {}
+                for block in blocks_of(value)[1]:
+                    size = sum(map(len, block))
+                    for words in runs(block, lengths):
+                        found = passage_hash(words)
+                        distinct[found] = distinct.get(found, False) or words.count(" ") + 1 == size
+                for found, all_of_it in distinct.items():
+                    place = bit_of(found, bits)
+                    if filled[place >> 3] >> (place & 7) & 1:
+                        owner.append(i)
+                        hashes.append(found)
+                        whole.append(all_of_it)
+            of = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("conv").take(of), batch.column("turn").take(of), pa.array(hashes, pa.string()),
+                 pa.array(whole, pa.bool_())],
+                ["conv", "turn", "hash", "whole"],
+            )
+
+    return rows.mapInArrow(run, schema_of(rows, ("text",), "hash string, whole boolean"))
 
 
 def roots(links: DataFrame) -> DataFrame:
@@ -112,7 +200,8 @@ def roots(links: DataFrame) -> DataFrame:
 
 
 def link_quotations(
-    messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text"
+    messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text",
+    filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
     """``messages`` without quotes in ``text``, with n_quotes, n_linked, reply_to, thread and depth.
 
@@ -121,16 +210,22 @@ def link_quotations(
     """
     added = ("n_quotes", "n_linked", "reply_to", "thread", "depth")
     base = messages.drop(*[c for c in added if c not in (conv, turn, text)])
-    own, quotes = free_name(base, "__own"), free_name(base, "__quotes")
-    told = staged(parsed(base, text, own, quotes))
-    said = told.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.explode(own).alias("hash"))
-    first = said.filter("conv IS NOT NULL AND turn IS NOT NULL").groupBy("conv", "hash").agg(
-        F.min("turn").alias("original")
-    )
+    quotes = free_name(base, "__quotes")
+    told = staged(parsed(base, text, quotes))
     quoted = told.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.explode(quotes).alias("q")).select(
-        "conv", "turn", "q.level", "q.hash"
+        "conv", "turn", "q.level", "q.hash", "q.n"
     )
-    linked = quoted.join(first, ["conv", "hash"]).filter("original < turn")
+    # Distinct numbers of words, so at most about the longest passage of them.
+    sizes = sorted(r.n for r in quoted.select("n").distinct().collect())
+    if sizes:
+        said = said_runs(base, conv, turn, text, sizes, quoted_bits(quoted, filter_bits))
+    else:
+        said = quoted.select("conv", "turn", "hash", F.lit(True).alias("whole"))
+    first = said.groupBy("conv", "hash").agg(
+        F.min(F.when(F.col("whole"), F.col("turn"))).alias("passage"), F.min("turn").alias("part")
+    )
+    original = F.when(F.col("passage") < F.col("turn"), F.col("passage")).when(F.col("part") < F.col("turn"), F.col("part"))
+    linked = quoted.join(first, ["conv", "hash"]).withColumn("original", original).filter("original IS NOT NULL")
     # Of the lowest linked level, the latest original.
     answer = F.max(F.struct((-F.col("level")).alias("near"), "original"))["original"].alias("reply_to")
     per_message = staged(linked.groupBy("conv", "turn").agg(
@@ -152,3 +247,21 @@ def link_quotations(
 def in_reply_order(linked: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
     """Messages sorted so that conversations, and the threads in them, stand together and in order."""
     return linked.repartitionByRange(conv, "thread", turn).sortWithinPartitions(conv, "thread", turn)
+
+
+def quoting_replies(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text") -> DataFrame:
+    """``messages`` in which each also quotes a line of the turn before it, and above that, one level
+    deeper, a line of the turn before that one; which line goes by the turn."""
+    words = F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")
+    line = F.try_element_at(words, (F.pmod(F.col(turn), F.greatest(F.size(words), F.lit(1))) + 1).cast("int"))
+    lines = messages.groupBy(F.col(conv).alias("__conv"), F.col(turn).alias("__turn")).agg(F.min(line).alias("__line"))
+    out = messages
+    for back, mark in ((1, "> "), (2, ">> ")):
+        earlier = lines.withColumnsRenamed({c: f"{c}_{back}" for c in lines.columns})
+        out = out.join(
+            earlier, (F.col(conv) == F.col(f"__conv_{back}")) & (F.col(turn) - back == F.col(f"__turn_{back}")), "left"
+        ).withColumn(text, F.when(
+            F.col(text).isNotNull() & F.col(f"__line_{back}").isNotNull(),
+            F.concat(F.lit(mark), f"__line_{back}", F.lit("\n"), text),
+        ).otherwise(F.col(text)))
+    return out.select(*messages.columns)

@@ -105,3 +105,78 @@ def test_clean_text_has_no_quotes(text):
     clean, _, quoted = Q.parse(text)
     assert Q.parse(clean)[2] == []
     assert bool(quoted) == (">" in text)
+
+
+def simple(rows):
+    """(conv, turn) -> reply_to, told with plain string work: every run of own lines of every earlier message."""
+    said, out = [], {}
+    for conv, turn, _, text in sorted(rows):
+        level, quotes, block, blocks = 0, [], [], []
+        for line in [*text.lower().split("\n"), ""]:
+            bare = line.lstrip("> ")
+            depth = line[: len(line) - len(bare)].count(">")
+            if depth:
+                if depth != level:
+                    quotes.append((depth, []))
+                quotes[-1][1].extend(bare.split())
+            if depth or not line.strip():
+                blocks.append(block)
+                block = []
+            else:
+                block.append(line.split())
+            level = depth
+        found = []
+        for depth, words in quotes:
+            earlier = [(words not in whole, t) for c, t, whole, runs in said if c == conv and t < turn and words in runs]
+            first = min(earlier, default=(True, None))[1]
+            if first is not None:
+                found.append((-depth, first))
+        out[conv, turn] = max(found, default=(0, None))[1]
+        runs = [sum(b[i:j], []) for b in blocks for i in range(len(b)) for j in range(i + 1, len(b) + 1)]
+        said.append((conv, turn, [sum(b, []) for b in blocks], runs))
+    return out
+
+
+def test_parts_of_paragraphs_and_interleaved_replies(spark):
+    rows = [
+        (1, 0, "u", "line one\nline two\nline three"),
+        (1, 1, "a", "> line one\nanswer one\n> line two\nanswer two"),
+        (1, 2, "b", "> line two\n> line three\nboth"),
+        (1, 3, "b", ">> line two\n> answer two\nyes"),
+        (1, 4, "b", "> line one\n> line three\nnot side by side"),
+        (1, 5, "b", "> one\npart of a line"),
+        (1, 6, "b", "> answer one\n> answer two\ncut by a quote"),
+    ]
+    got = linked(spark, rows)
+    assert [got[1, t].reply_to for t in range(7)] == [None, 0, 0, 1, None, None, None]
+    assert {k: r.reply_to for k, r in got.items()} == simple(rows)
+    assert got[1, 1].n_linked == 2 and got[1, 1].text == "answer one\nanswer two"
+
+
+def test_random_interleaved_replies(spark):
+    rng = random.Random(9)
+    rows, said = [], {}
+    for conv in range(15):
+        for turn in range(rng.randint(2, 12)):
+            lines = []
+            for _ in range(rng.randint(1, 4)):
+                earlier = said.get((conv, rng.randrange(turn)) if turn else None)
+                if earlier and rng.random() < 0.7:
+                    start = rng.randrange(len(earlier))
+                    depth = rng.randint(1, 3)
+                    lines += [">" * depth + " " + e for e in earlier[start : start + rng.randint(1, 3)]]
+                mine = [f"t{rng.randrange(40)} w{rng.randrange(4)}" for _ in range(rng.randint(1, 4))]
+                lines += mine
+                said[conv, turn] = mine
+            rows.append((conv, turn, "u", "\n".join(lines)))
+    got = {k: r.reply_to for k, r in linked(spark, rows).items()}
+    assert got == simple(rows)
+    assert sum(v is not None for v in got.values()) > 20
+
+
+def test_replies_derived_from_the_tables(run, spark):
+    rows = run("op3_quotation_replies")
+    plain = run("op3_quotation_linking")
+    assert len(rows) == len(plain)
+    assert sum(r.n_linked > 0 for r in rows) > len(rows) / 3
+    assert sum(r.depth > 1 for r in rows) > 0
