@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from quadrille.llm.common import schema_of, slices, with_columns
 
 UNDETERMINED = "und"
+# The one answer of the model that knows no language.
+UNKNOWN = "unknown"
 # The classifier is fitted on about so many labelled texts of each language ...
 SAMPLE_TEXTS = 600
 # ... and the automaton holds their most frequent words, up to so many characters.
@@ -167,6 +169,11 @@ class Model:
         return out
 
 
+def letters_only() -> Model:
+    """Tells texts with a letter from those without, where no language could be learned."""
+    return Model([UNKNOWN], [Automaton.of([])])
+
+
 def fit(
     labelled: DataFrame,
     text: str = "text",
@@ -176,12 +183,15 @@ def fit(
 ) -> Model:
     """Learn one automaton per label from a bounded sample of distinct labelled texts.
 
-    Texts are drawn by their hash, about ``sample_texts`` of each label; the automaton of
+    Texts are drawn by their hash, about ``sample_texts`` of each label's distinct ones, and all of
+    a label that has no more; the automaton of
     a label holds its most frequent words up to ``automaton_chars`` characters. Both bounds
     do not depend on the size of the table; the labels themselves are the only rows counted.
     """
     rows = labelled.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    # Copies are one text here as in the sample: a share of the rows would starve a label of copies.
+    texts = F.count_distinct(F.xxhash64(F.lit("sample"), F.col(text)))
+    counts = {r[0]: r[1] for r in rows.groupBy(label).agg(texts).collect()}
     if not counts:
         return Model([], [])
     shares = F.create_map(

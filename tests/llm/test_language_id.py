@@ -143,3 +143,14 @@ def test_clashing_names_and_bounds(docs, corpus):
 def test_a_long_run_of_letters(spark, model):
     df = spark.createDataFrame([(1, "the" * 50_000)], "doc_id bigint, text string")
     assert L.identify(df, model).first().lang_pred == "en"
+
+
+def test_copies_do_not_starve_a_language(spark):
+    rows = [("aa", "one and the same text")] * 3000 + [("aa", f"alpha{i}") for i in range(5)]
+    rows += [("bb", f"beta{'x' * i}") for i in range(5)]
+    model = L.fit(spark.createDataFrame(rows, "lang string, text string"), sample_texts=20)
+    assert model.languages == ["aa", "bb"]
+    # All distinct texts are within the sample, so every word of both is known.
+    assert all(a.keys.size for a in model.automata)
+    found = L.identify(spark.createDataFrame([("alpha",), ("one text",), ("betaxx",)], "text string"), model).collect()
+    assert [r.lang_pred for r in found] == ["aa", "aa", "bb"]
