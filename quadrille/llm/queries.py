@@ -19,6 +19,7 @@ from quadrille.llm import (
     simhash,
     substring_dedup,
     token_counts,
+    token_files,
 )
 from quadrille.llm.common import table
 
@@ -113,6 +114,13 @@ def op10_order_minhash(spark, d):
     )
 
 
+@query
+def op11_token_files(spark, d):
+    """Token files of all documents, written and read back."""
+    folder = token_files.write_tokens(_docs(spark, d), public_tokenizers.path(BYTES), end_id=0)
+    return token_files.read_checksums(spark, folder).withColumnRenamed("key", "doc_id")
+
+
 def _linked(messages):
     linked = quotations.link_quotations(messages)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256")
