@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quadrille.llm import (
     bpe_numpy,
     decontaminate,
+    filter_audit,
     language_id,
     line_dedup,
     order_minhash,
@@ -121,6 +122,12 @@ def op11_token_files(spark, d):
     return token_files.read_checksums(spark, folder).withColumnRenamed("key", "doc_id")
 
 
+@query
+def op13_filter_audit(spark, d):
+    """What five filters remove from documents, by language, in all 120 orders."""
+    return filter_audit.audit(filter_audit.failures(_docs(spark, d), table(spark, d, "labels")))
+
+
 def _linked(messages):
     linked = quotations.link_quotations(messages)
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("clean_sha256")
@@ -192,3 +199,45 @@ ORACLE["op8_substring_dedup"] = f"""
            CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
            sha256(coalesce(left_over, '')) AS kept_sha256
     FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
+
+ORACLE["op13_filter_audit"] = f"""
+    WITH said AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
+                  FROM labels GROUP BY doc_id),
+    docs AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_PLAIN} AS words,
+                    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+    judged AS (
+        SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+               CAST(len(words) < 100 AS INT)
+               + 2 * CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INT)
+               + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS INT)
+               + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT)
+               + 16 * CAST(coalesce(d.doc_id > least, false) AS INT) AS failed
+        FROM docs d LEFT JOIN said s ON s.doc_id = d.doc_id),
+    counted AS (SELECT part, failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+                FROM judged GROUP BY part, failed),
+    letters(c, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+    orders AS (
+        SELECT a.c || b.c || c.c || d.c || e.c AS filter_order
+        FROM letters a, letters b, letters c, letters d, letters e
+        WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+          AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+    steps AS (
+        SELECT filter_order, step, l.c AS letter, l.bit AS own,
+               coalesce((SELECT sum(p.bit) FROM letters p WHERE strpos(filter_order, p.c) < step), 0) AS before
+        FROM orders, generate_series(1, 5) AS s(step), letters l WHERE l.c = substr(filter_order, step, 1)),
+    settled AS (
+        SELECT part, filter_order, step, letter,
+               sum(CASE WHEN failed & own = 0 AND failed & before = 0 THEN n ELSE 0 END) AS kept,
+               sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN n ELSE 0 END) AS removed,
+               sum(CASE WHEN failed & own <> 0 AND failed & before <> 0 THEN n ELSE 0 END) AS redundant,
+               sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+               sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN good ELSE 0 END) AS good_lost,
+               sum(CASE WHEN failed & own <> 0 AND failed & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+        FROM counted, (SELECT filter_order, step, letter, own, CAST(before AS INT) AS before FROM steps)
+        GROUP BY part, filter_order, step, letter)
+    SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept,
+           CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+           CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+           CAST(toxic_lost AS BIGINT) AS toxic_lost,
+           CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+    FROM settled"""
