@@ -15,6 +15,7 @@ from quadrille.llm import (
     language_id,
     line_dedup,
     order_minhash,
+    prefix_trie,
     quotations,
     sharding,
     simhash,
@@ -22,7 +23,7 @@ from quadrille.llm import (
     token_counts,
     token_files,
 )
-from quadrille.llm.common import table
+from quadrille.llm.common import staged, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,6 +123,15 @@ def op11_token_files(spark, d):
     return token_files.read_checksums(spark, folder).withColumnRenamed("key", "doc_id")
 
 
+@query
+def op12_prefix_trie(spark, d):
+    """The prefix trie of conversations that share first turns with others, as nodes with their totals."""
+    said = staged(prefix_trie.turns(table(spark, d, "conversations")))
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-said.count() // prefix_trie.TASK_STEPS))
+    nodes = prefix_trie.trie(prefix_trie.rebuilt(said, tasks), said.select("conv"), ["part", "turn"])
+    return nodes.withColumnRenamed("saved", "saved_tokens")
+
+
 @query
 def op13_filter_audit(spark, d):
     """What five filters remove from documents, by language, in all 120 orders."""
@@ -200,6 +210,58 @@ ORACLE["op8_substring_dedup"] = f"""
            sha256(coalesce(left_over, '')) AS kept_sha256
     FROM docs d LEFT JOIN kept k ON k.doc_id = d.doc_id"""
 
+# The CRC table as a list, for the checksum of an id's decimal digits.
+_CRC_STEP = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+
+ORACLE["op12_prefix_trie"] = f"""
+    WITH RECURSIVE crc(i, v, k) AS (
+        SELECT CAST(i AS BIGINT), CAST(i AS BIGINT), 0 FROM generate_series(0, 255) AS g(i)
+        UNION ALL SELECT i, {_CRC_STEP.format("v")}, k + 1 FROM crc WHERE k < 8),
+    crcs AS (SELECT list(v ORDER BY i) AS lut FROM crc WHERE k = 8),
+    convs AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+    digits(conv_id, left_over, state) AS (
+        SELECT conv_id, CAST(conv_id AS VARCHAR), CAST(4294967295 AS BIGINT) FROM convs
+        UNION ALL
+        SELECT conv_id, substr(left_over, 2),
+               xor(state >> 8, lut[CAST(xor(state & 255, CAST(ascii(left_over) AS BIGINT)) AS INT) + 1])
+        FROM digits, crcs WHERE left_over <> ''),
+    heads AS (SELECT conv_id, xor(state, 4294967295) % 9 AS h FROM digits WHERE left_over = ''),
+    turns AS (
+        SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i
+        FROM conversations WHERE conv_id IS NOT NULL),
+    steps AS (
+        SELECT h.conv_id, 0 AS part, i, role, text
+        FROM heads h JOIN turns t ON t.conv_id = h.conv_id - h.conv_id % 5 AND t.i <= h.h
+        UNION ALL
+        SELECT h.conv_id, 1, i, role, text FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND t.i > h.h),
+    paths AS (
+        SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY part, i) AS path FROM steps GROUP BY conv_id),
+    whole AS (SELECT c.conv_id, coalesce(path, []) AS path FROM convs c LEFT JOIN paths p ON p.conv_id = c.conv_id),
+    places AS (SELECT conv_id, path, unnest(generate_series(0, len(path))) AS depth FROM whole),
+    prefixes AS (SELECT conv_id, depth, len(path) = depth AS ends, list_slice(path, 1, depth) AS prefix FROM places),
+    nodes AS (
+        SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+               sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), ''))
+                   AS ends_sha256,
+               (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE strlen(prefix[-1].text) END AS own
+        FROM prefixes GROUP BY prefix, depth),
+    up AS (SELECT n.*, p.conv_id AS parent_conv_id, p.prefix AS parent FROM nodes n
+           LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)),
+    born AS (SELECT parent, depth - 1 AS depth, count(*) AS n FROM up WHERE depth > 0 GROUP BY parent, depth),
+    known AS (SELECT u.*, coalesce(b.n, 0) AS n_children FROM up u
+              LEFT JOIN born b ON b.parent = u.prefix AND b.depth = u.depth),
+    spread AS (
+        SELECT list_slice(prefix, 1, d) AS prefix, d AS depth, own, n_children
+        FROM (SELECT prefix, own, n_children, unnest(generate_series(0, depth)) AS d FROM known)),
+    totals AS (
+        SELECT prefix, depth, sum(own) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+        FROM spread GROUP BY prefix, depth)
+    SELECT k.conv_id, CAST(k.depth AS BIGINT) AS depth, parent_conv_id, n_convs,
+           CAST(n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+    FROM known k JOIN totals t ON t.prefix = k.prefix AND t.depth = k.depth"""
+
 ORACLE["op13_filter_audit"] = f"""
     WITH said AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic
                   FROM labels GROUP BY doc_id),
