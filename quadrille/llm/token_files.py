@@ -7,18 +7,22 @@ follow each other in ascending order of the key; a part's base, the ids and docu
 is the prefix sum over the parts, so any document or range of ids is found from one row of the
 manifest and two offsets.
 
-Writing: texts are encoded once, in their own partitions, and the packed ids written out; a range
-shuffle by (key, text hash, row number) lays them in order, however many rows share a key; each task
-streams one part under a name of its own attempt and renames it, so a task that is run again
-replaces the file with an equal one. The driver sees one row per part (``PART_TOKENS`` ids each).
-Files lie in a folder that all executors reach, the application's checkpoint folder by default.
-Reading: a task maps one part and slices it; nothing is moved.
+Writing: a range shuffle by (key, text hash, row number) lays the texts in order, however many rows
+share a key; each task encodes its texts and streams them into one part, under a name of its own
+attempt that is changed in the end, so a task that is run again replaces the files with equal ones. The
+driver sees one row per part, of which there are at most ``MAX_PARTS``. Files lie in a folder that all
+executors reach, the application's checkpoint folder by default. Reading: a task maps one part and
+slices it; nothing is moved.
+
+The tokenizers library encodes chunks of text, and a worker remembers a bounded number of them. A chunk
+begins at a single space between two characters that are no white space: there the byte-level pattern
+always starts a new word, so the ids of the chunks are those of the text. Other tokenizer files are
+given whole texts.
 
 Defined results: a NULL text is empty; every document ends with ``end_id``, if one is given. NULL
 keys come first; rows that share a key follow each other by the hash of their texts; equal rows
 are written as often as they occur. An empty table gives a folder without parts. Other columns are
-not read. Texts of more than ``LONG`` characters are encoded in pieces, cut between two words where
-the byte-level pattern always cuts.
+not read.
 """
 
 from __future__ import annotations
@@ -41,65 +45,112 @@ from pyspark.sql import functions as F
 from quadrille.llm.common import slices, staged, text_key
 from quadrille.session import use_checkpoint_dir
 
-# Ids that a part should have: 64 MB of 16-bit ids.
-PART_TOKENS = 32_000_000
+# Bytes of text that a part should have, and how many parts there may be; then parts grow.
+PART_BYTES, MAX_PARTS = 24 << 20, 100_000
 # Documents or ids that a reading task works on at a time.
 READ_DOCS, READ_TOKENS = 20_000, 2_000_000
-# Texts beyond this many characters are encoded in pieces of about so many.
-LONG = 1 << 19
-BETWEEN_WORDS = re.compile(r"(?<=[a-z]) (?=[a-z])")
+# Texts are cut into chunks so many characters at a time; a worker remembers so many chunks.
+LONG, KNOWN_CHUNKS = 1 << 20, 500_000
+# Signs that a word of letters may end with.
+ENDS = ".,;:!?"
+# Where a chunk may begin.
+CHUNK = re.compile(r"(?<=\S) (?=\S)")
 
-_LOADED: dict[str, object] = {}
+_LOADED: dict[str, Encoder] = {}
 
 
-def tokenizer(path: str):
-    """The tokenizer of a file, once per Python worker, without truncation and padding."""
-    if path not in _LOADED:
+class Encoder:
+    """The tokenizer of a file, without truncation and padding, giving ids as packed integers."""
+
+    def __init__(self, path: str):
         # Spark's tasks are the parallelism.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        loaded = Tokenizer.from_file(path)
-        loaded.no_truncation()
-        loaded.no_padding()
-        _LOADED[path] = loaded
+        self.library = Tokenizer.from_file(path)
+        self.library.no_truncation()
+        self.library.no_padding()
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        spec = json.loads(self.library.to_str())
+        words = spec["pre_tokenizer"] or {}
+        byte_level = words.get("type") == "ByteLevel" and not words.get("add_prefix_space") and words.get("use_regex", True)
+        plain = all(not t["lstrip"] and not t["rstrip"] and " " not in t["content"] for t in spec["added_tokens"])
+        self.chunked = byte_level and plain and spec["normalizer"] is None
+        self.known: dict[str, bytes] = {}
+        self.ends = dict(zip(ENDS, self._ids(list(ENDS))))
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(c.ids, self.kind).tobytes() for c in coded]
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text."""
+        if not self.chunked:
+            yield from self._ids(texts)
+            return
+        for text in texts:
+            yield b"".join([i for piece in pieces(text) for i in self._of_chunks(piece)])
+
+    def _of_chunks(self, piece: str) -> Iterator[bytes]:
+        """The ids of the chunks of ``piece``; ``known`` has the ids of words with a space before them."""
+        first, *words = piece.split(" ")
+        new = list(set(words).difference(self.known))
+        if not first or first[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in new):
+            # Some spaces do not begin a chunk. What follows a cut keeps its space.
+            return self._ids(_chunks(piece))
+        if len(self.known) + len(new) > KNOWN_CHUNKS:
+            self.known = {}
+            new = list(set(words))
+        self._learn(new)
+        return [*self._ids([first]), *map(self.known.__getitem__, words)]
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words with a space before them: a sign after letters is a word of its own for the
+        pattern, and words of letters are given as one text, in which each is one."""
+        ended = {w for w in words if w[-1] in ENDS and w[:-1].isalpha()}
+        letters = list({w[:-1] if w in ended else w for w in words if w in ended or w.isalpha()}.difference(self.known))
+        for start in range(0, len(letters), 1000):
+            self._learn_letters(letters[start : start + 1000])
+        for word in ended:
+            self.known[word] = self.known[word[:-1]] + self.ends[word[-1]]
+        other = [w for w in words if w not in self.known]
+        self.known.update(zip(other, self._ids([f" {w}" for w in other])))
+
+    def _learn_letters(self, words: list[str]) -> None:
+        coded = self.library.encode(" " + " ".join(words), add_special_tokens=False)
+        ids, places = np.array(coded.ids, self.kind), np.array(coded.word_ids)
+        starts = np.flatnonzero(np.diff(places, prepend=-1))
+        if len(starts) == len(words):
+            raw, cuts = ids.tobytes(), [*(starts * ids.itemsize).tolist(), ids.nbytes]
+            self.known.update(zip(words, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
+        else:  # not letters for the library
+            self.known.update(zip(words, self._ids([f" {w}" for w in words])))
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of a tokenizer file, once per Python worker."""
+    if path not in _LOADED:
+        _LOADED[path] = Encoder(path)
     return _LOADED[path]
 
 
-def pieces(text: str, long: int = LONG) -> list[str]:
-    """``text`` cut between words into pieces of about ``long`` characters."""
-    cuts, start = [], 0
+def _chunks(text: str) -> list[str]:
+    """``text`` cut wherever a chunk may begin."""
+    cuts = [0, *[hit.start() for hit in CHUNK.finditer(text)], len(text)]
+    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
+
+
+def pieces(text: str, long: int = LONG) -> Iterator[str]:
+    """``text`` cut where chunks may begin, about every ``long`` characters."""
+    start = 0
     while len(text) - start > long:
-        hit = BETWEEN_WORDS.search(text, start + long)
+        hit = CHUNK.search(text, start + long)
         if not hit:
             break
-        cuts.append(text[start : hit.start()])
+        yield text[start : hit.start()]
         start = hit.start()
-    return [*cuts, text[start:]]
-
-
-def id_type(path: str) -> np.dtype:
-    return np.dtype("<u2" if tokenizer(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-
-
-def packed_ids(docs: DataFrame, path: str, key: str, text: str, end_id: int | None, kind: np.dtype) -> DataFrame:
-    """(key, tie, ids, n) of every row: the ids as one binary value of type ``kind``."""
-    rows = docs.select(F.col(key).alias("key"), text_key(text).alias("tie"), F.col(text).alias("text"))
-    last = b"" if end_id is None else np.array([end_id], kind).tobytes()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode_batch_fast
-        for batch, texts in slices(batches):
-            cut = [pieces(t) for t in texts]
-            coded = iter(encode([p for parts in cut for p in parts], add_special_tokens=False))
-            ids = [b"".join(np.array(next(coded).ids, kind).tobytes() for _ in parts) + last for parts in cut]
-            sizes = pa.array([len(i) // kind.itemsize for i in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("tie"), pa.array(ids, pa.binary()), sizes], ["key", "tie", "ids", "n"]
-            )
-
-    key_type = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"key {key_type}, tie bigint, ids binary, n bigint")
+    yield text[start:]
 
 
 def at(folder: str) -> tuple[fs.FileSystem, str]:
@@ -116,23 +167,23 @@ def _part(path: str, number: int, kind: str) -> str:
     return f"{path}/part-{number:06d}.{kind}"
 
 
-def _write_part(batches: Iterator[pa.RecordBatch], folder: str, size: int) -> tuple[int, int, int] | None:
-    """Stream ordered (key, ids) into the files of this task's part."""
+def _write_part(batches: Iterator[pa.RecordBatch], folder: str, path_of: str, end_id: int | None) -> tuple[int, int, int] | None:
+    """Encode ordered (key, text) into the files of this task's part."""
     store, path = at(folder)
+    code = encoder(path_of)
+    size, last = code.kind.itemsize, b"" if end_id is None else np.array([end_id], code.kind).tobytes()
     number, attempt = TaskContext.get().partitionId(), f"tmp{uuid.uuid4().hex}"
     names = {kind: _part(path, number, kind) for kind in ("bin", "idx", "keys")}
     offsets, open_files, keys = [np.zeros(1, "<u8")], {}, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch, texts in slices(batches):
         if not open_files:
             open_files = {k: store.open_output_stream(f"{n}.{attempt}") for k, n in names.items()}
             keys = pa.ipc.new_file(open_files["keys"], pa.schema([pa.field("key", batch.column("key").type)]))
-        ids = batch.column("ids").to_pylist()
-        ends = np.cumsum([len(i) // size for i in ids], dtype=np.int64).astype("<u8")
-        offsets.append(offsets[-1][-1] + ends)
-        for value in ids:
-            open_files["bin"].write(value)
+        sizes = []
+        for ids in code.encode(texts):
+            open_files["bin"].write(ids + last)
+            sizes.append((len(ids) + len(last)) // size)
+        offsets.append(offsets[-1][-1] + np.cumsum(sizes, dtype=np.int64).astype("<u8"))
         keys.write_batch(pa.RecordBatch.from_arrays([batch.column("key")], ["key"]))
     if not open_files:
         return None
@@ -148,30 +199,32 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, size: int) -> tu
 
 def write_tokens(
     docs: DataFrame, path: str, folder: str | None = None, key: str = "doc_id", text: str = "text",
-    end_id: int | None = None, part_tokens: int = PART_TOKENS,
+    end_id: int | None = None, part_bytes: int = PART_BYTES,
 ) -> str:
     """Encode ``docs`` with the tokenizer file ``path`` into a folder of token files; returns it."""
     spark = docs.sparkSession
     if folder is None:
         use_checkpoint_dir(spark)
         folder = f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid.uuid4().hex}"
-    kind = id_type(path)
-    # The row number is written before it orders anything, so a second run of a task repeats it.
-    coded = staged(packed_ids(docs, path, key, text, end_id, kind).withColumn("row", F.monotonically_increasing_id()))
-    total = coded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = docs.select(
+        F.col(key).alias("key"), text_key(text).alias("tie"), F.monotonically_increasing_id().alias("row"), F.col(text).alias("text")
+    )
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    parts = min(max(1, -(-total // part_bytes)), MAX_PARTS)
     order = [F.col("key").asc_nulls_first(), F.col("tie"), F.col("row")]
-    laid = coded.repartitionByRange(max(1, -(-total // part_tokens)), *order).sortWithinPartitions(*order)
+    laid = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     store, where = at(folder)
     store.create_dir(where, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = _write_part(batches, folder, kind.itemsize)
+        made = _write_part(batches, folder, path, end_id)
         if made:
             yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in made], ["part", "docs", "tokens"])
 
-    written = staged(laid.select("key", "ids").mapInArrow(run, "part bigint, docs bigint, tokens bigint"))
-    parts = [[r["part"], r["docs"], r["tokens"]] for r in written.orderBy("part").collect()]  # one row per file
-    about = {"dtype": kind.str, "key": coded.schema["key"].dataType.simpleString(), "end_id": end_id, "parts": parts}
+    written = staged(laid.select("key", "text").mapInArrow(run, "part bigint, docs bigint, tokens bigint"))
+    made = [[r["part"], r["docs"], r["tokens"]] for r in written.orderBy("part").collect()]  # one row per file
+    key_type = rows.schema["key"].dataType.simpleString()
+    about = {"dtype": encoder(path).kind.str, "key": key_type, "end_id": end_id, "parts": made}
     with store.open_output_stream(f"{where}/manifest.json") as out:
         out.write(json.dumps(about).encode())
     return folder

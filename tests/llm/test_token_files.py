@@ -28,9 +28,9 @@ def test_query(run, corpus):
     assert sorted(rows) == slow(pairs(corpus))
 
 
-@pytest.mark.parametrize("part_tokens", [10**9, 2000, 7])
-def test_awkward_documents(spark, docs, part_tokens):
-    folder = token_files.write_tokens(docs, PATH, end_id=0, part_tokens=part_tokens)
+@pytest.mark.parametrize("part_bytes", [10**9, 9000, 200])
+def test_awkward_documents(spark, docs, part_bytes):
+    folder = token_files.write_tokens(docs, PATH, end_id=0, part_bytes=part_bytes)
     found = token_files.read_checksums(spark, folder).collect()
     want = slow(pairs(docs))
     assert sorted((r.key is not None, r.key, r.n_tokens, r.ids_crc32) for r in found) == sorted(
@@ -48,7 +48,7 @@ def test_awkward_documents(spark, docs, part_tokens):
 
 
 def test_ids_at_any_place_and_as_documents(spark, docs):
-    folder = token_files.write_tokens(docs, PATH, part_tokens=3000)
+    folder = token_files.write_tokens(docs, PATH, part_bytes=10000)
     rows = sorted(token_files.read_documents(spark, folder).collect(), key=lambda r: r.start)
     flat = [i for r in rows for i in r.ids]
     assert token_files.read_ids(folder, 0, 10**9).tolist() == flat
@@ -60,21 +60,34 @@ def test_ids_at_any_place_and_as_documents(spark, docs):
 def test_one_key_with_most_rows_spreads_over_parts(spark):
     rows = [(7, "the same text again")] * 400 + [(None, "no key")] * 300 + [(i, f"text {i}") for i in range(50)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    folder = token_files.write_tokens(df, PATH, end_id=0, part_tokens=400)
+    folder = token_files.write_tokens(df, PATH, end_id=0, part_bytes=1600)
     about = token_files.manifest(folder)
     assert max(docs for _, docs, _ in about["parts"]) < 250
     found = token_files.read_checksums(spark, folder)
     assert sorted((r.start, r.n_tokens) for r in found.collect()) == sorted((s, n) for _, s, n, _ in slow(rows))
 
 
-def test_long_texts_are_cut_where_the_tokenizer_cuts():
+def test_chunks_are_cut_where_the_tokenizer_cuts(monkeypatch):
     rng = random.Random(3)
-    words = ["it's", "the", "A1", "ß", "日本", "x" * 50, "<|endoftext|>", "\n\n", "  ", "end.", "don't"]
-    text = " ".join(rng.choice(words) for _ in range(20_000))
-    cut = token_files.pieces(text, 500)
-    assert "".join(cut) == text and len(cut) > 50
-    whole = LIBRARY.encode(text, add_special_tokens=False).ids
-    assert [i for p in cut for i in LIBRARY.encode(p, add_special_tokens=False).ids] == whole
+    words = ["it's", "the", "A1", "ß", "日本", "x" * 50, "<|endoftext|>", "\n\n", "  ", "end.", "don't", "", "\t", "a\nb", "\x0b", "　", "\x85!"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(60))) for _ in range(600)]
+    texts += [" ".join(rng.choice(words) for _ in range(20_000)), "a\0 b c", " ", ""]
+    for long, known in ((1 << 20, 200_000), (40, 30)):
+        monkeypatch.setattr(token_files, "KNOWN_CHUNKS", known)
+        monkeypatch.setattr(token_files.pieces, "__defaults__", (long,))
+        code = token_files.Encoder(PATH)
+        assert code.chunked and all("".join(token_files.pieces(t)) == t for t in texts)
+        for text, ids in zip(texts, code.encode(texts)):
+            assert np.frombuffer(ids, "<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_a_tokenizer_that_is_not_byte_level_gets_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    code, library = token_files.Encoder(path), Tokenizer.from_file(path)
+    texts = ["Hello  world", "", "it's A b c"]
+    assert not code.chunked
+    assert [np.frombuffer(i, "<u2").tolist() for i in code.encode(texts)] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_other_keys_clashing_names_and_empty_tables(spark, no_docs):
