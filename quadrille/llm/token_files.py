@@ -50,7 +50,7 @@ PART_BYTES, MAX_PARTS = 24 << 20, 100_000
 # Documents or ids that a reading task works on at a time.
 READ_DOCS, READ_TOKENS = 20_000, 2_000_000
 # Texts are cut into chunks so many characters at a time; a worker remembers so many chunks.
-LONG, KNOWN_CHUNKS = 1 << 20, 500_000
+LONG, KNOWN_CHUNKS = 1 << 20, 100_000
 # Signs that a word of letters may end with.
 ENDS = ".,;:!?"
 # Where a chunk may begin.
