@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -69,6 +70,51 @@ def _page(
     return Page(items, df, limit, offset)
 
 
+def _after(key: Sequence[str], last: Sequence) -> Column:
+    """Whether a row comes after one with the values ``last`` of ``key``, column by column."""
+    later, equal = F.lit(False), F.lit(True)
+    for name, value in zip(key, last, strict=True):
+        later = later | (equal & (F.col(name) > F.lit(value)))
+        equal = equal & (F.col(name) == F.lit(value))
+    return later
+
+
+def page_after(
+    df: DataFrame, by: str, order: str, key: Sequence[str], last: Sequence | None, limit: int
+) -> DataFrame:
+    """The rows that follow ``last`` = (value of ``by``, values of ``key``) in the page order; the first
+    page without it.
+
+    The condition is a filter, so what came before is neither sorted nor carried, and on a table laid
+    out by ``by`` it is not even read. NULLs come last: a value is followed by them, too, and among
+    them the key alone decides. ``key`` must be unique and not NULL.
+    """
+    _within("limit", limit, 1, PAGE_LIMIT)
+    ordered = _sorted_by(F.col(by), order)
+    if last is not None:
+        value, rest = last[0], _after(key, last[1:])
+        column = F.col(by)
+        if value is None:
+            df = df.filter(column.isNull() & rest)
+        else:
+            beyond = column > F.lit(value) if order == "asc" else column < F.lit(value)
+            df = df.filter(beyond | column.isNull() | ((column == F.lit(value)) & rest))
+    return df.orderBy(ordered, *key).limit(limit)
+
+
+def pages(df: DataFrame, by: str, order: str, key: Sequence[str], limit: int) -> Iterator[tuple[DataFrame, list]]:
+    """Page after page as (frame, its at most ``limit`` rows), each found from the last row before it."""
+    last = None
+    while True:
+        page = page_after(df, by, order, key, last, limit)
+        rows = page.collect()
+        if rows:
+            yield page, rows
+        if len(rows) < limit:
+            return
+        last = [rows[-1][by], *[rows[-1][k] for k in key]]
+
+
 def _params_struct(params: DataFrame, key: str) -> DataFrame:
     fields = [c for c in (*vocab.PARAMS, *vocab.PROVENANCE) if c in params.columns]
     return params.select(key, F.struct(*fields).alias("lora_params"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.functions import vocab
@@ -185,17 +185,17 @@ MODEL_SUITES: dict[str, tuple[Expectation, ...]] = {
 
 
 def run_suites(
-    tables: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Expectation]]
+    tables: Mapping[str, DataFrame], suites: Mapping[str, Sequence[Expectation]], spark: SparkSession | None = None
 ) -> DataFrame:
-    """Results of all suites whose table is present."""
-    results = [
-        check_table(tables[name], name, checks)
-        for name, checks in suites.items()
-        if name in tables
-    ]
-    merged = results[0]
-    for more in results[1:]:
-        merged = merged.unionByName(more)
+    """Results of all suites. A suite whose table is absent fails with one row, ``table_present``;
+    ``spark`` is needed only where no table at all is there."""
+    spark = spark or next((t.sparkSession for t in tables.values()), None) or SparkSession.getActiveSession()
+    absent = [(name, "table_present", 0, False) for name in suites if name not in tables]
+    merged = spark.createDataFrame(absent, "table_name string, expectation string, observed bigint, success boolean")
+    for name, checks in suites.items():
+        if name in tables:
+            found = check_table(tables[name], name, checks)
+            merged = found.unionByName(merged)
     return merged
 
 

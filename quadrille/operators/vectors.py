@@ -107,23 +107,23 @@ def search_many(
     """The k most similar points of every question: (question, id, score, rank).
 
     ``points`` is (id, vector), ``questions`` (question, vector). Similarity is the cosine; ties of
-    the whole score go to the lower id, and it is shown with four digits. Questions travel to the
-    tasks in blocks of at most ``shipped``, and the points are read once per block. A task holds a
-    matrix of at most ``matrix_bytes`` and the k best of every question, and gives out only those.
+    the whole score go to the lower id, and it is shown with four digits. Up to ``shipped`` questions
+    travel to the tasks, which read the points once; more stay a table and meet the points block by
+    block (:func:`quadrille.operators.inverted.search_exact`). A task holds a matrix of at most
+    ``matrix_bytes`` and the k best of every question, and gives out only those.
     """
     id_type = points.schema["id"].dataType.simpleString()
     question_type = questions.schema["question"].dataType.simpleString()
     schema = f"question {question_type}, id {id_type}, score DOUBLE"
     points = points.select("id", "vector")
-    blocks = max(1, -(-questions.count() // shipped))
-    own = F.pmod(F.xxhash64("question"), F.lit(blocks))
-    hits = points.sparkSession.createDataFrame([], schema)
-    for block in range(blocks):
-        rows = questions.filter(own == block).select("question", "vector").collect()
-        for start in range(0, len(rows), shipped):
-            part = rows[start : start + shipped]
-            hits = hits.unionByName(points.mapInPandas(_scan(part, k, matrix_bytes), schema))
-    return _cut(hits, k)
+    rows = questions.select("question", "vector").limit(shipped + 1).collect()
+    if not rows:
+        return _cut(points.sparkSession.createDataFrame([], schema), k)
+    if len(rows) > shipped:
+        from quadrille.operators.inverted import search_exact
+
+        return search_exact(points, questions, k, question_block=shipped, matrix_bytes=matrix_bytes)
+    return _cut(points.mapInPandas(_scan(rows, k, matrix_bytes), schema), k)
 
 
 def _scan(rows: list, k: int, matrix_bytes: int):

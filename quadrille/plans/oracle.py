@@ -1016,6 +1016,12 @@ ORACLE["insights_page"] = over(
     """SELECT * FROM stats WHERE quadrant = 'common+works' AND prevalence >= 5 AND sample_ok
        ORDER BY score_lift DESC NULLS LAST, param_name, param_value LIMIT 20 OFFSET 3""",
 )
+ORACLE["insights_after"] = over(
+    STATS,
+    """SELECT param_name, param_value, score_lift, page FROM (
+           SELECT *, CAST((row_number() OVER (ORDER BY score_lift DESC NULLS LAST, param_name, param_value) - 1) // 20 + 1
+                          AS INTEGER) AS page FROM stats) WHERE page <= 5""",
+)
 ORACLE["insights_total"] = over(
     STATS, "SELECT count(*) AS total FROM stats WHERE param_name = 'optimizer'"
 )
@@ -1079,6 +1085,18 @@ ORACLE["vector_topk_blocks"] = """
         FROM embeddings a, embeddings b, LATERAL (SELECT round(list_cosine_similarity(
                  CAST(b.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[])), 12)
                  AS score)) WHERE rank <= 3"""
+ORACLE["vector_index_recall"] = """
+    SELECT count(*) AS questions, true AS recall_ok FROM embeddings WHERE vec_id % 50 = 0"""
+ORACLE["stream_changed_by_hash"] = """
+    WITH hashed AS (
+        SELECT user_id, event_id, ts, CASE WHEN event_type <> 'error' THEN event_type ELSE '' END AS sha FROM events),
+    told AS (SELECT *, lag(sha) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM hashed)
+    SELECT user_id, event_id, sha FROM told WHERE sha = '' OR before IS NULL OR sha <> before"""
+ORACLE["quality_absent_tables"] = """
+    SELECT 'orders' AS table_name, 'not_null(o_orderkey)' AS expectation,
+           count(*) FILTER (WHERE o_orderkey IS NULL) AS observed, count(*) = count(o_orderkey) AS success FROM orders
+    UNION ALL SELECT 'refunds', 'table_present', 0, false
+    UNION ALL SELECT 'returns', 'table_present', 0, false"""
 ORACLE["vector_topk_raw"] = """
     WITH points AS (
         SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings

@@ -18,6 +18,7 @@ from quadrille.operators import (
     explore,
     extract,
     incremental,
+    inverted,
     links,
     params,
     practice,
@@ -933,6 +934,26 @@ def stream_insert_ignore(spark, d):
     return arrivals.stored_batches(spark, f"{folder}/table").select("user_id", "event_id", "value")
 
 
+@query
+def stream_changed_by_hash(spark, d):
+    """Events whose type differs from the user's type before, by keyed state; the stream stops
+    halfway and goes on when more files have arrived."""
+    folder = _stream_folder(spark)
+    events = table(spark, d, "events")
+    hashed = events.select(
+        "user_id", "event_id", "ts", F.when(F.col("event_type") != "error", F.col("event_type")).otherwise("").alias("sha")
+    )
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    middle = events.agg(((F.min(at) + F.max(at)) / 2).alias("m")).first()["m"]
+    early = at < F.lit(middle)
+    for half in (early, ~early):
+        hashed.filter(half).write.mode("append").parquet(f"{folder}/in")
+        stream = arrivals.arriving(spark, f"{folder}/in", hashed.schema)
+        changed = arrivals.changed_contents(stream, ["user_id"], "sha", ["ts", "event_id"])
+        arrivals.append_stream(changed, f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return arrivals.stored_batches(spark, f"{folder}/table").select("user_id", "event_id", "sha")
+
+
 @query
 def stream_dedup(spark, d):
     """Kinds of events of every user, each passed on once."""
@@ -991,7 +1012,17 @@ def quality_of_models(spark, d):
         "hf_model_tree": warehouse.tree_counts(models),
         "repo_lora_outcomes": _outcomes(spark, d),
     }
-    return quality.run_suites(tables, quality.MODEL_SUITES)
+    return quality.run_suites(tables, {name: quality.MODEL_SUITES[name] for name in tables})
+
+
+@query
+def quality_absent_tables(spark, d):
+    """A suite over a table that is not there fails."""
+    suites = {
+        "orders": (quality.not_null("o_orderkey"),), "refunds": (quality.not_null("refund_id"),),
+        "returns": (quality.unique("return_id"), quality.min_rows(1)),
+    }
+    return quality.run_suites({"orders": table(spark, d, "orders")}, suites)
 
 
 # --- reports -----------------------------------------------------------------------
@@ -1132,6 +1163,18 @@ def insights_page(spark, d):
     return page.items
 
 
+@query
+def insights_after(spark, d):
+    """The first five pages, each found from the last row of the page before it."""
+    stats = cut_lineage(_stats(spark, d).select("param_name", "param_value", "score_lift"))
+    found = stats.limit(0).withColumn("page", F.lit(0))
+    for number, (page, _) in enumerate(explore.pages(stats, "score_lift", "desc", ["param_name", "param_value"], 20), 1):
+        found = found.unionByName(page.withColumn("page", F.lit(number)))
+        if number == 5:
+            break
+    return found
+
+
 @query
 def insights_total(spark, d):
     return explore.insights(_stats(spark, d), param_name="optimizer", order="asc").total()
@@ -1250,6 +1293,29 @@ def vector_topk_blocks(spark, d):
     return vectors.search_many(points, questions, 3, shipped=300, matrix_bytes=1 << 20)
 
 
+def _indexed(spark, d, k):
+    """Questions with an id divisible by 50 against all points: by the index, and exactly."""
+    points = _points(spark, d)
+    questions = points.filter(F.col("id") % 50 == 0).select(F.col("id").alias("question"), "vector")
+    centres = inverted.fit_cells(points, 32)
+    # These vectors have no clusters, so most cells must be probed for nine tenths of the neighbours.
+    found = inverted.search_index(inverted.file_points(points, centres), centres, questions, k, probes=24)
+    return found, inverted.search_exact(points, questions, k)
+
+
+@query
+def vector_topk_index(spark, d):
+    """Nearest neighbours by inverted lists."""
+    return _indexed(spark, d, 10)[0]
+
+
+@query
+def vector_index_recall(spark, d):
+    """Whether the index finds nine tenths of the exact neighbours."""
+    told = inverted.recall(*_indexed(spark, d, 10))
+    return told.select("questions", (F.col("recall") >= 0.9).alias("recall_ok"))
+
+
 @query
 def vector_topk_raw(spark, d):
     """Every vector has a nearly equal twin with a lower id: four digits cannot tell them apart."""

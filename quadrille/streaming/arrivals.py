@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quadrille.functions import vocab
 from quadrille.functions.text import event_text, is_relevant
@@ -49,6 +51,40 @@ def relevant_events(
     return stream.filter(is_relevant(text, wanted, rejected))
 
 
+def changed_contents(
+    stream: DataFrame, keys: Sequence[str], content_hash: str, order: Sequence[str],
+    idle: str | None = None,
+) -> DataFrame:
+    """Rows whose content hash differs from the one that their key had before them.
+
+    The last hash of every key is the stream's own state, so a batch reads no earlier batch, a
+    restart goes on where the last run ended, and a replayed batch finds the state it had and passes on
+    the same rows. Rows of a batch are taken in the order of ``order``. An empty or NULL hash never
+    counts as unchanged, and what follows one is a change. With ``idle`` (such as "30 days") a key
+    that was not seen for so long is forgotten, which bounds the state. A batch's rows of one key are
+    ordered in memory: bound the batch by ``files_per_batch``.
+    """
+    timeout = GroupStateTimeout.ProcessingTimeTimeout if idle else GroupStateTimeout.NoTimeout
+    forget = int(pd.Timedelta(idle).total_seconds() * 1000) if idle else 0
+    by = list(order)
+
+    def changed(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        rows = pd.concat(list(chunks)).sort_values(by, kind="stable")
+        last, kept = state.get[0] if state.exists else None, []
+        for now in rows[content_hash].fillna("").tolist():
+            kept.append(not now or now != last)
+            last = now
+        state.update((last,))
+        if idle:
+            state.setTimeoutDuration(forget)
+        yield rows[kept]
+
+    return stream.groupBy(*keys).applyInPandasWithState(changed, stream.schema, "last string", "append", timeout)
+
+
 def _start(
     stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
