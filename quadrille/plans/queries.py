@@ -1303,12 +1303,6 @@ def _indexed(spark, d, k):
     return found, inverted.search_exact(points, questions, k)
 
 
-@query
-def vector_topk_index(spark, d):
-    """Nearest neighbours by inverted lists."""
-    return _indexed(spark, d, 10)[0]
-
-
 @query
 def vector_index_recall(spark, d):
     """Whether the index finds nine tenths of the exact neighbours."""
