@@ -793,6 +793,21 @@ ORACLE["upsert_latest"] = """
            CASE WHEN b.o_custkey IS NULL THEN t.amount ELSE b.o_totalprice END AS amount,
            b.o_orderstatus AS status
     FROM t FULL JOIN b ON b.o_custkey = t.repo_id"""
+# A repository that the first batch inserts keeps the segment of that batch.
+ORACLE["upsert_buckets"] = """
+    WITH t AS (SELECT c_custkey AS repo_id, c_mktsegment AS segment, c_acctbal AS amount
+               FROM customer WHERE c_mktsegment <> 'MACHINERY'),
+    b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+              ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1),
+    f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+              ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders
+              WHERE o_orderdate < DATE '1997-01-01') WHERE n = 1)
+    SELECT coalesce(t.repo_id, b.o_custkey) AS repo_id,
+           CASE WHEN t.repo_id IS NOT NULL THEN t.segment
+                ELSE coalesce(f.o_orderpriority, b.o_orderpriority) END AS segment,
+           CASE WHEN b.o_custkey IS NULL THEN t.amount ELSE b.o_totalprice END AS amount,
+           b.o_orderstatus AS status
+    FROM t FULL JOIN b ON b.o_custkey = t.repo_id LEFT JOIN f ON f.o_custkey = b.o_custkey"""
 ORACLE["insert_ignore_first"] = over(
     "legacy",
     """SELECT o_custkey AS repo_id, o_orderkey FROM (
@@ -1048,6 +1063,7 @@ ORACLE["model_detail"] = over(
        FROM outcomes o LEFT JOIN params p USING (model_id)
        LEFT JOIN tree t ON t.base_model = o.model_id WHERE o.model_id = 'part/5'""",
 )
+ORACLE["model_detail_lookup"] = ORACLE["model_detail"]
 ORACLE["repos_search"] = over(
     f"{REPO_PARAMS} legacy repos",
     f"""SELECT repo_name, primary_language, star_count, rank_value, {CONFIDENCE} AS confidence

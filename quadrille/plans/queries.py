@@ -31,7 +31,7 @@ from quadrille.operators import (
 from quadrille.plans import analogs, jobs, warehouse
 from quadrille.plans.analogs import full_name, model_id, table
 from quadrille.session import cut_lineage, use_checkpoint_dir
-from quadrille.sources import sinks
+from quadrille.sources import buckets, lookup, sinks
 from quadrille.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -862,6 +862,37 @@ def upsert_latest(spark, d):
     )
 
 
+def _folder(spark, name):
+    """A new folder under the one that the cluster names."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def upsert_buckets(spark, d):
+    """The orders, older ones first, merged into a table of customers in buckets of its key."""
+    stored = table(spark, d, "customer").filter("c_mktsegment <> 'MACHINERY'").select(
+        F.col("c_custkey").alias("repo_id"),
+        F.col("c_mktsegment").alias("segment"),
+        F.col("c_acctbal").alias("amount"),
+        F.lit(None).cast("string").alias("status"),
+    )
+    batch = table(spark, d, "orders").select(
+        F.col("o_custkey").alias("repo_id"),
+        F.col("o_orderpriority").alias("segment"),
+        F.col("o_totalprice").alias("amount"),
+        F.col("o_orderstatus").alias("status"),
+        "o_orderdate",
+        "o_orderkey",
+    )
+    path = _folder(spark, "buckets")
+    buckets.create_buckets(stored, path, ["repo_id"], 64)
+    late = F.col("o_orderdate") >= F.lit("1997-01-01").cast(batch.schema["o_orderdate"].dataType)
+    for part in (batch.filter(~late), batch.filter(late)):
+        buckets.upsert_buckets(spark, path, part, ["amount", "status"], [F.col("o_orderdate"), F.col("o_orderkey")])
+    return buckets.read_buckets(spark, path)
+
+
 @query
 def insert_ignore_first(spark, d):
     target = analogs.repos_legacy(spark, d).select("repo_id")
@@ -1214,6 +1245,23 @@ def model_detail(spark, d):
     )
 
 
+@query
+def model_detail_lookup(spark, d):
+    """The detail of a model from marts sorted by their keys."""
+    models = _models(spark, d)
+    kept = lambda df, name, key: lookup.sorted_mart(df, _folder(spark, name), key)
+    detail = explore.model_detail(
+        kept(_outcomes(spark, d), "outcomes", "model_id"), kept(models, "models", "model_id"),
+        kept(analogs.model_params(spark, d), "params", "model_id"),
+        kept(warehouse.tree_edges(models), "edges", "base_model"), "part/5",
+    )
+    return detail.select(
+        "model_id", "fine_tune_fan_out", "composite_success_score",
+        F.col("lora_params.scheduler").alias("scheduler"),
+        F.array_join("fine_tune_models", ",").alias("fine_tune_models"),
+    )
+
+
 @query
 def repos_search(spark, d):
     page = explore.repos_page(
