@@ -25,6 +25,8 @@ from quadrille.llm.common import null_safe, staged, text_key
 WINDOW = 13
 # A document is contaminated when 1 word in so many is hit.
 ONE_IN = 20
+# Windows of a text that go together: a window's row carries the words of its block, never the text's.
+BLOCK = 32
 # The hash set is broadcast up to this size.
 BROADCAST_BYTES = 64 << 20
 # The letters that are lower-cased, and what stands between words.
@@ -59,16 +61,28 @@ def benchmark_windows(benchmark: DataFrame, item: str = "item_id", text: str = "
 
 
 def _scanned(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
-    """Documents with their words and window hashes; the first entry of ``hashes`` stands for
-    the document itself, so that one without windows keeps a row."""
+    """Every window's hash ``h`` with its place ``at`` in the text, and ``within`` the words of its
+    ``block``; a row with at = 0 stands for the document itself, so that one without windows keeps a row.
+
+    The text is cut into blocks of BLOCK windows first, so the work is linear in its length.
+    """
     rows = docs.select(
         F.col(key).alias("doc_id"), text_key(text).alias("text_key"), words_of(F.col(text)).alias("words")
     )
     sized = rows.select("doc_id", "text_key", "words", F.size("words").alias("n_words"))
+    last = F.greatest(F.floor((F.col("n_words") - n) / BLOCK), F.lit(0)).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda b: F.slice("words", b * BLOCK + 1, BLOCK + n - 1))
+    blocks = sized.select("doc_id", "text_key", "n_words", F.posexplode(cut).alias("b", "block"))
+    hashes = window_hashes(F.col("block"), F.size("block"), n)
     own = F.array(F.lit(None).cast("bigint"))
-    return sized.select(
-        "doc_id", "text_key", "n_words", "words",
-        F.posexplode(F.concat(own, window_hashes(F.col("words"), F.col("n_words"), n))).alias("at", "h"),
+    each = blocks.select(
+        "doc_id", "text_key", "n_words", "b", "block",
+        F.posexplode(F.when(F.col("b") == 0, F.concat(own, hashes)).otherwise(hashes)).alias("i", "h"),
+    )
+    # Only the first block has an entry for the document.
+    within = F.when(F.col("b") == 0, F.col("i")).otherwise(F.col("i") + 1)
+    return each.select(
+        "doc_id", "text_key", "n_words", "block", "h", within.alias("within"), (F.col("b") * BLOCK + within).alias("at")
     )
 
 
@@ -76,21 +90,21 @@ def _hits(docs: DataFrame, grams: DataFrame, n: int, key: str, text: str, small:
     """(doc_id, text_key, n_words, at, n, items): a row with at = 0 for every document, and one for
     every verified window, at its first word."""
     each = _scanned(docs, n, key, text)
-    verified = F.slice(F.col("words"), F.col("at"), n) == F.col("window")
+    verified = F.slice(F.col("block"), F.col("within"), n) == F.col("window")
     set_of = grams.filter(F.col("n") == n)
     if small:
         met = each.join(F.broadcast(set_of), F.col("h") == F.col("hash"), "left")
         return met.filter((F.col("at") == 0) | (F.col("hash").isNotNull() & verified)).select(
             "doc_id", "text_key", "n_words", "at", F.lit(n).alias("n"), "items"
         )
-    narrow = each.drop("words")
+    narrow = each.drop("block", "within")
     hits = staged(narrow.join(set_of.select("hash"), F.col("h") == F.col("hash"), "left_semi"))
     within = hits.select("doc_id", "text_key").distinct()
     hit_docs = docs.select(F.col(key).alias("doc_id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
     again = _scanned(null_safe(hit_docs, within, ["doc_id", "text_key"], "left_semi"), n, "doc_id", "text")
     # Only windows whose hash was met go on with their words.
     placed = again.filter("at > 0").select(
-        "doc_id", "text_key", "n_words", "at", "h", F.slice(F.col("words"), F.col("at"), n).alias("own")
+        "doc_id", "text_key", "n_words", "at", "h", F.slice(F.col("block"), F.col("within"), n).alias("own")
     )
     met = placed.join(set_of, (F.col("h") == F.col("hash")) & (F.col("own") == F.col("window")))
     lines = narrow.filter("at = 0").select(

@@ -89,3 +89,22 @@ def test_clashing_names(docs, bench):
     odd = docs.withColumnsRenamed({"source": "items", "lang": "words", "n_chars": "hash"}).selectExpr("*", "1 AS at")
     assert decontaminate.contamination(odd, bench).count() == docs.count()
     assert decontaminate.clean_documents(odd, bench).columns == odd.columns
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_windows_at_every_border_of_blocks(spark, bench, limit):
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    size = decontaminate.BLOCK + decontaminate.WINDOW
+    texts = [" ".join(["x"] * before + ["a b c d e f g h i j k l m n"] + ["y"] * after)
+             for before in range(size) for after in (0, 1, size)]
+    texts += [" ".join(["a"] * n) for n in range(2 * size)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert got(df, bench, broadcast_bytes=limit) == slow(pairs(df), items)
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_BYTES, 0])
+def test_a_text_of_half_a_million_words(spark, bench, limit):
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    text = " ".join(f"w{i % 977}" for i in range(499_980)) + " " + PROSE
+    df = spark.createDataFrame([(1, text), (2, "short line")], "doc_id bigint, text string")
+    assert got(df, bench, broadcast_bytes=limit) == slow(pairs(df), items)
