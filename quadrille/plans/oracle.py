@@ -1177,3 +1177,47 @@ ORACLE["context_blocks"] = over(
              LEFT JOIN recipes r ON r.model_id = 'part/' || id)
        GROUP BY question""",
 )
+ORACLE["question_context"] = over(
+    f"{STATS} questions alike repos_enriched recipes",
+    """SELECT question, 'all' AS form,
+              'Context — top matching LoRA repositories and models from the corpus:' || chr(10)
+              || '<retrieved_context>' || chr(10) || coalesce(practices || chr(10) || chr(10), '')
+              || string_agg(line, chr(10) ORDER BY shown DESC, kind, id)
+              || chr(10) || '</retrieved_context>' || chr(10) || chr(10) || 'Question: label ' || question AS message
+       FROM (
+           SELECT question, 'repo' AS kind, CAST(repo_id AS VARCHAR) AS id, floor(score * 1e4 + 0.5) / 1e4 AS shown,
+                  row_number() OVER (PARTITION BY question ORDER BY score DESC, CAST(repo_id AS VARCHAR)) AS n,
+                  '- [repo] ' || repo_name || ' (language=' || primary_language || ', topics=['''
+                  || lower(primary_language) || ''', ''lora''])' || chr(10) || '  readme: ' || description
+                  || chr(10) || '  extracted recipe: rank=' || contributors_count || ', scheduler='
+                  || lower(primary_language) AS line
+           FROM alike a JOIN repos_enriched r ON r.repo_id = a.id WHERE enrichment_status = 'ok'
+           UNION ALL
+           SELECT question, 'model', uuid, floor(score * 1e4 + 0.5) / 1e4,
+                  row_number() OVER (PARTITION BY question ORDER BY score DESC, uuid),
+                  '- [model] ' || m.model_id || ' (base_model=' || coalesce(base_model, '') || ', task=' || pipeline_tag
+                  || ', downloads=' || coalesce(CAST(downloads AS VARCHAR), '') || ', likes='
+                  || coalesce(CAST(likes AS VARCHAR), '') || ')' || chr(10) || '  card: ' || author || ' ' || pipeline_tag
+                  || CASE WHEN recipe IS NOT NULL THEN chr(10) || '  extracted recipe: ' || recipe ELSE '' END
+           FROM alike a JOIN (
+               SELECT *, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
+                      || substr('89ab', 1 + (strpos('0123456789abcdef', substr(h, 17, 1)) - 1) % 4, 1)
+                      || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS uuid
+               FROM (SELECT *, sha1(from_hex('6ba7b8119dad11d180b400c04fd430c8') || encode(model_id)) AS h FROM models)
+           ) m ON m.model_id = 'part/' || a.id
+           LEFT JOIN recipes p ON p.model_id = m.model_id WHERE is_lora_relevant)
+       CROSS JOIN (
+           SELECT 'validated practice statistics (rare-but-works, sample_ok):' ||
+                  string_agg(chr(10) || '- ' || param_name || '=' || param_value
+                      || ' — avg success ' || avg_success_score || ' across ' || prevalence
+                      || ' models', '' ORDER BY avg_success_score DESC, param_name, param_value) AS practices
+           FROM (SELECT * FROM stats WHERE quadrant = 'rare+works' AND sample_ok
+                 ORDER BY avg_success_score DESC, param_name, param_value LIMIT 8))
+       WHERE n <= 3 GROUP BY question, practices
+       UNION ALL
+       SELECT question, 'none',
+              'Context — top matching LoRA repositories and models from the corpus:' || chr(10)
+              || '<retrieved_context>' || chr(10) || '(no matching repositories or models were found)'
+              || chr(10) || '</retrieved_context>' || chr(10) || chr(10) || 'Question: label ' || question
+       FROM questions""",
+)

@@ -1433,3 +1433,37 @@ def context_blocks(spark, d):
         F.concat(F.lit("label "), F.col("question").cast("string")),
     )
     return blocks.select("question", message.alias("message"))
+
+
+@query
+def question_context(spark, d):
+    """The whole message of every question: repositories, models, recipes and practices; and without any."""
+    embeddings = table(spark, d, "embeddings")
+    repos = analogs.repos_enriched(spark, d).withColumns({
+        "readme_content": F.col("description"),
+        "topics": F.to_json(F.array(F.lower("primary_language"), F.lit("lora"))),
+        "enriched_at": F.lit(None).cast("timestamp"),
+    })
+    models = _models(spark, d).withColumn("card_content", F.concat_ws(" ", "author", "pipeline_tag"))
+    # Written: hits are looked up in the points that were searched.
+    collections = {
+        "repos": cut_lineage(vectors.repo_points(
+            repos, embeddings.select(F.col("vec_id").alias("repo_id"), F.col("embedding").alias("vector"))
+        )),
+        "models": cut_lineage(vectors.model_points(
+            models, embeddings.select(model_id("vec_id").alias("model_id"), F.col("embedding").alias("vector"))
+        )),
+    }
+    tables = {
+        "repos": repos.select(
+            F.col("repo_name").alias("repo_full_name"), F.col("contributors_count").alias("rank_value"),
+            F.lower("primary_language").alias("scheduler"),
+        ),
+        "models": analogs.model_params(spark, d),
+    }
+    asked = F.concat(F.lit("label "), F.col("question").cast("string"))
+    questions = cut_lineage(_questions(spark, d).withColumn("text", asked))
+    told = vectors.context(collections, questions, tables, _stats(spark, d), 3)
+    nothing = {kind: points.filter("payload IS NULL") for kind, points in collections.items()}
+    untold = vectors.context(nothing, questions, tables, None, 3)
+    return told.withColumn("form", F.lit("all")).unionByName(untold.withColumn("form", F.lit("none")))
