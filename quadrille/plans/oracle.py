@@ -1221,3 +1221,7 @@ ORACLE["question_context"] = over(
               || chr(10) || '</retrieved_context>' || chr(10) || chr(10) || 'Question: label ' || question
        FROM questions""",
 )
+ORACLE["bucket_sketches"] = """
+    SELECT l_returnflag, l_linestatus, count(*) AS "rows", count(DISTINCT l_orderkey) AS orders,
+           true AS orders_ok, true AS median_ok
+    FROM lineitem GROUP BY l_returnflag, l_linestatus"""

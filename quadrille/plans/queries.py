@@ -26,6 +26,7 @@ from quadrille.operators import (
     ranks,
     reports,
     score,
+    sketches,
     vectors,
 )
 from quadrille.plans import analogs, jobs, warehouse
@@ -195,6 +196,28 @@ def bucket_stats(spark, d):
     )
 
 
+@query
+def bucket_sketches(spark, d):
+    """Sketches per flag and year of shipping, merged per flag, beside the exact counts and ranks."""
+    item = table(spark, d, "lineitem").withColumn("delta", F.year("l_shipdate"))
+    groups = ["l_returnflag", "l_linestatus"]
+    deltas = cut_lineage(sketches.summarize(item, [*groups, "delta"], "l_orderkey", "l_extendedprice"))
+    merged = cut_lineage(sketches.merge(deltas, groups).select(
+        *groups, "rows", sketches.distinct_count().alias("about"), sketches.quantile(0.5).alias("middle")
+    ))
+    price = F.col("l_extendedprice").cast("double")
+    exact = item.join(merged, groups).groupBy(*groups, "rows", "about").agg(
+        F.countDistinct("l_orderkey").alias("orders"),
+        F.avg((price < F.col("middle")).cast("int")).alias("below"),
+        F.avg((price <= F.col("middle")).cast("int")).alias("up_to"),
+    )
+    return exact.select(
+        *groups, "rows", "orders",
+        (F.abs(F.col("about") - F.col("orders")) <= 0.03 * F.col("orders")).alias("orders_ok"),
+        ((F.col("below") <= 0.52) & (F.col("up_to") >= 0.48)).alias("median_ok"),
+    )
+
+
 # --- staging, silver and gold ------------------------------------------------------
 
 
