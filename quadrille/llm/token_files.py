@@ -14,10 +14,9 @@ driver sees one row per part, of which there are at most ``MAX_PARTS``. Files li
 executors reach, the application's checkpoint folder by default. Reading: a task maps one part and
 slices it; nothing is moved.
 
-The tokenizers library encodes chunks of text, and a worker remembers a bounded number of them. A chunk
-begins at a single space between two characters that are no white space: there the byte-level pattern
-always starts a new word, so the ids of the chunks are those of the text. Other tokenizer files are
-given whole texts.
+A text is cut into words by the byte-level pattern, as the tokenizers library cuts it, and the library's
+model splits every word; a worker remembers a bounded number of words that came twice. Tokenizer files with another
+way to cut, a normalizer or added tokens that take white space along are given whole texts.
 
 Defined results: a NULL text is empty; every document ends with ``end_id``, if one is given. NULL
 keys come first; rows that share a key follow each other by the hash of their texts; equal rows
@@ -33,7 +32,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quadrille.llm.bpe_numpy import PATTERN, byte_letters
 from quadrille.llm.common import slices, staged, text_key
 from quadrille.session import use_checkpoint_dir
 
@@ -49,16 +49,79 @@ from quadrille.session import use_checkpoint_dir
 PART_BYTES, MAX_PARTS = 24 << 20, 100_000
 # Documents or ids that a reading task works on at a time.
 READ_DOCS, READ_TOKENS = 20_000, 2_000_000
-# Texts are cut into chunks so many characters at a time; a worker remembers so many chunks.
-LONG, KNOWN_CHUNKS = 1 << 20, 100_000
-# Signs that a word of letters may end with.
-ENDS = ".,;:!?"
-# Where a chunk may begin.
-CHUNK = re.compile(r"(?<=\S) (?=\S)")
+# Long texts are cut about every so many characters; a worker remembers so many words.
+LONG, KNOWN_WORDS = 1 << 20, 300_000
+# Places of the marks that tell what was asked for before.
+ASKED = 1 << 21
+# Where a long text may be cut: the byte-level pattern starts a word there.
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 _LOADED: dict[str, Encoder] = {}
 
 
+class Known(dict):
+    """Remembered packed ids, found when they are asked for; only what is asked for again is kept."""
+
+    def __init__(self):
+        self.asked = bytearray(ASKED)
+
+    def keep(self, word: str, ids: bytes) -> bytes:
+        place = hash(word) % ASKED
+        if self.asked[place]:
+            self[word] = ids
+        else:
+            self.asked[place] = 1
+        return ids
+
+    def forget(self, limit: int) -> None:
+        """Keep the newer half of more than ``limit`` entries."""
+        if len(self) > limit:
+            for word in list(islice(self, len(self) - limit // 2)):
+                del self[word]
+            self.asked = bytearray(ASKED)
+
+
+class Words(Known):
+    """The ids of words of the byte-level pattern, which the library's model splits."""
+
+    def __init__(self, model, packed: list[bytes]):
+        super().__init__()
+        self.model, self.packed = model, packed
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+
+    def split(self, word: str) -> bytes:
+        spelled = word.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(spelled)])
+
+    def __missing__(self, word: str) -> bytes:
+        return self.keep(word, self.split(word))
+
+
+class Chunks(Known):
+    """The ids of what stands between two single spaces, with the space before it."""
+
+    def __init__(self, words: Words):
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, chunk: str) -> bytes:
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise KeyError(chunk)  # the space beside it may belong to a longer one
+        parts = [f" {chunk}"] if _plain(chunk) else PATTERN.findall(f" {chunk}")
+        if len(parts) == 1:
+            ids = self.words.split(parts[0])
+        else:
+            first, *others = parts
+            known = self[first[1:]] if _plain(first[1:]) else self.words[first]
+            ids = b"".join([known, *map(self.words.__getitem__, others)])
+        return self.keep(chunk, ids)
+
+
+def _plain(chunk: str) -> bool:
+    """Is ``chunk`` one word of the byte-level pattern for certain?"""
+    return chunk.isascii() and chunk.isalpha()
+
+
 class Encoder:
     """The tokenizer of a file, without truncation and padding, giving ids as packed integers."""
 
@@ -73,59 +136,43 @@ class Encoder:
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         spec = json.loads(self.library.to_str())
-        words = spec["pre_tokenizer"] or {}
-        byte_level = words.get("type") == "ByteLevel" and not words.get("add_prefix_space") and words.get("use_regex", True)
-        plain = all(not t["lstrip"] and not t["rstrip"] and " " not in t["content"] for t in spec["added_tokens"])
-        self.chunked = byte_level and plain and spec["normalizer"] is None
-        self.known: dict[str, bytes] = {}
-        self.ends = dict(zip(ENDS, self._ids(list(ENDS))))
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(c.ids, self.kind).tobytes() for c in coded]
+        way, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
+        byte_level = way.get("type") == "ByteLevel" and not way.get("add_prefix_space") and way.get("use_regex", True)
+        plain = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and " " not in t["content"] for t in added)
+        self.by_words = byte_level and plain and spec["normalizer"] is None
+        self.words = Words(self.library.model, [np.array([i], self.kind).tobytes() for i in range(size)])
+        self.chunks = Chunks(self.words)
+        self.specials = {t["content"]: np.array([t["id"]], self.kind).tobytes() for t in added}
+        names = sorted(self.specials, key=len, reverse=True)
+        self.special = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
-        if not self.chunked:
-            yield from self._ids(texts)
+        if not self.by_words:
+            coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+            yield from (np.array(c.ids, self.kind).tobytes() for c in coded)
             return
         for text in texts:
-            yield b"".join([i for piece in pieces(text) for i in self._of_chunks(piece)])
-
-    def _of_chunks(self, piece: str) -> Iterator[bytes]:
-        """The ids of the chunks of ``piece``; ``known`` has the ids of words with a space before them."""
-        first, *words = piece.split(" ")
-        new = list(set(words).difference(self.known))
-        if not first or first[-1].isspace() or any(not w or w[0].isspace() or w[-1].isspace() for w in new):
-            # Some spaces do not begin a chunk. What follows a cut keeps its space.
-            return self._ids(_chunks(piece))
-        if len(self.known) + len(new) > KNOWN_CHUNKS:
-            self.known = {}
-            new = list(set(words))
-        self._learn(new)
-        return [*self._ids([first]), *map(self.known.__getitem__, words)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words with a space before them: a sign after letters is a word of its own for the
-        pattern, and words of letters are given as one text, in which each is one."""
-        ended = {w for w in words if w[-1] in ENDS and w[:-1].isalpha()}
-        letters = list({w[:-1] if w in ended else w for w in words if w in ended or w.isalpha()}.difference(self.known))
-        for start in range(0, len(letters), 1000):
-            self._learn_letters(letters[start : start + 1000])
-        for word in ended:
-            self.known[word] = self.known[word[:-1]] + self.ends[word[-1]]
-        other = [w for w in words if w not in self.known]
-        self.known.update(zip(other, self._ids([f" {w}" for w in other])))
-
-    def _learn_letters(self, words: list[str]) -> None:
-        coded = self.library.encode(" " + " ".join(words), add_special_tokens=False)
-        ids, places = np.array(coded.ids, self.kind), np.array(coded.word_ids)
-        starts = np.flatnonzero(np.diff(places, prepend=-1))
-        if len(starts) == len(words):
-            raw, cuts = ids.tobytes(), [*(starts * ids.itemsize).tolist(), ids.nbytes]
-            self.known.update(zip(words, [raw[a:b] for a, b in zip(cuts, cuts[1:])]))
-        else:  # not letters for the library
-            self.known.update(zip(words, self._ids([f" {w}" for w in words])))
+            yield b"".join(map(self._of_piece, pieces(text)))
+
+    def _of_piece(self, piece: str) -> bytes:
+        self.words.forget(KNOWN_WORDS)
+        self.chunks.forget(KNOWN_WORDS)
+        if self.special is None or not self.special.search(piece):
+            return self._of_plain(piece)
+        parts = enumerate(self.special.split(piece))
+        return b"".join(self.specials[part] if i % 2 else self._of_plain(part) for i, part in parts)
+
+    def _of_plain(self, text: str) -> bytes:
+        first, *chunks = text.split(" ")
+        if first and not first[-1].isspace():
+            try:
+                found = list(map(self.chunks.__getitem__, chunks))
+            except KeyError:
+                pass
+            else:
+                return b"".join([*map(self.words.__getitem__, PATTERN.findall(first)), *found])
+        return b"".join(map(self.words.__getitem__, PATTERN.findall(text)))
 
 
 def encoder(path: str) -> Encoder:
@@ -135,17 +182,11 @@ def encoder(path: str) -> Encoder:
     return _LOADED[path]
 
 
-def _chunks(text: str) -> list[str]:
-    """``text`` cut wherever a chunk may begin."""
-    cuts = [0, *[hit.start() for hit in CHUNK.finditer(text)], len(text)]
-    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
-
-
 def pieces(text: str, long: int = LONG) -> Iterator[str]:
-    """``text`` cut where chunks may begin, about every ``long`` characters."""
+    """``text`` cut at spaces where words begin, about every ``long`` characters."""
     start = 0
     while len(text) - start > long:
-        hit = CHUNK.search(text, start + long)
+        hit = CUT.search(text, start + long)
         if not hit:
             break
         yield text[start : hit.start()]

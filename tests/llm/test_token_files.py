@@ -67,16 +67,16 @@ def test_one_key_with_most_rows_spreads_over_parts(spark):
     assert sorted((r.start, r.n_tokens) for r in found.collect()) == sorted((s, n) for _, s, n, _ in slow(rows))
 
 
-def test_chunks_are_cut_where_the_tokenizer_cuts(monkeypatch):
+def test_words_are_cut_where_the_tokenizer_cuts(monkeypatch):
     rng = random.Random(3)
     words = ["it's", "the", "A1", "ß", "日本", "x" * 50, "<|endoftext|>", "\n\n", "  ", "end.", "don't", "", "\t", "a\nb", "\x0b", "　", "\x85!"]
     texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(60))) for _ in range(600)]
     texts += [" ".join(rng.choice(words) for _ in range(20_000)), "a\0 b c", " ", ""]
     for long, known in ((1 << 20, 200_000), (40, 30)):
-        monkeypatch.setattr(token_files, "KNOWN_CHUNKS", known)
+        monkeypatch.setattr(token_files, "KNOWN_WORDS", known)
         monkeypatch.setattr(token_files.pieces, "__defaults__", (long,))
         code = token_files.Encoder(PATH)
-        assert code.chunked and all("".join(token_files.pieces(t)) == t for t in texts)
+        assert code.by_words and all("".join(token_files.pieces(t)) == t for t in texts)
         for text, ids in zip(texts, code.encode(texts)):
             assert np.frombuffer(ids, "<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
@@ -85,7 +85,7 @@ def test_a_tokenizer_that_is_not_byte_level_gets_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     code, library = token_files.Encoder(path), Tokenizer.from_file(path)
     texts = ["Hello  world", "", "it's A b c"]
-    assert not code.chunked
+    assert not code.by_words
     assert [np.frombuffer(i, "<u2").tolist() for i in code.encode(texts)] == [
         library.encode(t, add_special_tokens=False).ids for t in texts]
 
