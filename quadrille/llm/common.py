@@ -78,7 +78,7 @@ def schema_of(df: DataFrame, drop: Sequence[str], added: str) -> str:
     """DDL of ``df`` without ``drop`` and with the columns ``added``."""
     kept = [f for f in df.schema.fields if f.name not in drop]
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return f"{own}, {added}" if own else added
+    return ", ".join(filter(None, (own, added)))
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -5,8 +5,9 @@ form a passage, cut at blank lines. A passage's normalised words are hashed and
 a conversation, to the messages before it that have these words on one line or on consecutive lines
 of their own, not cut by a blank line or a quote; the first message of which they are a whole
 passage is the original, or else the first that has them at all. So a quote of a part of a paragraph links, and so do interleaved replies. A message
-replies to the latest original among its quotes of the lowest linked level. Quotes and the lines
-that announce them go; replies stand after what they reply to.
+replies to the latest original among its quotes of the lowest linked level. Linked quotes go, with the
+lines that announce them; quotes of what nobody said before, and lines that only look like quotes, stay in
+the text. Replies stand after what they reply to.
 
 Runs of own lines are hashed only where a quote has as many words, and leave their task only if
 their hash has its bit in a filter of all quotes (fixed 8 MB, sent to every task; it may let more
@@ -26,7 +27,8 @@ from __future__ import annotations
 import bisect
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -49,51 +51,77 @@ ANNOUNCES = re.compile(r"\b(wrote|said|schrieb|écrit|escribió)\b.*:\s*$", re.I
 Block = list[list[str]]
 
 
-def blocks_of(text: str) -> tuple[str, list[Block], list[tuple[int, str]]]:
-    """A message without its quotes, its own passages as the words of their lines, and its quoted
-    ones with their levels."""
-    kept: list[str] = []
+@dataclass
+class Passage:
+    """A quoted passage: its level, its words, and the lines that go with it."""
+
+    level: int
+    lines: list[int]
+    words: list[str] = field(default_factory=list)
+
+    @property
+    def said(self) -> str:
+        return " ".join(self.words)
+
+
+def _lead(lines: list[str], end: int, own: Block) -> list[int]:
+    """The blank lines before line ``end``, and the line that announces what begins there."""
+    found: list[int] = []
+    announced = False
+    for i in range(end - 1, -1, -1):
+        line = lines[i]
+        if line.strip():
+            if announced or QUOTE.match(line) or not ANNOUNCES.search(line):
+                break
+            announced = True
+            if own and own[-1] == line.lower().split():
+                own.pop()
+        found.append(i)
+    return found
+
+
+def blocks_of(text: str) -> tuple[list[Block], list[Passage]]:
+    """A message's own passages, as the words of their lines, and its quoted ones."""
     own: list[Block] = [[]]
-    quoted: list[tuple[int, list[str]]] = []
+    quoted: list[Passage] = []
     level = 0
-    for line in text.split("\n"):
+    lines = text.split("\n")
+    for i, line in enumerate(lines):
         mark = QUOTE.match(line)
         depth = mark.group(1).count(">") if mark else 0
-        body = line[mark.end() :] if mark else line
-        words = body.lower().split()
+        words = (line[mark.end() :] if mark else line).lower().split()
         if depth:
-            if not level:
-                while kept and not kept[-1].strip():
-                    kept.pop()
-                if kept and ANNOUNCES.search(kept[-1]):
-                    announced = kept.pop().lower().split()
-                    if own[-1] and own[-1][-1] == announced:
-                        own[-1].pop()
-                    while kept and not kept[-1].strip():
-                        kept.pop()
+            begins = not level
+            lead = _lead(lines, i, own[-1]) if begins else []
+            if begins:
                 own.append([])
-            if depth != level or not quoted or not words:
-                quoted.append((depth, []))
-            quoted[-1][1].extend(words)
-        else:
-            kept.append(line)
-            if words:
-                own[-1].append(words)
+            if not words and not begins:
+                # An empty line ends a passage and goes with it.
+                quoted[-1].lines.append(i)
+                quoted.append(Passage(depth, []))
             else:
-                own.append([])
+                if depth != level or not words:
+                    quoted.append(Passage(depth, lead))
+                quoted[-1].lines.append(i)
+                quoted[-1].words.extend(words)
+        elif words:
+            own[-1].append(words)
+        else:
+            own.append([])
         level = depth
-    clean = "\n".join(kept).strip("\n")
-    return (
-        clean if quoted else text,
-        [b for b in own if b],
-        [(d, " ".join(p)) for d, p in quoted if p],
-    )
+    return [b for b in own if b], [p for p in quoted if p.words]
+
+
+def without(text: str, quoted: Iterable[Passage]) -> str:
+    """``text`` without the lines of ``quoted``."""
+    gone = {i for p in quoted for i in p.lines}
+    return "\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone).strip("\n") if gone else text
 
 
 def parse(text: str) -> tuple[str, list[str], list[tuple[int, str]]]:
-    """A message without its quotes, its own passages, and its quoted ones with their levels."""
-    clean, own, quoted = blocks_of(text)
-    return clean, [" ".join(w for line in b for w in line) for b in own], quoted
+    """A message without any quotes, its own passages, and its quoted ones with their levels."""
+    own, quoted = blocks_of(text)
+    return without(text, quoted), [" ".join(w for line in b for w in line) for b in own], [(p.level, p.said) for p in quoted]
 
 
 def runs(block: Block, sizes: list[int]) -> Iterator[str]:
@@ -117,19 +145,34 @@ def passage_hash(words: str) -> str:
 
 
 def parsed(messages: DataFrame, text: str, quotes: str) -> DataFrame:
-    """``messages`` with quotes taken out of ``text``, and the sizes and hashes of quoted passages."""
+    """``messages`` with the levels, hashes and sizes of the passages that ``text`` quotes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.string()), ("n", pa.int32())]))
+        for batch, texts in slices(batches, text):
+            marks = [
+                [{"level": p.level, "hash": passage_hash(p.said), "n": len(p.words)} for p in blocks_of(t)[1]]
+                for t in texts
+            ]
+            yield with_columns(batch, (), **{quotes: pa.array(marks, kind)})
+
+    return messages.mapInArrow(run, schema_of(messages, (), f"`{quotes}` array<struct<level:int,hash:string,n:int>>"))
+
+
+def unquoted(messages: DataFrame, text: str, hashes: str) -> DataFrame:
+    """``messages`` without the quoted passages of ``text`` whose hash is among its ``hashes``, and without that column."""
     at = messages.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, text):
-            found = [blocks_of(t) for t in texts]
+            linked = [set(h or ()) for h in batch.column(hashes).to_pylist()]
+            clean = [without(t, [p for p in blocks_of(t)[1] if passage_hash(p.said) in h]) if h else t
+                     for t, h in zip(texts, linked)]
             valid = batch.column(text).is_valid().to_pylist()
-            clean = pa.array([f[0] if v else None for f, v in zip(found, valid)], pa.string())
-            kind = pa.list_(pa.struct([("level", pa.int32()), ("hash", pa.string()), ("n", pa.int32())]))
-            marks = [[{"level": d, "hash": passage_hash(p), "n": p.count(" ") + 1} for d, p in f[2]] for f in found]
-            yield with_columns(batch.set_column(at, text, clean), (), **{quotes: pa.array(marks, kind)})
+            column = pa.array([c if v else None for c, v in zip(clean, valid)], pa.string())
+            yield with_columns(batch.set_column(at, text, column), (hashes,))
 
-    return messages.mapInArrow(run, schema_of(messages, (), f"`{quotes}` array<struct<level:int,hash:string,n:int>>"))
+    return messages.mapInArrow(run, schema_of(messages, (hashes,), ""))
 
 
 def bit_of(passage: str, bits: int) -> int:
@@ -162,7 +205,7 @@ def said_runs(messages: DataFrame, conv: str, turn: str, text: str, sizes: list[
             owner, hashes, whole = [], [], []
             for i, value in enumerate(texts):
                 distinct: dict[str, bool] = {}
-                for block in blocks_of(value)[1]:
+                for block in blocks_of(value)[0]:
                     size = sum(map(len, block))
                     for words in runs(block, lengths):
                         found = passage_hash(words)
@@ -203,18 +246,18 @@ def link_quotations(
     messages: DataFrame, conv: str = "conv_id", turn: str = "turn", text: str = "text",
     filter_bits: int = FILTER_BITS,
 ) -> DataFrame:
-    """``messages`` without quotes in ``text``, with n_quotes, n_linked, reply_to, thread and depth.
+    """``messages`` without linked quotes in ``text``, with n_quotes, n_linked, reply_to, thread and depth.
 
     ``reply_to`` is the turn answered, ``thread`` the turn at the root; ordered by (conversation,
     thread, turn), every reply stands after what it replies to.
     """
     added = ("n_quotes", "n_linked", "reply_to", "thread", "depth")
     base = messages.drop(*[c for c in added if c not in (conv, turn, text)])
-    quotes = free_name(base, "__quotes")
-    told = staged(parsed(base, text, quotes))
-    quoted = told.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.explode(quotes).alias("q")).select(
-        "conv", "turn", "q.level", "q.hash", "q.n"
-    )
+    quotes, row, found = (free_name(base, n) for n in ("__quotes", "__row", "__found"))
+    told = staged(parsed(base.withColumn(row, F.monotonically_increasing_id()), text, quotes))
+    quoted = told.select(
+        F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(row).alias("row"), F.explode(quotes).alias("q")
+    ).select("conv", "turn", "row", "q.level", "q.hash", "q.n")
     # Distinct numbers of words, so at most about the longest passage of them.
     sizes = sorted(r.n for r in quoted.select("n").distinct().collect())
     if sizes:
@@ -225,7 +268,9 @@ def link_quotations(
         F.min(F.when(F.col("whole"), F.col("turn"))).alias("passage"), F.min("turn").alias("part")
     )
     original = F.when(F.col("passage") < F.col("turn"), F.col("passage")).when(F.col("part") < F.col("turn"), F.col("part"))
-    linked = quoted.join(first, ["conv", "hash"]).withColumn("original", original).filter("original IS NOT NULL")
+    linked = staged(quoted.join(first, ["conv", "hash"]).withColumn("original", original).filter("original IS NOT NULL"))
+    # At most the quotes of one row.
+    gone = linked.groupBy(F.col("row").alias(row)).agg(F.collect_set("hash").alias(found))
     # Of the lowest linked level, the latest original.
     answer = F.max(F.struct((-F.col("level")).alias("near"), "original"))["original"].alias("reply_to")
     per_message = staged(linked.groupBy("conv", "turn").agg(
@@ -233,15 +278,15 @@ def link_quotations(
     ))
     placed = per_message.join(roots(per_message).select("conv", "turn", "root", "depth"), ["conv", "turn"])
     names = {c: free_name(told, f"__{c}") for c in ("conv", "turn", "n_linked", "reply_to", "root", "depth")}
-    met = told.join(
+    met = told.join(gone, row, "left").join(
         placed.withColumnsRenamed(names),
         (F.col(conv) == F.col(names["conv"])) & (F.col(turn) == F.col(names["turn"])), "left",
     )
-    return met.select(
-        *base.columns, F.size(F.array_distinct(F.col(quotes))).alias("n_quotes"),
+    return unquoted(met.select(
+        *base.columns, F.col(found), F.size(F.array_distinct(F.col(quotes))).alias("n_quotes"),
         F.coalesce(names["n_linked"], F.lit(0)).alias("n_linked"), F.col(names["reply_to"]).alias("reply_to"),
         F.coalesce(names["root"], turn).alias("thread"), F.coalesce(names["depth"], F.lit(0)).alias("depth"),
-    )
+    ), text, found)
 
 
 def in_reply_order(linked: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:

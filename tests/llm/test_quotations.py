@@ -86,7 +86,34 @@ def test_awkward_rows(spark):
     found = Q.link_quotations(df).collect()
     assert len(found) == len(rows)
     assert [(r.reply_to, r.thread) for r in found if r.turn == 7] == [(6, 6)] * 2
-    assert {r.text for r in found if r.turn in (2, 3, 5)} == {""}
+    # What nobody said before stays, as do marks without words; what links goes.
+    assert {r.turn: r.text for r in found if r.turn in (2, 3)} == {2: ">", 3: "> \n>>\n> x"}
+    assert [r.text for r in found if r.turn == 7] == ["", ""]
+    assert [r.text for r in found if r.turn == 5] == [""]
+
+
+def test_only_linked_quotes_leave_the_text(spark):
+    rows = [
+        (1, 0, "u", "How do I sort?\n\nIt is slow."),
+        (1, 1, "a", "Type\n>>> x = 1\n>>> print(x)\nand see."),
+        (1, 2, "u", "The manual said this:\n> nobody wrote these words\n> It is slow.\nTrue?"),
+        (1, 3, "a", "Ann wrote:\n\n> How do I sort?\n>\n> a stranger's words\n\nUse a key."),
+        (1, 4, "u", "Bob wrote:\n> How do I sort?\n>> It is slow.\n>\n\nSo said he:\nthanks"),
+        (2, 0, "u", "> How do I sort?\nanother conversation"),
+    ]
+    got = linked(spark, rows)
+    assert [got[1, t].text for t in range(3)] == [r[3] for r in rows[:3]]
+    assert got[1, 3].text == "> a stranger's words\n\nUse a key."
+    assert got[1, 4].text == "So said he:\nthanks"
+    assert got[2, 0].text == rows[5][3]
+    assert [(got[1, t].n_quotes, got[1, t].n_linked) for t in range(5)] == [(0, 0), (1, 0), (1, 0), (2, 1), (2, 2)]
+
+
+def test_rows_of_one_turn_keep_their_own_unlinked_quotes(spark):
+    rows = [(1, 0, "u", "first words"), (1, 1, "u", "> first words\na"), (1, 1, "u", "> first things\nb")]
+    found = Q.link_quotations(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r.text for r in found) == ["> first things\nb", "a", "first words"]
+    assert [r.reply_to for r in found if r.turn == 1] == [0, 0]
 
 
 def test_empty(spark):
