@@ -90,7 +90,10 @@ class Words(Known):
         self.letters = {byte: letter for letter, byte in byte_letters().items()}
 
     def split(self, word: str) -> bytes:
-        spelled = word.encode().decode("latin-1").translate(self.letters)
+        return self.ids_of(word.encode().decode("latin-1").translate(self.letters))
+
+    def ids_of(self, spelled: str) -> bytes:
+        """The ids of a word given in the letters of its bytes."""
         return b"".join([self.packed[t.id] for t in self.model.tokenize(spelled)])
 
     def __missing__(self, word: str) -> bytes:
@@ -107,14 +110,13 @@ class Chunks(Known):
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise KeyError(chunk)  # the space beside it may belong to a longer one
-        parts = [f" {chunk}"] if _plain(chunk) else PATTERN.findall(f" {chunk}")
-        if len(parts) == 1:
-            ids = self.words.split(parts[0])
-        else:
-            first, *others = parts
-            known = self[first[1:]] if _plain(first[1:]) else self.words[first]
-            ids = b"".join([known, *map(self.words.__getitem__, others)])
-        return self.keep(chunk, ids)
+        if _plain(chunk):  # ASCII letters stand for themselves
+            return self.keep(chunk, self.words.ids_of(self.words.letters[32] + chunk))
+        first, *others = PATTERN.findall(f" {chunk}")
+        if not others:
+            return self.keep(chunk, self.words.split(first))
+        known = self[first[1:]] if _plain(first[1:]) else self.words[first]
+        return self.keep(chunk, b"".join([known, *map(self.words.__getitem__, others)]))
 
 
 def _plain(chunk: str) -> bool:
@@ -133,7 +135,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        size = self.library.get_vocab_size(with_added_tokens=True)
+        size = 1 + max(self.library.get_vocab(with_added_tokens=True).values())
         self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         spec = json.loads(self.library.to_str())
         way, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
