@@ -20,13 +20,15 @@ def arriving(
     spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
     files_per_batch: int | None = None, names: str | None = None,
 ) -> DataFrame:
-    """A stream of the files that appear under ``path`` (those matching ``names``)."""
+    """A stream of the files that appear under ``path``.
+
+    Only those matching ``names``, and those in folders matching it: a table may be either.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
-    if names:
-        reader = reader.option("pathGlobFilter", names)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    # Without the braces a single file would be taken for the folder that partitions are found in.
+    return reader.load(f"{path}/{{{names}}}" if names else path)
 
 
 def deduplicated(
