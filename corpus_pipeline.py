@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.llm import bpe_numpy, decontaminate, language_id, line_dedup, near_copies
+from quadrille.llm import bpe_numpy, decontaminate, language_id, line_dedup, simhash
 from quadrille.llm.common import staged, table
 from quadrille.llm.queries import BYTES
 
@@ -35,8 +35,8 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_a_kind(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles, 0.8) stays."""
-    return near_copies.keep_one(docs)
+    """One document of each component of SimHash fingerprints (two bits, as in op5) stays."""
+    return simhash.keep_one(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
