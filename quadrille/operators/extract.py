@@ -306,9 +306,21 @@ def routed_files(files: DataFrame, keys: Sequence[str]) -> DataFrame:
     return present.select(*keys, layer.alias("layer"), "content").filter("layer IS NOT NULL")
 
 
-def found_in_files(files: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, source, rows) of every file that is read."""
-    return layered_params(routed_files(files, keys), keys)
+def found_in_files(files: DataFrame, keys: Sequence[str], once: bool = False) -> DataFrame:
+    """(keys, source, rows) of every file in which something is found.
+
+    Repositories copy their configs from each other, so each different text is read once and its
+    rows go to the files by the text's SHA-256. ``once`` keeps the last row of every parameter.
+    """
+    keys = list(keys)
+    routed = routed_files(files, keys)
+    told = F.sha2("content", 256).alias("_text")
+    texts = routed.select("layer", "content").distinct()
+    read = layered_params(texts.select(F.col("layer").alias("_layer"), told, "layer", "content"), ["_layer", "_text"])
+    rows = once_per_param(F.col("rows"), last=True) if once else F.col("rows")
+    found = read.select("_layer", "_text", "source", rows.alias("rows")).filter(F.size("rows") > 0)
+    of_file = routed.select(*keys, F.col("layer").alias("_layer"), told)
+    return of_file.join(found, ["_layer", "_text"]).select(*keys, "source", "rows")
 
 
 def extract_files(files: DataFrame, keys: Sequence[str] = ("repo_full_name", "file_id")) -> DataFrame:
@@ -323,8 +335,8 @@ def raw_config_rows(files: DataFrame, repos: DataFrame) -> DataFrame:
     )
     keys = ["repo_full_name", "file_id"]
     kept = skew_join(files, usable, ["repo_full_name"], "left_semi", salt_by=["file_id"])
-    found = found_in_files(kept, keys)
-    return exploded(found, keys, once_per_param(F.col("rows"), last=True)).drop("ord")
+    found = found_in_files(kept, keys, once=True)
+    return exploded(found, keys, F.col("rows")).drop("ord")
 
 
 def repo_params(raw: DataFrame) -> DataFrame:

@@ -228,3 +228,21 @@ def test_nested_values_read_alike_in_json_and_yaml(spark):
     assert [leaf for _, leaf in parsers.call_leaves("f(a=x.y, b=-1, c=[1], d=g(), e=None, h=z)", frozenset("f"))] == [
         ("text", "y", "y", None), ("scalar", "-1", None, None), ("list", "[1]", None, 1), ("null", None, None, None),
         ("null", None, None, None), ("text", "z", "z", None)]
+
+
+def test_each_different_text_of_files_is_read_once(spark, monkeypatch):
+    """Copies of a config in many repositories: the parsers see it once, every file gets its rows."""
+    entered = []
+    parse = extract.parse_leaves
+    monkeypatch.setattr(extract, "parse_leaves", lambda df, *args: entered.append(df.count()) or parse(df, *args))
+    texts = ["lora_r: 8\nalpha: 16\n", "lora_r: 4\nlora_r: 5\n", "# nothing\n"]
+    files = spark.createDataFrame(
+        [(f"o/r{i % 7}", i, "configs/lora.yaml", "config", texts[i % 3]) for i in range(60)]
+        + [("o/r0", 60, "configs/lora.json", "config", texts[0]), ("o/r0", 60, "configs/lora.json", "config", texts[0])],
+        "repo_full_name string, file_id int, file_path string, file_category string, content string")
+    found = extract.extract_files(files).select("repo_full_name", "file_id", "param_name", "param_value").collect()
+    assert entered == [4]
+    want = {0: [("rank_value", "8"), ("lora_alpha", "16")], 1: [("rank_value", "5")], 2: []}
+    of = [(f"o/r{i % 7}", i, *row) for i in range(60) for row in want[i % 3]]
+    of += [("o/r0", 60, *row) for row in want[0]] * 2
+    assert sorted(map(tuple, found)) == sorted(of)
