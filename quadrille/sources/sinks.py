@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quadrille.operators.skew import pick_per_key
+from quadrille.session import cut_lineage
 
 OLD, NEW = "old", "new"
 
@@ -28,9 +29,10 @@ def upsert(
     and the target is never shuffled.
     """
     keys = list(keys)
-    latest = pick_per_key(batch, keys, order, last=True).select(
+    # Written, as it is read for the updates, the known keys and the inserts.
+    latest = cut_lineage(pick_per_key(batch, keys, order, last=True).select(
         *[F.col(c) for c in target.columns if c in batch.columns]
-    )
+    ))
     incoming = latest.select(
         *[F.col(k) for k in keys], F.struct(*[F.col(c) for c in latest.columns]).alias(NEW)
     )
