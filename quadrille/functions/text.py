@@ -72,63 +72,74 @@ def double_text(c: Column) -> Column:
     """
     size = F.abs(c)
     text = size.cast("string")
-    # Numbers the JVM prints plainly and briefly are right as they are.
-    brief = ~text.contains("E") & (F.length(text) < 17)
-    body = F.when(brief, text).otherwise(
-        let(F.struct(size.alias("size"), text.alias("text")), _shortest)
+    # Most numbers are printed briefly by the JVM; only the others go through a lambda, which Spark interprets.
+    body = (
+        F.when(F.length(text) >= 17, let(F.struct(size.alias("size"), text.alias("text")), _shortest))
+        .when(text.contains("E"), _shown(_power(text), _digits(text)))
+        .otherwise(text)
     )
     return F.when(c < 0, F.concat(F.lit("-"), body)).otherwise(body)
 
 
-def _shortest(value: Column) -> Column:
-    """Text of a non-negative double, given it and the JVM's text for it."""
-    size, text = value["size"], value["text"]
-    # The JVM may print more digits than it takes to read the same value back.
-    fewer = lambda n: F.upper(F.format_string(f"%.{n - 1}e", size))
-    same = lambda n: fewer(n).try_cast("double") == size
-    long = F.length(text) >= 17
-    exact = text
-    for n in (17, 16, 15):
-        exact = F.when(long & same(n), fewer(n)).otherwise(exact)
-
-    def parts(exact: Column) -> Column:
-        mantissa = F.replace(F.substring_index(exact, "E", 1), F.lit("."), F.lit(""))
-        return F.struct(
-            F.substring_index(exact, "E", -1).try_cast("int").alias("power"),
-            F.rtrim(mantissa, F.lit("0")).alias("digits"),
-        )
+def _power(exact: Column) -> Column:
+    """The exponent of a number's text in scientific form."""
+    return F.substring_index(exact, "E", -1).try_cast("int")
 
-    def shown(p: Column) -> Column:
-        power, digits = p["power"], p["digits"]
-        rest = F.substring(digits, F.lit(2), F.length(digits))
-        # Plain from 1e-4 up to 1e16, with an exponent of at least two digits elsewhere.
-        small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
-        whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
-        below = F.substring(digits, power + 2, F.length(digits))
-        large = F.concat(whole, F.lit("."), F.when(below == "", F.lit("0")).otherwise(below))
-        scientific = F.concat(
-            F.substring(digits, 1, 1),
-            F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")),
-            F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
-            F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")),
-            F.abs(power).cast("string"),
-        )
-        return (
-            F.when(power.between(-4, -1), small)
-            .when(power.between(0, 15), large)
-            .otherwise(scientific)
-        )
 
-    def rebuilt(exact: Column) -> Column:
-        return F.when(exact.contains("E"), let(parts(exact), shown)).otherwise(exact)
+def _digits(exact: Column) -> Column:
+    """The digits of a number's text in scientific form, without zeros at the end."""
+    return F.rtrim(F.replace(F.substring_index(exact, "E", 1), F.lit("."), F.lit("")), F.lit("0"))
 
+
+def _shown(power: Column, digits: Column) -> Column:
+    """Plain from 1e-4 up to 1e16, with an exponent of at least two digits elsewhere."""
+    rest = F.substring(digits, F.lit(2), F.length(digits))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
+    below = F.substring(digits, power + 2, F.length(digits))
+    large = F.concat(whole, F.lit("."), F.when(below == "", F.lit("0")).otherwise(below))
+    scientific = F.concat(
+        F.substring(digits, 1, 1),
+        F.when(rest != "", F.concat(F.lit("."), rest)).otherwise(F.lit("")),
+        F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+        F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(power).cast("string"),
+    )
     return (
-        F.when(F.isnan(size), F.lit("nan"))
-        .when(text == "Infinity", F.lit("inf"))
-        .otherwise(let(exact, rebuilt))
+        F.when(power.between(-4, -1), small)
+        .when(power.between(0, 15), large)
+        .otherwise(scientific)
     )
 
 
+def _shortest(value: Column) -> Column:
+    """Text of a non-negative double, given it and the JVM's long text for it.
+
+    The JVM may print more digits than it takes to read the same value back.
+    """
+    size, text = value["size"], value["text"]
+    all_digits = F.replace(F.substring_index(text, "E", 1), F.lit("."), F.lit(""))
+    place = lambda digits: (
+        F.when(text.contains("E"), _power(text))
+        .when(text.startswith("0."), F.length(digits) - F.length(all_digits))
+        .otherwise(F.instr(text, ".") - 2)
+    )
+
+    def shortened(p: Column) -> Column:
+        power, digits = p["power"], p["digits"]
+        shown = F.when(text.contains("E"), _shown(power, F.rtrim(digits, F.lit("0")))).otherwise(text)
+        for n in (17, 16, 15):
+            up = (F.substring(digits, n + 1, 1) >= "5").cast("bigint")
+            fewer = (F.substring(digits, 1, n).cast("bigint") + up).cast("string")
+            same = F.concat(fewer, F.lit("E"), power - (n - 1)).try_cast("double") == size
+            carried = power + F.length(fewer) - n
+            shown = F.when((F.length(digits) > n) & same, _shown(carried, F.rtrim(fewer, F.lit("0")))).otherwise(shown)
+        return shown
+
+    parts = lambda digits: F.struct(place(digits).alias("power"), digits.alias("digits"))
+    return let(F.ltrim(all_digits, F.lit("0")), lambda digits: let(parts(digits), shortened))
+
+
 def number_of(text: Column) -> Column:
     """Double of a decimal number's text, blanks around it aside; NULL for anything else.
 
