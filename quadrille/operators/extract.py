@@ -420,13 +420,19 @@ def model_params(
 
 
 def answer_rows(answers: DataFrame, first_files: DataFrame) -> DataFrame:
-    """Rows of recorded answers (repo_full_name, answer_json), keyed to the first file."""
+    """Rows of recorded answers (repo_full_name, answer_json), keyed to the first file.
+
+    Each different answer is read once.
+    """
     rows = F.filter(
         json_params(F.col("answer_json"), own_names=True), lambda r: r["param_value"] != ""
     )
-    found = answers.select(
-        "repo_full_name", F.lit("llm").alias("source"), once_per_param(rows).alias("rows")
-    )
+    texts = answers.select("answer_json").distinct()
+    read = texts.select(
+        F.sha2("answer_json", 256).alias("_text"), once_per_param(rows).alias("rows")
+    ).filter(F.size("rows") > 0)
+    told = answers.select("repo_full_name", F.sha2("answer_json", 256).alias("_text"))
+    found = told.join(read, "_text").select("repo_full_name", F.lit("llm").alias("source"), "rows")
     return exploded(found, ["repo_full_name"], F.col("rows")).join(
         first_files, "repo_full_name"
     ).select("repo_full_name", "file_id", "source", "param_name", "param_value", "confidence")

@@ -246,3 +246,13 @@ def test_each_different_text_of_files_is_read_once(spark, monkeypatch):
     of = [(f"o/r{i % 7}", i, *row) for i in range(60) for row in want[i % 3]]
     of += [("o/r0", 60, *row) for row in want[0]] * 2
     assert sorted(map(tuple, found)) == sorted(of)
+
+
+def test_each_different_answer_is_read_once(spark):
+    """Equal answers of many repositories meet one reading; every repository gets its rows."""
+    answers = spark.createDataFrame([(f"r/{i}", '{"rank_value": 8}') for i in range(20)], "repo_full_name STRING, answer_json STRING")
+    first = spark.createDataFrame([(f"r/{i}", i) for i in range(20)], "repo_full_name STRING, file_id INT")
+    rows = extract.answer_rows(answers, first)
+    assert sorted(r["file_id"] for r in rows.collect()) == list(range(20))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [answer_json" in plan
