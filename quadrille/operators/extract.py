@@ -306,21 +306,25 @@ def routed_files(files: DataFrame, keys: Sequence[str]) -> DataFrame:
     return present.select(*keys, layer.alias("layer"), "content").filter("layer IS NOT NULL")
 
 
-def found_in_files(files: DataFrame, keys: Sequence[str], once: bool = False) -> DataFrame:
-    """(keys, source, rows) of every file in which something is found.
+def found_once(routed: DataFrame, keys: Sequence[str], once: bool = False) -> DataFrame:
+    """(keys, source, rows) of every routed text (keys, layer, content) in which something is found.
 
-    Repositories copy their configs from each other, so each different text is read once and its
-    rows go to the files by the text's SHA-256. ``once`` keeps the last row of every parameter.
+    Configs and cards are copied from each other, so each different text is read once and its rows go
+    to the keys by the text's SHA-256. ``once`` keeps the last row of every parameter.
     """
     keys = list(keys)
-    routed = routed_files(files, keys)
     told = F.sha2("content", 256).alias("_text")
     texts = routed.select("layer", "content").distinct()
     read = layered_params(texts.select(F.col("layer").alias("_layer"), told, "layer", "content"), ["_layer", "_text"])
     rows = once_per_param(F.col("rows"), last=True) if once else F.col("rows")
     found = read.select("_layer", "_text", "source", rows.alias("rows")).filter(F.size("rows") > 0)
-    of_file = routed.select(*keys, F.col("layer").alias("_layer"), told)
-    return of_file.join(found, ["_layer", "_text"]).select(*keys, "source", "rows")
+    of_key = routed.select(*keys, F.col("layer").alias("_layer"), told)
+    return of_key.join(found, ["_layer", "_text"]).select(*keys, "source", "rows")
+
+
+def found_in_files(files: DataFrame, keys: Sequence[str], once: bool = False) -> DataFrame:
+    """(keys, source, rows) of every file in which something is found."""
+    return found_once(routed_files(files, keys), keys, once)
 
 
 def extract_files(files: DataFrame, keys: Sequence[str] = ("repo_full_name", "file_id")) -> DataFrame:
@@ -390,7 +394,7 @@ def card_parts(cards: DataFrame, key: str, content: str = "card_content") -> Dat
 def extract_cards(cards: DataFrame, key: str = "model_id", content: str = "card_content") -> DataFrame:
     """Rows of all layers over model cards, in card order (part, ord)."""
     keys = [key, "part"]
-    found = layered_params(card_parts(cards, key, content), keys)
+    found = found_once(card_parts(cards, key, content), keys)
     return exploded(found, keys, F.col("rows"))
 
 

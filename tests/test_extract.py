@@ -256,3 +256,13 @@ def test_each_different_answer_is_read_once(spark):
     assert sorted(r["file_id"] for r in rows.collect()) == list(range(20))
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [answer_json" in plan
+
+
+def test_each_different_text_of_cards_is_read_once(spark, monkeypatch):
+    """Copies of a card: the parsers see its parts once, every model gets its rows."""
+    entered, parse = [], extract.parse_leaves
+    monkeypatch.setattr(extract, "parse_leaves", lambda df, *args: entered.append(df.count()) or parse(df, *args))
+    cards = spark.createDataFrame([(f"m{i}", "---\nlora_r: 4\n---\nrank=8\n") for i in range(20)], "model_id STRING, card_content STRING")
+    rows = extract.extract_cards(cards).collect()
+    assert len({r["model_id"] for r in rows}) == 20 and len(rows) == 40
+    assert entered == [2]
