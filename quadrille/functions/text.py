@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -232,16 +233,15 @@ def file_category(path: Column) -> Column:
     """Category of a repository path, NULL for files that are not collected."""
     lower = F.lower(path)
     base = F.substring_index(lower, "/", -1)
-    ends = lambda suffixes: rf"(?:{any_of(suffixes)})$"
-    category = F.when(lower.rlike(ends(vocab.SKIP_SUFFIXES)), F.lit(None).cast("string"))
+    # The pattern's end may stand before a line break of two characters.
+    ends = lambda words: F.right(lower, F.lit(max(map(len, words)) + 2)).rlike(rf"(?:{any_of(words)})$")
+    holds = lambda c, words: reduce(Column.__or__, [c.contains(w) for w in words])
+    category = F.when(ends(vocab.SKIP_SUFFIXES), F.lit(None).cast("string"))
     for name, files in vocab.NAMED_FILES.items():
         category = category.when(base.isin(*files), F.lit(name))
     return category.when(
-        base.endswith(".py") & base.rlike(any_of(vocab.SCRIPT_WORDS)), F.lit("training_script")
-    ).when(
-        lower.rlike(ends(vocab.CONFIG_SUFFIXES)) & lower.rlike(any_of(vocab.CONFIG_HINTS)),
-        F.lit("config"),
-    )
+        base.endswith(".py") & holds(base, vocab.SCRIPT_WORDS), F.lit("training_script")
+    ).when(ends(vocab.CONFIG_SUFFIXES) & holds(lower, vocab.CONFIG_HINTS), F.lit("config"))
 
 
 def base_model_of(tags: Column) -> Column:

@@ -16,7 +16,8 @@ from quadrille.functions import vocab
 from quadrille.functions.parsers import parse_leaves
 from quadrille.functions.text import double_text, file_category, folded, let, spaced_json, strip
 from quadrille.operators.params import params_table
-from quadrille.operators.skew import skew_join
+from quadrille.operators.skew import hot_keys, skew_join
+from quadrille.session import cut_lineage
 
 _SPELLED = {word: name for name, words in vocab.SPELLINGS.items() for word in words}
 # One SQL literal and one pattern keep the plans small.
@@ -306,25 +307,42 @@ def routed_files(files: DataFrame, keys: Sequence[str]) -> DataFrame:
     return present.select(*keys, layer.alias("layer"), "content").filter("layer IS NOT NULL")
 
 
-def found_once(routed: DataFrame, keys: Sequence[str], once: bool = False) -> DataFrame:
-    """(keys, source, rows) of every routed text (keys, layer, content) in which something is found.
+def read_once(routed: DataFrame, once: bool = False, nothing: bool = False) -> DataFrame:
+    """(_layer, _text, source, rows) of each different routed text (layer, content), written.
 
-    Configs and cards are copied from each other, so each different text is read once and its rows go
-    to the keys by the text's SHA-256. ``once`` keeps the last row of every parameter.
+    Configs and cards are copied from each other, so each different text is read once; ``_text`` is its
+    SHA-256. ``once`` keeps the last row of every parameter, ``nothing`` the texts without any row.
     """
-    keys = list(keys)
-    told = F.sha2("content", 256).alias("_text")
     texts = routed.select("layer", "content").distinct()
-    read = layered_params(texts.select(F.col("layer").alias("_layer"), told, "layer", "content"), ["_layer", "_text"])
+    named = texts.select(F.col("layer").alias("_layer"), _digest(), "layer", "content")
     rows = once_per_param(F.col("rows"), last=True) if once else F.col("rows")
-    found = read.select("_layer", "_text", "source", rows.alias("rows")).filter(F.size("rows") > 0)
-    of_key = routed.select(*keys, F.col("layer").alias("_layer"), told)
-    return of_key.join(found, ["_layer", "_text"]).select(*keys, "source", "rows")
+    read = layered_params(named, ["_layer", "_text"]).select("_layer", "_text", "source", rows.alias("rows"))
+    # Spark knows the size of what is written, and leaves the files where they are if it is small.
+    return cut_lineage(read if nothing else read.filter(F.size("rows") > 0))
+
+
+def _digest() -> Column:
+    return F.unhex(F.sha2("content", 256)).alias("_text")
+
+
+def told(routed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of routed texts with what names the text."""
+    return routed.select(*keys, F.col("layer").alias("_layer"), _digest())
+
+
+def found_once(routed: DataFrame, keys: Sequence[str], nothing: bool = False) -> DataFrame:
+    """(keys, source, rows) of every routed text (keys, layer, content) in which something is found.
+
+    ``nothing`` keeps the others, too.
+    """
+    keys = list(keys)
+    found = read_once(routed, nothing=nothing)
+    return told(routed, keys).join(found, ["_layer", "_text"]).select(*keys, "source", "rows")
 
 
-def found_in_files(files: DataFrame, keys: Sequence[str], once: bool = False) -> DataFrame:
-    """(keys, source, rows) of every file in which something is found."""
-    return found_once(routed_files(files, keys), keys, once)
+def found_in_files(files: DataFrame, keys: Sequence[str], nothing: bool = False) -> DataFrame:
+    """(keys, source, rows) of every file in which something is found; ``nothing`` keeps the others that are read."""
+    return found_once(routed_files(files, keys), keys, nothing)
 
 
 def extract_files(files: DataFrame, keys: Sequence[str] = ("repo_full_name", "file_id")) -> DataFrame:
@@ -338,9 +356,16 @@ def raw_config_rows(files: DataFrame, repos: DataFrame) -> DataFrame:
         F.col("repo_name").alias("repo_full_name")
     )
     keys = ["repo_full_name", "file_id"]
-    kept = skew_join(files, usable, ["repo_full_name"], "left_semi", salt_by=["file_id"])
-    found = found_in_files(kept, keys, once=True)
-    return exploded(found, keys, F.col("rows")).drop("ord")
+    routed = routed_files(files, keys)
+    found = read_once(routed, once=True)
+    # Hashes of the texts meet the repositories, not the texts. Without a hot repository the rows stay
+    # dealt by theirs, and a merge by repository moves them no more.
+    names = told(routed, keys)
+    if hot_keys(files, ["repo_full_name"]).isEmpty():
+        kept = names.join(usable, "repo_full_name", "left_semi")
+    else:
+        kept = skew_join(names, usable, ["repo_full_name"], "left_semi", salt_by=["file_id"], counted=files)
+    return exploded(kept.join(found, ["_layer", "_text"]), keys, F.col("rows")).drop("ord")
 
 
 def repo_params(raw: DataFrame) -> DataFrame:

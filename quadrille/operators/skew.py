@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a task should take; a key with more is hot and split by its own count.
 TASK_ROWS = 2_000_000
-# A table of hot keys never has more rows than this, so it is always safe to broadcast: in a table
-# so large that more keys could be hot, a key needs this part of all rows.
+# A table of hot keys never has more rows than this, the hottest ones, so it is always safe to broadcast.
 HOT_KEYS = 100_000
 # Lookups settle groups with more than 1/HOT_SHARE of the rows by broadcast.
 HOT_SHARE = 64
@@ -31,9 +30,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], task_rows: int = TASK_ROWS) ->
     """(keys, _salts): the keys with more than ``task_rows`` rows, at most ``HOT_KEYS`` of them, and
     into how many parts of that size each one falls."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot = (F.col("_rows") > task_rows) & (F.col("_rows") * HOT_KEYS > total)
-    return counts.filter(hot).select(*keys, F.ceil(F.col("_rows") / task_rows).cast("int").alias("_salts"))
+    hot = counts.filter(F.col("_rows") > task_rows).orderBy(F.col("_rows").desc()).limit(HOT_KEYS)
+    return hot.select(*keys, F.ceil(F.col("_rows") / task_rows).cast("int").alias("_salts"))
 
 
 def skew_join(
@@ -45,6 +43,7 @@ def skew_join(
     salt_by: Sequence[str] | None = None,
     task_rows: int = TASK_ROWS,
     unique_right: bool = False,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join that spreads the hot keys of either side over several tasks.
 
@@ -55,7 +54,8 @@ def skew_join(
     left_semi and left_anti joins may only copy the right side, so they salt the left one.
     Rows with a NULL key match nothing and are spread too. ``condition`` is an extra
     predicate evaluated inside the join, over names that differ between the sides.
-    ``salt_by`` names left columns to salt by where hashing all of them is dear.
+    ``salt_by`` names left columns to salt by where hashing all of them is dear; ``counted`` is a table
+    to count the left keys in that is cheaper to read and has all of their rows.
     """
     keys = list(keys)
     every = F.sequence(F.lit(0), F.col("_salts") - 1)
@@ -78,7 +78,7 @@ def skew_join(
         return flagged(df, hot).withColumn(name, F.explode(copies)).drop("_salts")
 
     left_columns, right_columns = list(salt_by or left.columns), right.columns
-    left_hot = hot_keys(left, keys, task_rows)
+    left_hot = hot_keys(left if counted is None else counted, keys, task_rows)
     on = [*keys, "_salt_l"]
     lhs = salted(left, left_hot, "_salt_l", left_columns)
     rhs = copied(right, left_hot, "_salt_l")

@@ -105,11 +105,14 @@ def repos_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def files(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     """Orders as files of the ordering customer's repository, with content to parse."""
     nation = table(spark, sf_dir, "nation")
     customer = table(spark, sf_dir, "customer")
     orders = table(spark, sf_dir, "orders")
+    if dealt:
+        # Before the contents are made, so that only numbers move.
+        orders = orders.repartition("o_orderkey")
     key = F.col("o_orderkey").cast("string")
     priority = F.col("o_orderpriority")
     rank = (1 + F.floor(F.col("o_totalprice") / 1000)).cast("string")

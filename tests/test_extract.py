@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quadrille.operators import extract, params
+from quadrille.operators import extract, params, reports
 
 
 def files(spark, *rows):
@@ -266,3 +266,32 @@ def test_each_different_text_of_cards_is_read_once(spark, monkeypatch):
     rows = extract.extract_cards(cards).collect()
     assert len({r["model_id"] for r in rows}) == 20 and len(rows) == 40
     assert entered == [2]
+
+
+def test_raw_rows_stay_dealt_by_their_repository(spark, monkeypatch):
+    some = files(
+        spark, ("out/adapter_config.json", "adapter_config", '{"r": 8}'), ("c/lora.yaml", "config", "lora_r: 4\n"),
+    )
+    repos = spark.createDataFrame([("r/a", "ok")], "repo_name STRING, enrichment_status STRING")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        raw = extract.raw_config_rows(some, repos)
+        planned = extract.repo_params(raw)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "_salt_l" not in planned
+    # A hot repository is spread, with the same rows.
+    hot = extract.hot_keys
+    monkeypatch.setattr(extract, "hot_keys", lambda df, keys: hot(df, keys, 1))
+    spread = extract.raw_config_rows(some, repos)
+    assert "_salt_l" in spread._jdf.queryExecution().analyzed().toString()
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, raw.collect())) != []
+
+
+def test_yield_counts_files_without_parameters(spark):
+    some = files(
+        spark, ("a/train.py", "training_script", "x = 1\n"), ("b/train.py", "training_script", "LoraConfig(r=8)\n"),
+        ("c/train.py", "training_script", "x = 1\n"),
+    )
+    found = reports.extraction_yield(extract.found_in_files(some, ["file_id"], nothing=True))
+    assert [tuple(r) for r in found.collect()] == [("ast", 3, 1, 1)]
