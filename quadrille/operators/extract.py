@@ -20,9 +20,8 @@ from quadrille.operators.skew import hot_keys, skew_join
 from quadrille.session import cut_lineage
 
 _SPELLED = {word: name for name, words in vocab.SPELLINGS.items() for word in words}
-# One SQL literal and one pattern keep the plans small.
+# One SQL literal keeps the plans small.
 _SPELLING_MAP = "map({})".format(", ".join(f"'{w}', '{n}'" for w, n in _SPELLED.items()))
-_FILLER_PATTERN = "^(?:{})$".format("|".join([*_SPELLED, *vocab.FILLER_WORDS]))
 
 
 # --- shared naming rules -----------------------------------------------------------
@@ -41,7 +40,7 @@ def deepest_canonical(path: Column) -> Column:
 
 def is_filler(kind: Column, head: Column, items: Column) -> Column:
     """A text, or a list of one text, that only repeats a parameter name or says 'auto'."""
-    word = folded(head).rlike(_FILLER_PATTERN)
+    word = folded(head).isin(*_SPELLED, *vocab.FILLER_WORDS)
     textual = (kind == "text") | ((kind == "list") & (items == 1))
     return F.coalesce(textual & word, F.lit(False))
 
@@ -101,8 +100,13 @@ def _confidence(source: Column) -> Column:
 # --- JSON layer --------------------------------------------------------------------
 
 
-def _json_leaf(raw: Column, value: Column, shape: Column) -> Column:
-    """(kind, text, head, items) of one JSON value: raw text, variant and its type."""
+def _is_real(raw: Column, shape: Column) -> Column:
+    real = shape.startswith("DOUBLE") | shape.startswith("DECIMAL") | shape.startswith("FLOAT")
+    return real & ~raw.rlike(r"^-?\d+$")
+
+
+def _json_leaf(raw: Column, value: Column, shape: Column, shown: Column | None = None) -> Column:
+    """(kind, text, head, items) of one JSON value: raw text, variant, its type and, if at hand, a real number's text."""
     listed = F.try_variant_get(value, "$", "array<variant>")
     first = F.try_element_at(listed, F.lit(1))
     is_list, is_object = shape.startswith("ARRAY"), shape.startswith("OBJECT")
@@ -113,7 +117,7 @@ def _json_leaf(raw: Column, value: Column, shape: Column) -> Column:
     )
     named = F.when(empty, member("name")).otherwise(member("type"))
     if_text = lambda v: F.when(F.schema_of_variant(v) == "STRING", v.try_cast("string"))
-    real = shape.rlike("^(?:DOUBLE|DECIMAL|FLOAT)") & ~raw.rlike(r"^-?\d+$")
+    shown = let(value.try_cast("double"), double_text) if shown is None else shown
     items_text = F.concat(
         F.lit("["),
         F.array_join(F.transform(listed, lambda v: spaced_json(F.to_json(v))), ", "),
@@ -129,8 +133,9 @@ def _json_leaf(raw: Column, value: Column, shape: Column) -> Column:
         F.when(shape == "VOID", F.lit(None).cast("string"))
         .when(shape == "STRING", value.try_cast("string"))
         .when(is_list, items_text)
-        .when(real, let(value.try_cast("double"), double_text))
-        .otherwise(spaced_json(F.to_json(value)))
+        .when(_is_real(raw, shape), shown)
+        .when(is_object, spaced_json(F.to_json(value)))
+        .otherwise(F.to_json(value))
         .alias("text"),
         F.when(shape == "STRING", value.try_cast("string"))
         .when(is_list, if_text(first))
@@ -191,10 +196,35 @@ def json_params(content: Column, own_names: bool = False) -> Column:
 
 
 def json_layer(df: DataFrame, keys: Sequence[str], content: str = "content") -> DataFrame:
-    """Rows of the JSON layer of a table of texts."""
-    return (
-        df.select(*keys, F.explode(json_params(F.col(content))).alias("e"))
-        .select(*keys, F.lit("json").alias("source"), "e.ord", "e.param_name", "e.param_value")
+    """Rows of the JSON layer of a table of texts, as :func:`json_params` gives them.
+
+    Each entry is a row, so that it is read by compiled expressions instead of lambdas. What a step uses
+    more than once is a column of the step before, and a generator drops the last rows: Spark would
+    repeat the whole reading in a filter.
+    """
+    keys, name, value, shape, raw = list(keys), F.col("_name"), F.col("_value"), F.col("_shape"), F.col("_raw")
+    parsed = df.select(
+        *keys, F.col(content).alias("_content"),
+        F.try_variant_get(F.try_parse_json(F.col(content)), "$", "map<string,variant>").alias("_by_name"),
+    )
+    told = F.when(F.col("_by_name").isNotNull(), F.col("_content"))
+    entries = parsed.select(*keys, "_by_name", F.posexplode(F.from_json(told, "map<string,string>")).alias("_ord", "_key", "_raw"))
+    named = entries.filter(folded(F.col("_key")).isin(*_SPELLED)).select(
+        *keys, "_ord", canonical(F.col("_key")).alias("_name"), "_raw",
+        F.try_element_at("_by_name", F.col("_key")).alias("_value"),
+    )
+    shaped = named.select("*", F.schema_of_variant(value).alias("_shape"))
+    numbered = shaped.select("*", F.when(_is_real(raw, shape), value.try_cast("double")).alias("_number"))
+    leaf = _json_leaf(raw, value, shape, double_text(F.col("_number")))
+    parts = ("kind", "text", "head", "items")
+    read = numbered.select(*keys, "_ord", "_name", *[leaf[part].alias(f"_{part}") for part in parts])
+    kind, text, head, items = (F.col(f"_{part}") for part in parts)
+    counts = (kind != "null") & ~is_filler(kind, head, items)
+    valued = read.select(*keys, "_ord", "_name", F.when(counts, leaf_value(name, kind, text, head)).alias("_text"))
+    some = F.when(F.col("_text").isNotNull(), F.array("_text"))
+    return valued.select(
+        *keys, F.lit("json").alias("source"), F.col("_ord").alias("ord"), name.alias("param_name"),
+        F.explode(some).alias("param_value"),
     )
 
 

@@ -295,3 +295,20 @@ def test_yield_counts_files_without_parameters(spark):
     )
     found = reports.extraction_yield(extract.found_in_files(some, ["file_id"], nothing=True))
     assert [tuple(r) for r in found.collect()] == [("ast", 3, 1, 1)]
+
+
+def test_json_layer_reads_entries_as_rows(spark):
+    texts = [
+        '{"r": 8, "lora_alpha": 16.0, "target_modules": ["q", "v"], "lora_dropout": 0.1, "x": 1}', "[1]", "nonsense", "", None,
+        '{"optim": "AdamW (b)", "lr": 2e-5, "bf16": "auto", "fp16": null, " Epochs ": 1e3, "bias": {"type": "", "name": "Cosine x"}}',
+        '{"lr": 0.30000000000000004, "alpha": 12345678901234567890, "r": -0.0, "optimizer": {"name": "sgd"}, "scheduler": ["cos in"]}',
+        '{"z": 1, "r": 1, "r": 2, "target_modules": ["target_modules"], "warmup": [], "lr_scheduler": "", "alpha": {"b": [1, "c: d"]}}',
+        '{"modules_to_save": "a,b", "lr": 1E400, "dropout": 1e-7, "epochs": 3.50, "batch_size": true}', "{}", '{"r": 1',
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id INT, content STRING")
+    got = extract.json_layer(df, ["id"])
+    want = df.select("id", F.explode(extract.json_params(F.col("content"))).alias("e")).select(
+        "id", F.lit("json").alias("source"), "e.ord", "e.param_name", "e.param_value")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 15
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert got.schema.names == want.schema.names and "Generate posexplode(from_json(" in plan
