@@ -14,9 +14,10 @@ driver sees one row per part, of which there are at most ``MAX_PARTS``. Files li
 executors reach, the application's checkpoint folder by default. Reading: a task maps one part and
 slices it; nothing is moved.
 
-A text is cut into words by the byte-level pattern, as the tokenizers library cuts it, and the library's
-model splits every word; a worker remembers a bounded number of words that came twice. Tokenizer files with another
-way to cut, a normalizer or added tokens that take white space along are given whole texts.
+Encoding: a word of the byte-level pattern starts at every space between other characters, so texts are cut there. Arrow
+finds the different chunks of many texts, the library encodes each of them once, many in one text, and their ids are laid out by
+the chunks' numbers. Tokenizer files with another way to cut, a normalizer, a model other than BPE or added tokens that take white
+space along are given whole texts.
 
 Defined results: a NULL text is empty; every document ends with ``end_id``, if one is given. NULL
 keys come first; rows that share a key follow each other by the hash of their texts; equal rows
@@ -31,17 +32,18 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
-from itertools import accumulate, islice
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quadrille.llm.bpe_numpy import PATTERN, byte_letters
+from quadrille.llm.bpe_numpy import byte_letters
 from quadrille.llm.common import slices, staged, text_key
 from quadrille.session import use_checkpoint_dir
 
@@ -49,81 +51,20 @@ from quadrille.session import use_checkpoint_dir
 PART_BYTES, MAX_PARTS = 24 << 20, 100_000
 # Documents or ids that a reading task works on at a time.
 READ_DOCS, READ_TOKENS = 20_000, 2_000_000
-# Long texts are cut about every so many characters; a worker remembers so many words.
-LONG, KNOWN_WORDS = 1 << 20, 300_000
-# Places of the marks that tell what was asked for before.
-ASKED = 1 << 21
+# Long texts are cut about every so many characters; a round takes so many together.
+LONG, ROUND = 1 << 20, 8 << 20
+# Different chunks that the library is given in one call, and in one text.
+KNOWN_WORDS, JOINED = 20_000, 50
 # Where a long text may be cut: the byte-level pattern starts a word there.
 CUT = re.compile(r"(?<=\S) (?=\S)")
+# In RE2, all that Python calls white space; texts with a space that is no place to cut; chunks with
+# a space or with white space at the end.
+WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+ODD, ALONE = rf"{WHITE} | {WHITE}| \z", rf" |{WHITE}\z"
 
 _LOADED: dict[str, Encoder] = {}
 
 
-class Known(dict):
-    """Remembered packed ids, found when they are asked for; only what is asked for again is kept."""
-
-    def __init__(self):
-        self.asked = bytearray(ASKED)
-
-    def keep(self, word: str, ids: bytes) -> bytes:
-        place = hash(word) % ASKED
-        if self.asked[place]:
-            self[word] = ids
-        else:
-            self.asked[place] = 1
-        return ids
-
-    def forget(self, limit: int) -> None:
-        """Keep the newer half of more than ``limit`` entries."""
-        if len(self) > limit:
-            for word in list(islice(self, len(self) - limit // 2)):
-                del self[word]
-            self.asked = bytearray(ASKED)
-
-
-class Words(Known):
-    """The ids of words of the byte-level pattern, which the library's model splits."""
-
-    def __init__(self, model, packed: list[bytes]):
-        super().__init__()
-        self.model, self.packed = model, packed
-        self.letters = {byte: letter for letter, byte in byte_letters().items()}
-
-    def split(self, word: str) -> bytes:
-        return self.ids_of(word.encode().decode("latin-1").translate(self.letters))
-
-    def ids_of(self, spelled: str) -> bytes:
-        """The ids of a word given in the letters of its bytes."""
-        return b"".join([self.packed[t.id] for t in self.model.tokenize(spelled)])
-
-    def __missing__(self, word: str) -> bytes:
-        return self.keep(word, self.split(word))
-
-
-class Chunks(Known):
-    """The ids of what stands between two single spaces, with the space before it."""
-
-    def __init__(self, words: Words):
-        super().__init__()
-        self.words = words
-
-    def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise KeyError(chunk)  # the space beside it may belong to a longer one
-        if _plain(chunk):  # ASCII letters stand for themselves
-            return self.keep(chunk, self.words.ids_of(self.words.letters[32] + chunk))
-        first, *others = PATTERN.findall(f" {chunk}")
-        if not others:
-            return self.keep(chunk, self.words.split(first))
-        known = self[first[1:]] if _plain(first[1:]) else self.words[first]
-        return self.keep(chunk, b"".join([known, *map(self.words.__getitem__, others)]))
-
-
-def _plain(chunk: str) -> bool:
-    """Is ``chunk`` one word of the byte-level pattern for certain?"""
-    return chunk.isascii() and chunk.isalpha()
-
-
 class Encoder:
     """The tokenizer of a file, without truncation and padding, giving ids as packed integers."""
 
@@ -140,41 +81,98 @@ class Encoder:
         spec = json.loads(self.library.to_str())
         way, added = spec["pre_tokenizer"] or {}, spec["added_tokens"]
         byte_level = way.get("type") == "ByteLevel" and not way.get("add_prefix_space") and way.get("use_regex", True)
-        plain = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] and " " not in t["content"] for t in added)
-        self.by_words = byte_level and plain and spec["normalizer"] is None
-        self.words = Words(self.library.model, [np.array([i], self.kind).tobytes() for i in range(size)])
-        self.chunks = Chunks(self.words)
-        self.specials = {t["content"]: np.array([t["id"]], self.kind).tobytes() for t in added}
-        names = sorted(self.specials, key=len, reverse=True)
-        self.special = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
+        space, letters = next(c for c, byte in byte_letters().items() if byte == 32), set(byte_letters())
+        plain = all(
+            not t["lstrip"] and not t["rstrip"] and not t["single_word"] and " " not in t["content"] and t["content"][:1] != space
+            for t in added
+        )
+        vocab = self.library.get_vocab(with_added_tokens=False)
+        model = spec["model"].get("type") == "BPE" and not spec["model"].get("continuing_subword_prefix")
+        self.by_words = byte_level and plain and spec["normalizer"] is None and model and letters <= vocab.keys()
+        # The ids that begin with a space: each is the first of a word.
+        self.spaced = np.zeros(size, bool)
+        self.spaced[[i for token, i in vocab.items() if token.startswith(space)]] = True
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
         if not self.by_words:
-            coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-            yield from (np.array(c.ids, self.kind).tobytes() for c in coded)
+            yield from (ids.tobytes() for ids in self._ids(texts))
             return
-        for text in texts:
-            yield b"".join(map(self._of_piece, pieces(text)))
-
-    def _of_piece(self, piece: str) -> bytes:
-        self.words.forget(KNOWN_WORDS)
-        self.chunks.forget(KNOWN_WORDS)
-        if self.special is None or not self.special.search(piece):
-            return self._of_plain(piece)
-        parts = enumerate(self.special.split(piece))
-        return b"".join(self.specials[part] if i % 2 else self._of_plain(part) for i, part in parts)
-
-    def _of_plain(self, text: str) -> bytes:
-        first, *chunks = text.split(" ")
-        if first and not first[-1].isspace():
-            try:
-                found = list(map(self.chunks.__getitem__, chunks))
-            except KeyError:
-                pass
-            else:
-                return b"".join([*map(self.words.__getitem__, PATTERN.findall(first)), *found])
-        return b"".join(map(self.words.__getitem__, PATTERN.findall(text)))
+        cut = [list(pieces(text)) for text in texts]
+        coded = self._coded(chain.from_iterable(cut))
+        for parts in cut:
+            yield b"".join(islice(coded, len(parts)))
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, by the library."""
+        return [np.array(c.ids, self.kind) for c in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _coded(self, parts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each part, worked out for about ``ROUND`` characters at a time."""
+        these, size = [], 0
+        for part in parts:
+            if these and size + len(part) > ROUND:
+                yield from self._together(these)
+                these, size = [], 0
+            these.append(part)
+            size += len(part)
+        if these:
+            yield from self._together(these)
+
+    def _together(self, parts: list[str]) -> Iterator[bytes]:
+        """The ids of each part; what stands between two places to cut is encoded once, however often it comes."""
+        values, begins, odd = _chunks(parts)
+        heads = np.zeros(len(values), bool)
+        heads[begins[:-1]] = True
+        apart = values.filter(pa.array(heads)).to_pylist()
+        coded = values.dictionary_encode()
+        chunks, codes = coded.dictionary, coded.indices.to_numpy()
+        del values, coded
+        # The first chunk of a part has no space before it and is encoded by itself.
+        used = np.zeros(len(chunks), bool)
+        used[codes[~heads]] = True
+        alone = used & pc.match_substring_regex(chunks, ALONE).to_numpy(zero_copy_only=False)
+        tight = used & ~alone
+        ids, sizes = self._tight(chunks.filter(pa.array(tight)))
+        found = self._ids([f" {c}" for c in chunks.filter(pa.array(alone)).to_pylist()] + apart)
+        places = np.cumsum(np.concatenate([[0], sizes, [len(f) for f in found]]), dtype=np.int64)
+        table = pa.ListArray.from_arrays(pa.array(places, pa.int32()), pa.array(np.concatenate([*ids, *found])))
+        place = np.where(alone, len(sizes) + np.cumsum(alone), np.cumsum(tight)).astype(np.int32) - 1
+        rows = place[codes]
+        rows[heads] = np.arange(len(table) - len(parts), len(table))
+        del chunks, codes
+        laid = table.take(pa.array(rows))
+        flat, cuts = memoryview(laid.values.to_numpy()).cast("B"), laid.offsets.to_numpy()[begins].astype(np.int64) * self.kind.itemsize
+        order = np.argsort(np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)]))
+        return (bytes(flat[a:b]) for a, b in zip(cuts[order].tolist(), cuts[order + 1].tolist()))
+
+    def _tight(self, chunks: pa.StringArray) -> tuple[list[np.ndarray], np.ndarray]:
+        """The ids of all chunks, each with a space before it, and how many every chunk has. Many are one
+        text for the library: chunks hold no space, so an id that begins with one begins a chunk."""
+        ids, sizes = [], [np.zeros(0, np.int64)]
+        for at in range(0, len(chunks), KNOWN_WORDS):
+            some = chunks.slice(at, KNOWN_WORDS)
+            lists = pa.ListArray.from_arrays([*range(0, len(some), JOINED), len(some)], some)
+            flat = np.concatenate(self._ids([f" {text}" for text in pc.binary_join(lists, " ").to_pylist()]))
+            first = np.flatnonzero(self.spaced[flat])
+            if len(first) != len(some):
+                raise ValueError(f"{len(first)} words begin with a space, not {len(some)}")
+            ids.append(flat)
+            sizes.append(np.diff(np.append(first, len(flat))))
+        return ids, np.concatenate(sizes)
+
+
+def _chunks(parts: list[str]) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """The chunks of all parts, those of odd parts last; where a part's begin, and the end; which parts are odd."""
+    texts = pa.array(parts, pa.string())
+    odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
+    even = pc.split_pattern(texts.filter(pa.array(~odd)) if odd.any() else texts, " ")
+    if not odd.any():
+        return even.values, even.offsets.to_numpy(), odd
+    others = [CUT.split(parts[i]) for i in np.flatnonzero(odd)]
+    values = pa.concat_arrays([even.values, pa.array(chain.from_iterable(others), pa.string())])
+    ends = len(even.values) + np.cumsum([len(c) for c in others], dtype=np.int64)
+    return values, np.concatenate([even.offsets.to_numpy(), ends]), odd
 
 
 def encoder(path: str) -> Encoder:
@@ -218,7 +216,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, path_of: str, en
     number, attempt = TaskContext.get().partitionId(), f"tmp{uuid.uuid4().hex}"
     names = {kind: _part(path, number, kind) for kind in ("bin", "idx", "keys")}
     offsets, open_files, keys = [np.zeros(1, "<u8")], {}, None
-    for batch, texts in slices(batches):
+    for batch, texts in slices(batches, chars=ROUND):
         if not open_files:
             open_files = {k: store.open_output_stream(f"{n}.{attempt}") for k, n in names.items()}
             keys = pa.ipc.new_file(open_files["keys"], pa.schema([pa.field("key", batch.column("key").type)]))
@@ -228,6 +226,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], folder: str, path_of: str, en
             sizes.append((len(ids) + len(last)) // size)
         offsets.append(offsets[-1][-1] + np.cumsum(sizes, dtype=np.int64).astype("<u8"))
         keys.write_batch(pa.RecordBatch.from_arrays([batch.column("key")], ["key"]))
+        pa.default_memory_pool().release_unused()
     if not open_files:
         return None
     places = np.concatenate(offsets)

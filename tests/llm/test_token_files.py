@@ -81,6 +81,37 @@ def test_words_are_cut_where_the_tokenizer_cuts(monkeypatch):
             assert np.frombuffer(ids, "<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_each_different_chunk_is_encoded_once():
+    given = []
+
+    class Library:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return LIBRARY.encode_batch_fast(texts, **options)
+
+    rng = random.Random(5)
+    words = [f"w{i}x{i * i}," for i in range(300)]
+    texts = ["At " + " ".join(rng.choice(words) for _ in range(200)) for _ in range(50)]
+    code = token_files.Encoder(PATH)
+    code.library = Library()
+    assert [np.frombuffer(i, "<u2").tolist() for i in code.encode(texts)] == [e.ids for e in LIBRARY.encode_batch(texts)]
+    used = {word for text in texts for word in text.split()[1:]}
+    assert sorted(word for text in given for word in text.split() if word != "At") == sorted(used)
+
+
+@pytest.mark.parametrize("at_once", [1, 60, 10**6])
+def test_white_space_beside_spaces(monkeypatch, at_once):
+    monkeypatch.setattr(token_files, "ROUND", at_once)
+    monkeypatch.setattr(token_files, "JOINED", 3)
+    white = [chr(c) for c in range(0x3001) if chr(c).isspace()] + ["\u200b", "\ufeff", "\0"]
+    texts = [t for w in white for t in (f"a{w} b c", f"a {w}b c", f"a {w} b", f" {w}a b", f"a b{w}", f"{w}a b ", f"a{w}b c", w)]
+    texts += ["even after odd", "a  b  c", "  ", " a", "a ", "", "<|endoftext|> a <|endoftext|>b c<|endoftext|>", "a <|endoftext|>  <|endoftext|>", "Ġa Ġ ĠĠ b"]
+    code = token_files.Encoder(PATH)
+    for text, ids in zip(texts, code.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u2").tolist() == LIBRARY.encode(text, add_special_tokens=False).ids, text
+    assert list(code.encode([])) == []
+
+
 def test_a_tokenizer_that_is_not_byte_level_gets_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     code, library = token_files.Encoder(path), Tokenizer.from_file(path)
