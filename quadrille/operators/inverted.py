@@ -4,8 +4,8 @@ Cells are the centres of a spherical k-means over a bounded sample of points; ev
 under its nearest centre. A question probes the cells whose centres are nearest to it, and is
 compared there exactly. Points and questions stay tables: both are cut into blocks by (cell, part),
 where a cell has as many parts as it has blocks of points, so a cell that holds a third of all points is
-many tasks' work; a task compares one block of points with blocks of questions and gives out the k best
-of each question only. With a single cell the search is exact.
+many tasks' work; a task compares one block of points with a tile of questions, block by block, and gives
+out the k best of each question only. With a single cell the search is exact.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ SAMPLE_POINTS = 20_000
 ROUNDS = 8
 # Points and questions of one block.
 BLOCK_POINTS, BLOCK_QUESTIONS = 8_192, 1_024
+# Questions that a block of points meets at a time, block by block; a cell falls into so many such
+# tiles at least, if it has as many blocks; tasks for all tiles.
+TILE_QUESTIONS, CELL_TILES, TILE_TASKS = 16_384, 32, 4_000
 # Cells that a question probes.
 PROBES = 8
 
@@ -54,7 +57,12 @@ def fit_cells(points: DataFrame, cells: int, sample: int = SAMPLE_POINTS) -> np.
 def _nearest_cells(df: DataFrame, key: str, centres: np.ndarray, n: int) -> DataFrame:
     """(key, vector, cell): every row with its ``n`` nearest cells; NULL vectors have none."""
     n = min(n, len(centres))
-    rows = df.filter(F.col("vector").isNotNull()).select(key, F.col("vector").cast("array<double>").alias("vector"))
+    # Vectors of floats travel as such: half the bytes, and the same numbers when they are compared.
+    kind = df.schema["vector"].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"
+    rows = df.filter(F.col("vector").isNotNull()).select(key, F.col("vector").cast(kind).alias("vector"))
+    if len(centres) == 1:
+        return rows.withColumn("cell", F.lit(0))
     shared = df.sparkSession.sparkContext.broadcast(centres)  # cells times the width of a vector
     step = max(1, MATRIX_BYTES // (8 * len(centres)))
 
@@ -62,13 +70,13 @@ def _nearest_cells(df: DataFrame, key: str, centres: np.ndarray, n: int) -> Data
         for batch in batches:
             for start in range(0, len(batch), step):
                 part = batch.iloc[start : start + step]
-                scores = _unit(_stack(part["vector"])) @ shared.value.T if len(shared.value) > 1 else np.zeros((len(part), 1))
+                scores = _unit(_stack(part["vector"])) @ shared.value.T
                 best = np.argsort(-scores, axis=1, kind="stable")[:, :n]
                 out = part.loc[part.index.repeat(n)].copy()
                 out["cell"] = best.ravel().astype(np.int32)
                 yield out
 
-    return rows.mapInPandas(place, f"{key} {df.schema[key].dataType.simpleString()}, vector array<double>, cell int")
+    return rows.mapInPandas(place, f"{key} {df.schema[key].dataType.simpleString()}, vector {kind}, cell int")
 
 
 def file_points(points: DataFrame, centres: np.ndarray, block: int = BLOCK_POINTS) -> DataFrame:
@@ -82,33 +90,43 @@ def file_points(points: DataFrame, centres: np.ndarray, block: int = BLOCK_POINT
 
 def search_index(
     index: DataFrame, centres: np.ndarray, questions: DataFrame, k: int, probes: int = PROBES,
-    question_block: int = BLOCK_QUESTIONS, matrix_bytes: int = MATRIX_BYTES,
+    question_block: int = BLOCK_QUESTIONS, matrix_bytes: int = MATRIX_BYTES, tile: int = TILE_QUESTIONS,
 ) -> DataFrame:
     """(question, id, score, rank): the k best points of the cells that each question probes.
 
-    ``questions`` is (question, vector). Both sides meet by (cell, part, block of questions); a point
-    travels once per block of questions that probe its cell.
+    ``questions`` is (question, vector). Both sides meet by (cell, part, tile of questions); a point
+    travels once per ``tile`` of questions that probe its cell, a question once per part of a cell. A
+    task compares ``question_block`` questions at a time.
     """
     types = {"question": questions.schema["question"].dataType.simpleString(), "id": index.schema["id"].dataType.simpleString()}
     asked = cut_lineage(_nearest_cells(questions.select("question", "vector"), "question", centres, probes))
-    blocks = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / question_block).cast("int").alias("blocks"))
+    counts = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("asked"))
     parts = index.groupBy("cell").agg(F.max("parts").alias("parts"))
-    block = F.pmod(F.xxhash64("question"), F.col("blocks")).cast("int").alias("block")
+    even = F.least(F.ceil(F.col("asked") / question_block), F.ceil(F.lit(CELL_TILES) / F.col("parts")))
+    tiles = F.greatest(F.ceil(F.col("asked") / tile), even).cast("int")
+    # One row per cell, of which there are as many as centres.
+    sizes = cut_lineage(counts.join(parts, "cell").select("cell", "parts", tiles.alias("tiles")))
+    met = sizes.agg(F.sum(F.col("tiles").cast("bigint") * F.col("parts"))).first()[0] or 0
+    # A number of its own, as rows this few would be put into a handful of tasks.
+    tasks = int(min(max(2 * met, 1), TILE_TASKS))
+    own = F.pmod(F.xxhash64("question", "vector"), F.col("tiles")).cast("int").alias("tile")
     each_part = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
-    each_block = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    left = asked.join(F.broadcast(blocks), "cell").join(F.broadcast(parts), "cell").select(
-        "cell", block, each_part, "question", "vector"
-    )
-    right = index.join(F.broadcast(blocks), "cell").select("cell", each_block, "part", "id", "vector")
-    keys = ["cell", "block", "part"]
+    each_tile = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile")
+    keys = ["cell", "tile", "part"]
+    left = asked.join(F.broadcast(sizes), "cell").select("cell", own, each_part, "question", "vector")
+    right = index.drop("parts").join(F.broadcast(sizes), "cell").select("cell", each_tile, "part", "id", "vector")
+    left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
 
     def compare(questions: pd.DataFrame, points: pd.DataFrame) -> pd.DataFrame:
-        if not len(questions) or not len(points):
-            return pd.DataFrame({"question": [], "id": [], "score": []})
-        nearest = _Nearest(_stack(questions["vector"]), k, matrix_bytes)
-        nearest.read(points["id"].to_numpy(), _stack(points["vector"]))
-        found = [(q, i, -float(s)) for q, held in zip(questions["question"], nearest.best) for s, i in held]
-        return pd.DataFrame(found, columns=["question", "id", "score"])
+        found = [pd.DataFrame({"question": [], "id": [], "score": []})]
+        ids, unit = points["id"].to_numpy(), _unit(_stack(points["vector"])) if len(points) else None
+        for start in range(0, len(questions) if len(points) else 0, question_block):
+            block = questions.iloc[start : start + question_block]
+            nearest = _Nearest(_stack(block["vector"]), k, matrix_bytes)
+            nearest.read(ids, unit)
+            row, hit, score = nearest.hits()
+            found.append(pd.DataFrame({"question": block["question"].to_numpy()[row], "id": hit, "score": score}))
+        return pd.concat(found[1:] or found)
 
     hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         compare, f"question {types['question']}, id {types['id']}, score DOUBLE"

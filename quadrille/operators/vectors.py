@@ -62,13 +62,6 @@ def _unit(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Which entries of a row of scores reach its k-th best; ties are all kept."""
-    if scores.size <= k:
-        return np.arange(scores.size)
-    return np.flatnonzero(scores >= np.partition(scores, -k)[-k])
-
-
 def _stack(column: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
@@ -79,15 +72,41 @@ class _Nearest:
     def __init__(self, questions: np.ndarray, k: int, matrix_bytes: int) -> None:
         self.unit, self.k = _unit(questions), k
         self.slice = max(1, matrix_bytes // (8 * len(questions)))
-        self.best: list[list[tuple]] = [[] for _ in questions]
+        # What is below the k-th best score by more than rounding can make up is not looked at.
+        self.floor = np.full(len(questions), -np.inf)
+        self.parts: list[tuple] = []
+        self.pending = 0
 
-    def read(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def read(self, ids: np.ndarray, unit: np.ndarray) -> None:
         for start in range(0, len(ids), self.slice):
             part = ids[start : start + self.slice]
-            scores = np.round(self.unit @ _unit(vectors[start : start + self.slice]).T, SCORE_DIGITS)
-            for row, held in zip(scores, self.best):
-                new = [(-row[i], part[i]) for i in _best(row, self.k)]
-                held[:] = sorted(held + new)[: self.k]
+            scores = self.unit @ unit[start : start + self.slice].T
+            if len(part) > self.k and np.isneginf(self.floor).any():
+                known = np.where(np.isnan(scores), -np.inf, scores)
+                kth = np.partition(known, -self.k, axis=1)[:, -self.k]
+                self.floor = np.maximum(self.floor, kth - 10.0**-SCORE_DIGITS)
+            row, at = np.divmod(np.flatnonzero(scores >= self.floor[:, None]), len(part))
+            self.parts.append((row, -np.round(scores[row, at], SCORE_DIGITS), part[at]))
+            self.pending += len(row)
+            if self.pending > 2 * self.k * len(self.floor):
+                self._settle()
+
+    def _settle(self) -> None:
+        row, score, ids = (np.concatenate(column) for column in zip(*self.parts))
+        order = np.lexsort((pd.factorize(ids, sort=True)[0], score, row))
+        row, score, ids = row[order], score[order], ids[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        last, kept = place == self.k - 1, place < self.k
+        self.floor[row[last]] = np.maximum(self.floor[row[last]], -score[last] - 10.0**-SCORE_DIGITS)
+        self.parts, self.pending = [(row[kept], score[kept], ids[kept])], 0
+
+    def hits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the question, id and score of each."""
+        if not self.parts:
+            return np.zeros(0, int), np.zeros(0, object), np.zeros(0)
+        self._settle()
+        row, score, ids = self.parts[0]
+        return row, ids, -score
 
 
 def _cut(hits: DataFrame, k: int) -> DataFrame:
@@ -127,20 +146,18 @@ def search_many(
 
 
 def _scan(rows: list, k: int, matrix_bytes: int):
-    asked = [r["question"] for r in rows]
+    asked = np.empty(len(rows), dtype=object)
+    asked[:] = [r["question"] for r in rows]
     matrix = np.array([r["vector"] for r in rows], dtype=np.float64)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         nearest = _Nearest(matrix, k, matrix_bytes)
         for batch in batches:
             if len(batch):
-                nearest.read(batch["id"].to_numpy(), _stack(batch["vector"]))
-        for question, held in zip(asked, nearest.best):
-            if held:
-                yield pd.DataFrame({
-                    "question": [question] * len(held), "id": [i for _, i in held],
-                    "score": [-float(s) for s, _ in held],
-                })
+                nearest.read(batch["id"].to_numpy(), _unit(_stack(batch["vector"])))
+        row, ids, scores = nearest.hits()
+        if len(row):
+            yield pd.DataFrame({"question": asked[row], "id": ids, "score": scores})
 
     return scan
 

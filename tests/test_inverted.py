@@ -68,11 +68,31 @@ def test_odd_vectors_and_empty_tables(spark):
     assert len(inverted.fit_cells(none, 4)) == 1
 
 
-def test_blocks_ask_for_every_fiftieth_vector(spark):
-    """All vectors as questions would copy every point once per block of questions of a table as long."""
+def test_blocks_ask_for_every_vector(spark, tmp_path):
+    """More questions than travel with the tasks: every vector of the table is one, ties included."""
     from quadrille.plans.queries import QUERIES
 
-    d = "/root/testdata/sf0.001"
-    asked = [r[0] for r in QUERIES["vector_topk_blocks"](spark, d).select("question").distinct().collect()]
-    ids = [r[0] for r in spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id").collect()]
-    assert sorted(asked) == sorted(i for i in ids if i % 50 == 0)
+    rows, points = cloud(spark, 320, common=20)
+    points.selectExpr("id AS vec_id", "vector AS embedding", "id % 10 AS label").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert by_question(QUERIES["vector_topk_blocks"](spark, str(tmp_path))) == slow(rows, rows, 3)
+
+
+@pytest.mark.parametrize("tile", [30, 1000])
+def test_tiles_of_questions_keep_ties_and_repeated_questions(spark, tile):
+    rows, points = cloud(spark, 150, width=4, common=100)
+    asked = [(i, v) for i, v in rows if i % 3 == 0]
+    questions = spark.createDataFrame([*asked, *asked], "question long, vector array<double>")
+    named = points.selectExpr("concat('p', lpad(id, 4, '0')) AS id", "vector")
+    centre = np.zeros((1, 1))
+    index = inverted.file_points(named, centre, block=40)
+    found = inverted.search_index(index, centre, questions, 4, 1, question_block=7, matrix_bytes=600, tile=tile)
+    twice = {q: [f"p{i:04d}" for i in ids[:2] for _ in range(2)] for q, ids in slow(rows, asked, 2).items()}
+    assert by_question(found) == twice
+
+
+def test_vectors_of_floats_travel_as_such(spark):
+    points = spark.createDataFrame([(1, [1.0, 0.1]), (2, [0.0, 1.0]), (3, None)], "id long, vector array<float>")
+    index = inverted.file_points(points, np.zeros((1, 1)))
+    assert index.schema["vector"].dataType.simpleString() == "array<float>"
+    found = inverted.search_exact(points, points.withColumnRenamed("id", "question"), 1)
+    assert sorted((r.question, r.id, r.score) for r in found.collect()) == [(1, 1, 1.0), (2, 2, 1.0)]
